@@ -91,13 +91,14 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
     return out.drop("_rb", *[f"_o_{c}" for c in sum_cols])
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | tuple = (), n_buckets: int | None = None) -> DataFrame:
+def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
+                       group_cols: list[str] | tuple = (), n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (NumPy default, SQL
     ``percentile`` / ``quantile_cont``), computed without gathering a group's
-    values in one task.
+    values in one task.  ``probs`` holds (*group_cols, p) rows, so the
+    probability may itself come from the data.
 
-    Returns ``(*group_cols, p DOUBLE, q DOUBLE)``, one row per group and prob.
+    Returns ``(*group_cols, p DOUBLE, q DOUBLE)``.
     """
     g = list(group_cols)
     vals = (df.where(F.col(value_col).isNotNull())
@@ -106,9 +107,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     cum = running_totals(vals, "_v", ["_n"], g, n_buckets=n_buckets)
     cum = cum.select(*g, "_v", (F.col("cum__n") - F.col("_n")).alias("_start"), F.col("cum__n").alias("_end"))
     totals = vals.groupBy(*g).agg(F.sum("_n").alias("_N"))
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (totals.select(*g, "_N", F.explode(plist).alias("p"))
-               .withColumn("_pos", F.col("p") * (F.col("_N") - 1))
+    tp = probs.select(*g, F.col("p").cast("double").alias("p"))
+    tp = tp.join(totals, g, "inner") if g else tp.crossJoin(totals)
+    targets = (tp.withColumn("_pos", F.col("p") * (F.col("_N") - 1))
                .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
                .select(*g, "p", "_pos", "_lo",
                        F.explode(F.array(
@@ -116,7 +117,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                            F.struct(F.lit(1).alias("role"), F.col("_hi").alias("rank")))).alias("t"))
                .select(*g, "p", "_pos", "_lo", "t.role", "t.rank"))
     if not g:
-        targets = F.broadcast(targets)  # 2 * len(probs) rows
+        targets = F.broadcast(targets)  # 2 rows per requested probability
     cond = [targets[k] == cum[k] for k in g] + [cum["_start"] <= targets["rank"], targets["rank"] < cum["_end"]]
     hit = targets.join(cum, cond, "inner").select(*[targets[k] for k in g], "p", "_pos", "_lo", "role", "_v")
     res = (hit.groupBy(*g, "p", "_pos", "_lo")
@@ -126,6 +127,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                                 (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
+                    group_cols: list[str] | tuple = (), n_buckets: int | None = None) -> DataFrame:
+    """``exact_quantiles_at`` for a fixed list of probabilities."""
+    g = list(group_cols)
+    plist = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p DOUBLE")
+    if g:
+        keys = df.where(F.col(value_col).isNotNull()).select(*g).distinct()
+        plist = keys.crossJoin(F.broadcast(plist))
+    return exact_quantiles_at(df, value_col, plist, g, n_buckets)
+
+
 def threshold_counts(hist: DataFrame, thresholds: list[float], score_col: str = "score",
                      group_cols: list[str] | tuple = (), n_col: str = "n", pos_col: str = "pos",
                      extra_sums: list[str] | tuple = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.columns import ratio, rnd
+from auditlens.functions.columns import ratio, rnd, safe_div
 from auditlens.functions.ordered import running_totals
 
 
@@ -31,7 +31,7 @@ def cumulative(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     k = list(keys)
     cum = running_totals(hist, "score", ["pos", "neg"], k)
     tot = hist.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("Nn"),
-                               F.sum("n").alias("N_all"), F.sum("sse").alias("SSE"))
+                               F.sum("n").alias("N_all"), F.sum("sse").alias("tot_sse"))
     return cum.join(tot, k, "inner") if k else cum.crossJoin(F.broadcast(tot))
 
 
@@ -43,11 +43,11 @@ def ranking_metrics(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     tp_ge = F.col("P") - F.col("cum_pos") + F.col("pos")      # positives with score >= this
     fp_ge = F.col("Nn") - F.col("cum_neg") + F.col("neg")
     auc_term = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / F.lit(2.0))
-    ap_term = F.col("pos") * (tp_ge / (tp_ge + fp_ge))
-    ks_term = F.abs(F.col("cum_pos") / F.col("P") - F.col("cum_neg") / F.col("Nn"))
+    ap_term = F.col("pos") * safe_div(tp_ge, tp_ge + fp_ge)
+    ks_term = F.abs(safe_div("cum_pos", "P") - safe_div("cum_neg", "Nn"))
     agg = c.groupBy(*k).agg(
         F.first("N_all").alias("n"), F.first("P").alias("pos"), F.first("Nn").alias("neg"),
-        F.first("SSE").alias("sse"),
+        F.first("tot_sse").alias("sse_total"),
         F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
         F.max(ks_term).alias("_ks"))
     return agg.select(
@@ -56,7 +56,7 @@ def ranking_metrics(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
                F.col("_auc") / (F.col("pos").cast("double") * F.col("neg"))).alias("auc"),
         F.when(F.col("pos") > 0, F.col("_ap") / F.col("pos")).alias("pr_auc"),
         F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("_ks")).alias("ks"),
-        ratio("sse", "n").alias("brier"))
+        ratio("sse_total", "n").alias("brier"))
 
 
 def roc_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
@@ -65,8 +65,8 @@ def roc_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     k = list(keys)
     c = cumulative(hist, k)
     pts = c.select(*k, F.col("score").alias("threshold"),
-                   ((F.col("Nn") - F.col("cum_neg") + F.col("neg")) / F.col("Nn")).alias("fpr"),
-                   ((F.col("P") - F.col("cum_pos") + F.col("pos")) / F.col("P")).alias("tpr"))
+                   safe_div(F.col("Nn") - F.col("cum_neg") + F.col("neg"), "Nn").alias("fpr"),
+                   safe_div(F.col("P") - F.col("cum_pos") + F.col("pos"), "P").alias("tpr"))
     origin = hist.select(*k).distinct().select(*k, F.lit(None).cast("double").alias("threshold"),
                                                   F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     pts = pts.unionByName(origin)
@@ -84,8 +84,8 @@ def pr_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     c = cumulative(hist, k)
     tp = F.col("P") - F.col("cum_pos") + F.col("pos")
     fp = F.col("Nn") - F.col("cum_neg") + F.col("neg")
-    pts = c.select(*k, F.col("score").alias("threshold"), (tp / F.col("P")).alias("recall"),
-                   (tp / (tp + fp)).alias("precision"), (tp == F.col("P")).alias("_full"))
+    pts = c.select(*k, F.col("score").alias("threshold"), safe_div(tp, "P").alias("recall"),
+                   safe_div(tp, tp + fp).alias("precision"), (tp == F.col("P")).alias("_full"))
     # keep thresholds >= the largest threshold with full recall
     cut = pts.where("_full").groupBy(*k).agg(F.max("threshold").alias("_cut"))
     pts = (pts.join(cut, k, "inner") if k else pts.crossJoin(F.broadcast(cut)))
