@@ -149,3 +149,108 @@ def intersectional_table(scored: DataFrame, col_a: str, col_b: str, ref_a: str,
         F.when(~supp, rnd(F.when(F.col("_ref") > 0, rate / F.col("_ref")))).alias("air_vs_reference"),
         supp.alias("suppressed"),
         F.when(supp, F.lit(f"n < {min_n} suppressed")).otherwise(F.lit("")).alias("note"))
+
+
+def error_rate_gaps(fair: DataFrame, keys=(), limit_pct: float = 10.0) -> DataFrame:
+    """FPR / FNR gap of each group vs its reference group, absolute and
+    in percent of the reference rate; flag when either exceeds ``limit_pct``."""
+    k = list(keys)
+    ref = fair.where("is_reference").select(*k, "attribute", "threshold",
+                                            F.col("fpr").alias("fpr_ref"), F.col("fnr").alias("fnr_ref"))
+    j = fair.where(~F.col("is_reference")).join(ref, k + ["attribute", "threshold"], "inner")
+    out = j.select(*k, "attribute", "group", "threshold", "fpr", "fpr_ref", "fnr", "fnr_ref",
+                   rnd(F.col("fpr") - F.col("fpr_ref")).alias("fpr_gap"),
+                   rnd(safe_div(F.col("fpr") - F.col("fpr_ref"), "fpr_ref") * 100, 2).alias("fpr_gap_pct"),
+                   rnd(F.col("fnr") - F.col("fnr_ref")).alias("fnr_gap"),
+                   rnd(safe_div(F.col("fnr") - F.col("fnr_ref"), "fnr_ref") * 100, 2).alias("fnr_gap_pct"))
+    flag = (F.abs(F.col("fpr_gap_pct")) > limit_pct) | (F.abs(F.col("fnr_gap_pct")) > limit_pct)
+    return out.withColumn("flag", F.coalesce(flag, F.lit(False)))
+
+
+def score_gaps(scored: DataFrame, attributes, reference_groups, p="y_prob", min_n: int = 30, keys=()) -> DataFrame:
+    """Mean-score difference (ME) and standardized mean difference
+    (SMD, pooled population variances) of each group vs the reference."""
+    k = list(keys)
+    long = attribute_long(scored, attributes, k, "y", p)
+    st = long.groupBy(*k, "attribute", "group").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("_p").alias("_m"), F.var_pop("_p").alias("_v"))
+    refs = _refs_frame(scored.sparkSession, reference_groups)
+    r = (st.join(refs, "attribute").where(F.col("group") == F.col("ref_group"))
+         .select(*k, "attribute", F.col("_m").alias("_rm"), F.col("_v").alias("_rv")))
+    j = st.where(F.col("n") >= min_n).join(r, k + ["attribute"], "left")
+    me = F.col("_m") - F.col("_rm")
+    smd = F.try_divide(me, F.sqrt((F.col("_rv") + F.col("_v")) / F.lit(2.0)))
+    return j.select(*k, "attribute", "group", F.col("n").cast("long").alias("n"), rnd("_m").alias("mean_score"),
+                    rnd(me).alias("me"), rnd(smd).alias("smd"))
+
+
+def air_violations(fair: DataFrame, limit: float = 0.80, keys=()) -> DataFrame:
+    """Non-reference groups with AIR below the limit."""
+    k = list(keys)
+    return (fair.where(~F.col("is_reference") & (F.col("air") < limit))
+            .select(*k, "attribute", "group", "threshold", "approval_rate", "air",
+                    rnd("ref_rate_raw").alias("reference_rate"),
+                    rnd(F.col("ref_rate_raw") - F.col("approval_rate_raw")).alias("gap")))
+
+
+def group_performance(scored: DataFrame, group_cols: list[str], threshold: float = 0.5, y="y", p="y_prob",
+                      min_n: int = 30) -> DataFrame:
+    """Confusion-based rates per group (cells with n < min_n dropped)."""
+    pred = (F.col(p) >= F.lit(float(threshold))).cast("int")
+    yy = F.col(y).cast("int")
+    c = scored.groupBy(*[F.col(g).cast("string").alias(g) for g in group_cols]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(yy).alias("pos"), F.sum(pred).alias("pp"), F.sum(yy * pred).alias("tp"))
+    c = c.where(F.col("n") >= min_n)
+    fp = F.col("pp") - F.col("tp")
+    fn = F.col("pos") - F.col("tp")
+    tn = F.col("n") - F.col("pos") - fp
+    return c.select(*group_cols, F.col("n").cast("long").alias("n"),
+                    rnd(safe_div("pos", "n")).alias("actual_rate"), rnd(safe_div("pp", "n")).alias("approval_rate"),
+                    rnd(safe_div(F.col("tp") + tn, "n")).alias("accuracy"),
+                    rnd(ratio("tp", "pp", 0.0)).alias("precision"), rnd(ratio("tp", "pos", 0.0)).alias("recall"),
+                    rnd(ratio(2 * F.col("tp"), 2 * F.col("tp") + fp + fn, 0.0)).alias("f1"),
+                    rnd(safe_div(fp, F.col("n") - F.col("pos"))).alias("fpr"), rnd(safe_div(fn, "pos")).alias("fnr"))
+
+
+def risk_tier(p="y_prob", low: float = 0.4, high: float = 0.7):
+    """Low below ``low``, Medium below ``high``, else High."""
+    return (F.when(F.col(p) < low, F.lit("Low")).when(F.col(p) < high, F.lit("Medium"))
+            .when(F.col(p).isNotNull(), F.lit("High")))
+
+
+def fairness_summary(fair: DataFrame, limit: float = 0.80, keys=()) -> DataFrame:
+    """Per attribute: rate spread, lowest-AIR group, worst FNR group,
+    counts of groups at / below the AIR limit."""
+    k = list(keys)
+    return fair.groupBy(*k, "attribute", "threshold").agg(
+        F.count(F.lit(1)).alias("n_groups"),
+        rnd(F.max("approval_rate_raw") - F.min("approval_rate_raw")).alias("rate_gap"),
+        F.min_by("group", F.struct("air", "group")).alias("lowest_air_group"),
+        F.min("air").alias("min_air"),
+        F.max_by("group", F.struct("fnr", F.col("group"))).alias("worst_fnr_group"),
+        F.max("fnr").alias("max_fnr"),
+        F.sum((F.col("air") >= limit).cast("long")).alias("n_pass"),
+        F.sum((F.col("air") < limit).cast("long")).alias("n_fail"))
+
+
+def mitigation_sweep(scored: DataFrame, attributes: dict[str, str], reference_groups: dict[str, str],
+                     thresholds=(0.4, 0.35, 0.3, 0.25, 0.2), limit: float = 0.80, y="y", p="y_prob") -> DataFrame:
+    """Per threshold: overall approval rate, reference rate, min AIR,
+    pass flag and bad rate among approved (1 - precision), one pass."""
+    counts = subgroup_counts(scored, attributes, list(thresholds), (), y, p)
+    fair = fairness_from_counts(counts, reference_groups)
+    per_t = fair.groupBy("attribute", "threshold").agg(
+        F.sum("n").alias("_n"), F.sum("pred_pos").alias("_pp"), F.sum("tp").alias("_tp"),
+        F.max("ref_rate_raw").alias("_ref"), F.min("air").alias("min_air"))
+    return per_t.select("attribute", "threshold",
+                        rnd(safe_div("_pp", "_n")).alias("overall_approval_rate"),
+                        rnd("_ref").alias("reference_approval_rate"), "min_air",
+                        F.coalesce(F.col("min_air") >= limit, F.lit(False)).alias("passes_80_rule"),
+                        rnd(ratio(F.col("_pp") - F.col("_tp"), "_pp", 0.0)).alias("bad_rate_approved"))
+
+
+def recommended_threshold(sweep: DataFrame) -> DataFrame:
+    """Highest threshold that passes the AIR rule (null if none)."""
+    return sweep.groupBy("attribute").agg(
+        F.max(F.when(F.col("passes_80_rule"), F.col("threshold"))).alias("recommended_threshold"),
+        F.max("threshold").alias("max_tested"))
