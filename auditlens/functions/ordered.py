@@ -63,17 +63,29 @@ def count_at_or_below(value: Column, points: list[float]) -> Column:
     return build(0, len(points))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an (aggregated) intermediate to the shared checkpoint folder and
+    cut its lineage, so the edge-sampling job and the main job do not both
+    recompute the upstream plan.  Survives executor loss (reliable files)."""
+    from auditlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
                    partition_cols: list[str] | tuple = (), prefix: str = "cum_",
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same partition whose
     ``order_col`` is <= the current one (ties included).
 
     Null ``order_col`` rows are dropped; partition keys must be non-null.
+    The input should already be aggregated on (partition, order value).
     """
     pcols = list(partition_cols)
     b = n_buckets or default_buckets(df)
     base = df.where(F.col(order_col).isNotNull())
+    if checkpoint:
+        base = materialize(base)
     edges = range_edges(base, order_col, b)
     tmp = base.withColumn("_rb", count_below(F.col(order_col).cast("double"), edges))
     totals = tmp.groupBy(*pcols, "_rb").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])

@@ -60,7 +60,7 @@ def _long_sql(src: str, cols: list[str]) -> str:
 WITH s AS ({SQL_NUMERIC}), l AS ({_long_sql('s', CAPS)}),
 q AS (SELECT feature, quantile_cont(value, 0.999) AS cap FROM l GROUP BY feature)
 SELECT l.feature, round(q.cap, 6) AS cap, CAST(sum(CASE WHEN l.value >= q.cap THEN 1 ELSE 0 END) AS BIGINT) AS n_capped,
-       round(sum(CASE WHEN l.value > q.cap THEN q.cap ELSE l.value END), 2) AS total
+       round(avg(CASE WHEN l.value > q.cap THEN q.cap ELSE l.value END), 4) AS mean
 FROM l JOIN q ON l.feature = q.feature GROUP BY l.feature, q.cap""")
 def q_cap_outliers(spark, sf_dir):
     s = _numeric_frame(spark, sf_dir)
@@ -70,14 +70,14 @@ def q_cap_outliers(spark, sf_dir):
     long = capped.select(F.explode(arr).alias("x")).select("x.*")
     return long.groupBy("feature", "cap").agg(
         F.sum((F.col("value") >= F.col("cap")).cast("long")).alias("n_capped"),
-        F.round(F.sum("value"), 2).alias("total")).select("feature", rnd("cap", 6).alias("cap"), "n_capped", "total")
+        F.round(F.avg("value"), 4).alias("mean")).select("feature", rnd("cap", 6).alias("cap"), "n_capped", "mean")
 
 
 @query("impute_median", f"""
 WITH s AS ({SQL_NUMERIC}), l AS ({_long_sql('s', ['income', 'debt_to_income_ratio'])}),
 q AS (SELECT feature, quantile_cont(value, 0.5) AS med FROM l GROUP BY feature)
 SELECT l.feature, round(q.med, 6) AS median, CAST(sum(CASE WHEN l.value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_filled,
-       round(sum(coalesce(l.value, q.med)), 2) AS total
+       round(avg(coalesce(l.value, q.med)), 4) AS mean
 FROM l JOIN q ON l.feature = q.feature GROUP BY l.feature, q.med""")
 def q_impute_median(spark, sf_dir):
     cols = ["income", "debt_to_income_ratio"]
@@ -93,7 +93,7 @@ def q_impute_median(spark, sf_dir):
     del arr
     return long.groupBy("feature", "median").agg(
         F.sum(F.col("orig").isNull().cast("long")).alias("n_filled"),
-        F.round(F.sum("value"), 2).alias("total")).select("feature", rnd("median", 6).alias("median"), "n_filled", "total")
+        F.round(F.avg("value"), 4).alias("mean")).select("feature", rnd("median", 6).alias("median"), "n_filled", "mean")
 
 
 @query("rare_bucket", f"""
@@ -129,14 +129,14 @@ cl AS ({_long_sql('s', CAPS)}), caps AS (SELECT feature, quantile_cont(value, 0.
 nl AS (SELECT l.feature, CASE WHEN l.value > caps.cap THEN caps.cap ELSE l.value END AS value
        FROM ({num_long}) l LEFT JOIN caps ON l.feature = caps.feature),
 med AS (SELECT feature, quantile_cont(value, 0.5) AS m FROM nl GROUP BY feature),
-numres AS (SELECT nl.feature, round(sum(coalesce(nl.value, med.m)), 2) AS total, CAST(count(*) AS BIGINT) AS n
+numres AS (SELECT nl.feature, round(avg(coalesce(nl.value, med.m)), 4) AS mean, CAST(count(*) AS BIGINT) AS n
            FROM nl JOIN med ON nl.feature = med.feature GROUP BY nl.feature),
 cv AS ({cats}),
 cnt AS (SELECT c, v, count(*) AS k FROM cv GROUP BY c, v),
 b AS (SELECT cv.c, CASE WHEN cnt.k < 50 THEN 'Other' ELSE cv.v END AS v FROM cv JOIN cnt ON cv.c = cnt.c AND cv.v = cnt.v),
 lv AS (SELECT DISTINCT c, v FROM b),
 keep AS (SELECT c, v FROM (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) AS rn FROM lv) WHERE rn > 1),
-catres AS (SELECT keep.c || '_' || keep.v AS feature, round(CAST(count(b.v) AS DOUBLE), 2) AS total,
+catres AS (SELECT keep.c || '_' || keep.v AS feature, round(CAST(count(b.v) AS DOUBLE) / (SELECT count(*) FROM s), 4) AS mean,
                   CAST((SELECT count(*) FROM s) AS BIGINT) AS n
            FROM keep LEFT JOIN b ON b.c = keep.c AND b.v = keep.v GROUP BY 1)
 SELECT * FROM numres UNION ALL SELECT * FROM catres"""
@@ -150,7 +150,7 @@ def q_feature_matrix(spark, sf_dir):
     cols = spec.output_columns()
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
     return (m.select(F.explode(arr).alias("x")).groupBy("x.feature")
-            .agg(F.round(F.sum("x.v"), 2).alias("total"), F.count(F.lit(1)).alias("n")))
+            .agg(F.round(F.avg("x.v"), 4).alias("mean"), F.count(F.lit(1)).alias("n")))
 
 
 @query("standardize", f"""
