@@ -64,12 +64,16 @@ def count_at_or_below(value: Column, points: list[float]) -> Column:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write an (aggregated) intermediate to the shared checkpoint folder and
-    cut its lineage, so the edge-sampling job and the main job do not both
-    recompute the upstream plan.  Survives executor loss (reliable files)."""
-    from auditlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an (aggregated) intermediate as Parquet below the shared
+    checkpoint folder and read it back, cutting its lineage, so that the
+    edge-sampling job and the main job do not both recompute the upstream
+    plan.  Files in the shared folder survive executor loss."""
+    import uuid
+
+    from auditlens.session import scratch_path
+    path = scratch_path(df.sparkSession, f"mat-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],

@@ -148,9 +148,12 @@ def q_feature_matrix(spark, sf_dir):
     spec = FE.FeatureSpec.fit(s, FM_CATS, NUMS)
     m = spec.transform(s)
     cols = spec.output_columns()
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
-    return (m.select(F.explode(arr).alias("x")).groupBy("x.feature")
-            .agg(F.round(F.avg("x.v"), 4).alias("mean"), F.count(F.lit(1)).alias("n")))
+    # one wide aggregate over the matrix, then the single result row is stacked
+    one = m.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
+                F.count(F.lit(1)).alias("_n"))
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"a{i}").alias("v")) for i, c in enumerate(cols)])
+    return one.select(F.explode(arr).alias("x"), "_n").select("x.feature", F.round("x.v", 4).alias("mean"),
+                                                              F.col("_n").alias("n"))
 
 
 @query("standardize", f"""
