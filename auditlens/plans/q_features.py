@@ -146,14 +146,20 @@ SELECT * FROM numres UNION ALL SELECT * FROM catres"""
 def q_feature_matrix(spark, sf_dir):
     s = scored(spark, sf_dir, with_part=True)
     spec = FE.FeatureSpec.fit(s, FM_CATS, NUMS)
-    m = spec.transform(s)
-    cols = spec.output_columns()
-    # one wide aggregate over the matrix, then the single result row is stacked
-    one = m.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
-                F.count(F.lit(1)).alias("_n"))
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"a{i}").alias("v")) for i, c in enumerate(cols)])
-    return one.select(F.explode(arr).alias("x"), "_n").select("x.feature", F.round("x.v", 4).alias("mean"),
-                                                              F.col("_n").alias("n"))
+    m = spec.transform(s, levels_only=True)
+    num = m.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in spec.num_features], F.count(F.lit(1)).alias("_n"))
+    num_long = num.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v"))
+                                              for c in spec.num_features])).alias("x"), "_n") \
+                  .select("x.feature", F.round("x.v", 4).alias("mean"), F.col("_n").alias("n"))
+    # dummy means = share of each kept level (first level dropped): one unpivot of the narrow level columns
+    lv = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"__lv_{c}").alias("v"))
+                                      for c in spec.cat_features])).alias("x")).groupBy("x.c", "x.v").count()
+    dropped = m.sparkSession.createDataFrame([(c, spec.levels[c][0]) for c in spec.cat_features], "c STRING, v STRING")
+    kept = lv.join(F.broadcast(dropped), ["c", "v"], "left_anti")
+    n_rows = num.select("_n")
+    cat_long = kept.crossJoin(n_rows).select(F.concat_ws("_", "c", "v").alias("feature"),
+                                            F.round(F.col("count") / F.col("_n"), 4).alias("mean"), F.col("_n").alias("n"))
+    return num_long.unionByName(cat_long)
 
 
 @query("standardize", f"""
