@@ -108,7 +108,8 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
 
 
 def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
-                       group_cols: list[str] | tuple = (), n_buckets: int | None = None) -> DataFrame:
+                       group_cols: list[str] | tuple = (), n_buckets: int | None = None,
+                       weight_col: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (NumPy default, SQL
     ``percentile`` / ``quantile_cont``), computed without gathering a group's
     values in one task.  ``probs`` holds (*group_cols, p) rows, so the
@@ -117,9 +118,10 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
     Returns ``(*group_cols, p DOUBLE, q DOUBLE)``.
     """
     g = list(group_cols)
+    w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     vals = (df.where(F.col(value_col).isNotNull())
-            .select(*g, F.col(value_col).cast("double").alias("_v"))
-            .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n")))
+            .select(*g, F.col(value_col).cast("double").alias("_v"), w.alias("_w"))
+            .groupBy(*g, "_v").agg(F.sum("_w").alias("_n")))
     cum = running_totals(vals, "_v", ["_n"], g, n_buckets=n_buckets)
     cum = cum.select(*g, "_v", (F.col("cum__n") - F.col("_n")).alias("_start"), F.col("cum__n").alias("_end"))
     totals = vals.groupBy(*g).agg(F.sum("_n").alias("_N"))
@@ -144,14 +146,16 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | tuple = (), n_buckets: int | None = None) -> DataFrame:
-    """``exact_quantiles_at`` for a fixed list of probabilities."""
+                    group_cols: list[str] | tuple = (), n_buckets: int | None = None,
+                    weight_col: str | None = None) -> DataFrame:
+    """``exact_quantiles_at`` for a fixed list of probabilities (rows may
+    carry an integer ``weight_col`` = number of identical values)."""
     g = list(group_cols)
     plist = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p DOUBLE")
     if g:
         keys = df.where(F.col(value_col).isNotNull()).select(*g).distinct()
         plist = keys.crossJoin(F.broadcast(plist))
-    return exact_quantiles_at(df, value_col, plist, g, n_buckets)
+    return exact_quantiles_at(df, value_col, plist, g, n_buckets, weight_col)
 
 
 def threshold_counts(hist: DataFrame, thresholds: list[float], score_col: str = "score",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd, safe_div, uniform_bin, when_chain
-from auditlens.functions.ordered import exact_quantiles
+from auditlens.functions.ordered import exact_quantiles, materialize
 
 
 def calibration_curve(scored: DataFrame, n_bins: int = 10, keys=(), y="y", p="y_prob") -> DataFrame:
@@ -73,19 +73,21 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
     probs = [i / n_bins for i in range(n_bins + 1)]
     e = expected.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
     a = actual.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
-    q = exact_quantiles(e, "value", probs, ["feature"])
+    both = e.withColumn("side", F.lit("e")).unionByName(a.withColumn("side", F.lit("a")))
+    # one pass over the inputs: value counts per side, written once and reused below
+    vc = materialize(both.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("c")))
+    q = exact_quantiles(vc.where(F.col("side") == "e"), "value", probs, ["feature"], weight_col="c")
     edges = q.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges"))  # <= n_bins+1 values
-    both = (e.withColumn("side", F.lit("e")).unionByName(a.withColumn("side", F.lit("a"))))
-    tot = both.groupBy("feature").agg(F.sum((F.col("side") == "e").cast("long")).alias("n_e"),
-                                      F.sum((F.col("side") == "a").cast("long")).alias("n_a"))
-    j = both.join(F.broadcast(edges), "feature")  # one row per feature
+    tot = vc.groupBy("feature").agg(F.sum(F.when(F.col("side") == "e", F.col("c")).otherwise(0)).alias("n_e"),
+                                    F.sum(F.when(F.col("side") == "a", F.col("c")).otherwise(0)).alias("n_a"))
+    j = vc.join(F.broadcast(edges), "feature")  # one row per feature
     last = F.element_at("edges", -1)
     idx = F.size(F.filter("edges", lambda x: x <= F.col("value"))) - 1
     binx = F.when(F.col("value") == last, F.size("edges") - 2).otherwise(idx)
     inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= last)
     cnt = (j.where(inside).groupBy("feature", binx.alias("bin"))
-           .agg(F.sum((F.col("side") == "e").cast("long")).alias("c_e"),
-                F.sum((F.col("side") == "a").cast("long")).alias("c_a")))
+           .agg(F.sum(F.when(F.col("side") == "e", F.col("c")).otherwise(0)).alias("c_e"),
+                F.sum(F.when(F.col("side") == "a", F.col("c")).otherwise(0)).alias("c_a")))
     bins = edges.where(F.size("edges") >= 3).select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     full = (bins.join(cnt, ["feature", "bin"], "left").join(tot, "feature")
             .withColumn("pe", F.coalesce(safe_div("c_e", "n_e"), F.lit(0.0)))
@@ -94,7 +96,8 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
             .withColumn("pa", F.when(F.col("pa") == 0, F.lit(eps)).otherwise(F.col("pa"))))
     psi = full.groupBy("feature").agg(F.sum((F.col("pa") - F.col("pe")) * F.log(F.col("pa") / F.col("pe"))).alias("psi"))
     return (tot.join(psi, "feature", "left")
-            .select("feature", rnd("psi").alias("psi"), F.col("n_e").alias("n_train"), F.col("n_a").alias("n_holdout")))
+            .select("feature", rnd("psi").alias("psi"), F.col("n_e").cast("long").alias("n_train"),
+                    F.col("n_a").cast("long").alias("n_holdout")))
 
 
 def to_long(df: DataFrame, cols: list[str]) -> DataFrame:

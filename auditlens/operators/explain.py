@@ -41,22 +41,28 @@ def perturbation(scored: DataFrame, model: LinearScore, features: list[str], key
     per-row hash; AUC delta vs baseline and min AIR at ``threshold``.
     All scenarios are one exploded projection and one histogram."""
     feats = [f for f in features if f in scored.columns]
-    scen = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(float(lv)).alias("level"))
+    # scenario "none"/0 is the unperturbed baseline, scored in the same pass
+    scen = F.array(F.struct(F.lit("none").alias("feature"), F.lit(0.0).alias("level")),
+                   *[F.struct(F.lit(f).alias("feature"), F.lit(float(lv)).alias("level"))
                      for f in feats for lv in levels])
-    base = scored.select(*keys, *model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).alias("_g"))
+    base = scored.select(*keys, *model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("_g"))
     x = base.select("*", F.explode(scen).alias("_s")).select("*", "_s.feature", "_s.level").drop("_s")
     h = hash_unit(keys + ["feature", "level"], seed)
     noise = F.lit(1.0) - F.col("level") + F.lit(2.0) * F.col("level") * h
     cols = {f: F.when(F.col("feature") == f, F.col(f) * noise).otherwise(F.col(f)) for f in model.coefs}
     pert = x.withColumn("y_prob", model.score(cols))
-    auc_p = ranking_metrics(score_hist(pert, ["feature", "level"]), ["feature", "level"]).select("feature", "level", "auc")
-    auc_b = ranking_metrics(score_hist(base.withColumn("y_prob", model.score()))).select(F.col("auc").alias("base"))
-    pred = (F.col("y_prob") >= F.lit(float(threshold))).cast("int")
-    rates = pert.groupBy("feature", "level", "_g").agg((F.sum(pred) / F.count(F.lit(1))).alias("_r"))
+    # one histogram keyed by (scenario, group, score) serves AUC and AIR
+    hist = score_hist(pert, ["feature", "level", "_g"])
+    h2 = hist.groupBy("feature", "level", "score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"),
+                                                        F.sum("sse").alias("sse"), F.sum("neg").alias("neg"))
+    auc = ranking_metrics(h2, ["feature", "level"]).select("feature", "level", "auc")
+    auc_b = auc.where(F.col("feature") == "none").select(F.col("auc").alias("base"))
+    pred_n = F.when(F.col("score") >= F.lit(float(threshold)), F.col("n")).otherwise(F.lit(0))
+    rates = hist.groupBy("feature", "level", "_g").agg((F.sum(pred_n) / F.sum("n")).alias("_r"))
     ref = rates.where(F.col("_g") == reference).select("feature", "level", F.col("_r").alias("_ref"))
     air = (rates.where(F.col("_g") != reference).join(ref, ["feature", "level"], "left")
            .groupBy("feature", "level").agg(F.min(F.when(F.col("_ref") > 0, F.col("_r") / F.col("_ref"))).alias("_air")))
-    j = auc_p.crossJoin(F.broadcast(auc_b)).join(air, ["feature", "level"], "left")
+    j = auc.where(F.col("feature") != "none").crossJoin(F.broadcast(auc_b)).join(air, ["feature", "level"], "left")
     delta = F.col("auc") - F.col("base")
     return j.select("feature", F.concat(F.lit("±"), (F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("noise_level"),
                     rnd("base").alias("baseline_auc"), rnd("auc").alias("perturbed_auc"), rnd(delta).alias("auc_delta"),

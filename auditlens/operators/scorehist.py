@@ -12,24 +12,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import ratio, rnd, safe_div
-from auditlens.functions.ordered import running_totals
+from auditlens.functions.ordered import materialize, running_totals
 
 
-def score_hist(scored: DataFrame, keys: list[str] | tuple = (), y: str = "y", p: str = "y_prob") -> DataFrame:
-    """(keys…, score, n, pos, neg, sum_sq_err) with one row per distinct score."""
+def score_hist(scored: DataFrame, keys: list[str] | tuple = (), y: str = "y", p: str = "y_prob",
+               materialized: bool = True) -> DataFrame:
+    """(keys…, score, n, pos, neg, sse) with one row per distinct score.
+
+    The histogram is written once to the shared checkpoint folder, so every
+    metric derived from it (edges, totals, cumulative counts, confusion
+    counts) reads it instead of recomputing the scored input."""
     k = list(keys)
-    return (scored.where(F.col(p).isNotNull() & F.col(y).isNotNull())
-            .groupBy(*k, F.col(p).cast("double").alias("score"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"),
-                 F.sum((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("sse"))
-            .withColumn("neg", F.col("n") - F.col("pos")))
+    h = (scored.where(F.col(p).isNotNull() & F.col(y).isNotNull())
+         .groupBy(*k, F.col(p).cast("double").alias("score"))
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"),
+              F.sum((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("sse"))
+         .withColumn("neg", F.col("n") - F.col("pos")))
+    return materialize(h) if materialized else h
 
 
 def cumulative(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     """Add totals (N_all, P, Nn) and inclusive cumulative counts (cum_pos, cum_neg,
     i.e. scores <= this one) per key group."""
     k = list(keys)
-    cum = running_totals(hist, "score", ["pos", "neg"], k)
+    cum = running_totals(hist, "score", ["pos", "neg"], k, checkpoint=False)
     tot = hist.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("Nn"),
                                F.sum("n").alias("N_all"), F.sum("sse").alias("tot_sse"))
     return cum.join(tot, k, "inner") if k else cum.crossJoin(F.broadcast(tot))
