@@ -38,41 +38,45 @@ def _refs_frame(spark: SparkSession, reference_groups: dict[str, str]) -> DataFr
 def subgroup_counts(scored: DataFrame, attributes: dict[str, str], thresholds: list[float],
                     keys=(), y="y", p="y_prob", n_bins: int = 10) -> DataFrame:
     """(keys…, attribute, group, threshold, n, pos, pred_pos, tp, ece) for
-    every threshold; ece is the unweighted bin-gap mean (null when n < 20)."""
+    every threshold; ece is the unweighted bin-gap mean (null when n < 20).
+
+    A linear chain with no branches, so the input is read once:
+    rows → (group, calibration bin) partial counts with one conditional sum
+    per threshold → (group) totals and the mean bin gap."""
     k = list(keys)
     ts = sorted(set(float(t) for t in thresholds))
     long = attribute_long(scored, attributes, k, y, p)
-    cells = (long.groupBy(*k, "attribute", "group", uniform_bin(F.col("_p"), n_bins).alias("_bin"),
-                          count_at_or_below(F.col("_p"), ts).alias("_k"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"), F.sum("_p").alias("_sp")))
     g = k + ["attribute", "group"]
+    pred = [(F.col("_p") >= F.lit(t)).cast("long") for t in ts]
+    cells = long.groupBy(*g, uniform_bin(F.col("_p"), n_bins).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"), F.sum("_p").alias("_sp"),
+        *[F.sum(pr).alias(f"_pp{j}") for j, pr in enumerate(pred)],
+        *[F.sum(pr * F.col("_y")).alias(f"_tp{j}") for j, pr in enumerate(pred)])
     per_group = cells.groupBy(*g).agg(
         F.sum("_n").alias("n"), F.sum("_pos").alias("pos"),
-        *[F.coalesce(F.sum(F.when(F.col("_k") > j, F.col("_n"))), F.lit(0)).alias(f"_pp{j}") for j in range(len(ts))],
-        *[F.coalesce(F.sum(F.when(F.col("_k") > j, F.col("_pos"))), F.lit(0)).alias(f"_tp{j}") for j in range(len(ts))])
-    per_bin = cells.groupBy(*g, "_bin").agg(F.sum("_n").alias("nb"), F.sum("_pos").alias("pb"), F.sum("_sp").alias("sb"))
-    ece = per_bin.groupBy(*g).agg(
-        F.sum("nb").alias("_ne"),
-        F.avg(F.abs(F.col("pb") / F.col("nb") - F.col("sb") / F.col("nb"))).alias("_ece"))
-    out = per_group.join(ece, g, "inner")
+        F.avg(F.abs(F.col("_pos") / F.col("_n") - F.col("_sp") / F.col("_n"))).alias("_ece"),
+        *[F.sum(f"_pp{j}").alias(f"_pp{j}") for j in range(len(ts))],
+        *[F.sum(f"_tp{j}").alias(f"_tp{j}") for j in range(len(ts))])
     arr = F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"_pp{j}").alias("pred_pos"),
                              F.col(f"_tp{j}").alias("tp")) for j, t in enumerate(ts)])
-    return out.select(*g, F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"),
-                      F.when(F.col("_ne") >= 20, F.col("_ece")).alias("ece"), F.explode(arr).alias("_t")) \
-              .select(*g, "_t.threshold", "n", "pos", F.col("_t.pred_pos").cast("long").alias("pred_pos"),
-                      F.col("_t.tp").cast("long").alias("tp"), "ece")
+    return per_group.select(*g, F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"),
+                            F.when(F.col("n") >= 20, F.col("_ece")).alias("ece"), F.explode(arr).alias("_t")) \
+                    .select(*g, "_t.threshold", "n", "pos", F.col("_t.pred_pos").cast("long").alias("pred_pos"),
+                            F.col("_t.tp").cast("long").alias("tp"), "ece")
 
 
 def fairness_from_counts(counts: DataFrame, reference_groups: dict[str, str], keys=()) -> DataFrame:
-    """Rates, AIR vs the reference group of each attribute, error rates."""
+    """Rates, AIR vs the reference group of each attribute, error rates.  The
+    reference rate is a window over the small per-group table (no self-join)."""
+    from pyspark.sql import Window
     k = list(keys)
     spark = counts.sparkSession
     refs = _refs_frame(spark, reference_groups)
     c = counts.withColumn("approval_rate_raw", safe_div("pred_pos", "n"))
     with_ref = c.join(refs, "attribute", "left")
-    ref_rates = (with_ref.where(F.col("group") == F.col("ref_group"))
-                 .select(*k, "attribute", "threshold", F.col("approval_rate_raw").alias("_ref_rate")))
-    j = with_ref.join(ref_rates, k + ["attribute", "threshold"], "left")
+    w = Window.partitionBy(*k, "attribute", "threshold")
+    j = with_ref.withColumn("_ref_rate", F.max(F.when(F.col("group") == F.col("ref_group"),
+                                                      F.col("approval_rate_raw"))).over(w))
     is_ref = F.coalesce(F.col("group") == F.col("ref_group"), F.lit(False))
     air = F.when(is_ref, F.lit(1.0)).otherwise(
         F.when(F.col("_ref_rate") > 0, F.col("approval_rate_raw") / F.col("_ref_rate")))
