@@ -109,7 +109,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
 
 def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
                        group_cols: list[str] | tuple = (), n_buckets: int | None = None,
-                       weight_col: str | None = None) -> DataFrame:
+                       weight_col: str | None = None, checkpoint: bool = True) -> DataFrame:
     """Exact quantiles with linear interpolation (NumPy default, SQL
     ``percentile`` / ``quantile_cont``), computed without gathering a group's
     values in one task.  ``probs`` holds (*group_cols, p) rows, so the
@@ -122,11 +122,17 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
     vals = (df.where(F.col(value_col).isNotNull())
             .select(*g, F.col(value_col).cast("double").alias("_v"), w.alias("_w"))
             .groupBy(*g, "_v").agg(F.sum("_w").alias("_n")))
-    cum = running_totals(vals, "_v", ["_n"], g, n_buckets=n_buckets)
+    if checkpoint:
+        vals = materialize(vals)
+    cum = running_totals(vals, "_v", ["_n"], g, n_buckets=n_buckets, checkpoint=False)
     cum = cum.select(*g, "_v", (F.col("cum__n") - F.col("_n")).alias("_start"), F.col("cum__n").alias("_end"))
     totals = vals.groupBy(*g).agg(F.sum("_n").alias("_N"))
-    tp = probs.select(*g, F.col("p").cast("double").alias("p"))
-    tp = tp.join(totals, g, "inner") if g else tp.crossJoin(totals)
+    if g and not set(g) <= set(probs.columns):
+        # one list of probabilities for every group (bounded: len(probs) rows)
+        tp = totals.crossJoin(F.broadcast(probs.select(F.col("p").cast("double").alias("p"))))
+    else:
+        tp = probs.select(*g, F.col("p").cast("double").alias("p"))
+        tp = tp.join(totals, g, "inner") if g else tp.crossJoin(totals)
     targets = (tp.withColumn("_pos", F.col("p") * (F.col("_N") - 1))
                .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
                .select(*g, "p", "_pos", "_lo",
@@ -147,15 +153,13 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                     group_cols: list[str] | tuple = (), n_buckets: int | None = None,
-                    weight_col: str | None = None) -> DataFrame:
+                    weight_col: str | None = None, checkpoint: bool = True) -> DataFrame:
     """``exact_quantiles_at`` for a fixed list of probabilities (rows may
-    carry an integer ``weight_col`` = number of identical values)."""
+    carry an integer ``weight_col`` = number of identical values).  With
+    ``checkpoint=False`` the caller promises a cheap, already written input."""
     g = list(group_cols)
     plist = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p DOUBLE")
-    if g:
-        keys = df.where(F.col(value_col).isNotNull()).select(*g).distinct()
-        plist = keys.crossJoin(F.broadcast(plist))
-    return exact_quantiles_at(df, value_col, plist, g, n_buckets, weight_col)
+    return exact_quantiles_at(df, value_col, plist, g, n_buckets, weight_col, checkpoint)
 
 
 def threshold_counts(hist: DataFrame, thresholds: list[float], score_col: str = "score",

@@ -76,7 +76,7 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
     both = e.withColumn("side", F.lit("e")).unionByName(a.withColumn("side", F.lit("a")))
     # one pass over the inputs: value counts per side, written once and reused below
     vc = materialize(both.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("c")))
-    q = exact_quantiles(vc.where(F.col("side") == "e"), "value", probs, ["feature"], weight_col="c")
+    q = exact_quantiles(vc.where(F.col("side") == "e"), "value", probs, ["feature"], weight_col="c", checkpoint=False)
     edges = q.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges"))  # <= n_bins+1 values
     tot = vc.groupBy("feature").agg(F.sum(F.when(F.col("side") == "e", F.col("c")).otherwise(0)).alias("n_e"),
                                     F.sum(F.when(F.col("side") == "a", F.col("c")).otherwise(0)).alias("n_a"))
