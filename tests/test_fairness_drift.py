@@ -113,3 +113,14 @@ def test_km_simple(spark):
     assert c[3.0]["survival"] == 0.0 and c[2.0]["n_at_risk"] == 3
     t = SU.km_at_time(df, 2.0).first()
     assert t["survival"] == 0.5 and t["n_risk"] == 3 and t["n_event"] == 2 and t["n_censored"] == 1
+
+
+def test_clean_numeric_and_datetime(spark):
+    from auditlens.operators.features import clean_datetime, clean_numeric, encode_dti
+    df = spark.createDataFrame([("1e3", "2024-01-02 03:04:05", "36"), (" 7 ", "junk", "36.0"), ("1.0d", None, "<20%"),
+                                ("abc", "2024-02-30", "Exempt"), ("", "", "NA"), ("NaN", "", "wat")],
+                               "x STRING, t STRING, debt_to_income_ratio STRING")
+    out = encode_dti(clean_datetime(clean_numeric(df, ["x", "missing"]), ["t"])).collect()
+    assert [r["x"] for r in out] == [1000.0, 7.0, None, None, None, None]
+    assert out[0]["t"] is not None and all(r["t"] is None for r in out[1:])
+    assert [r["debt_to_income_ratio"] for r in out] == [36.0, 36.0, 10.0, None, None, None]

@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF
 
-SKIP_SLOW = {"logreg_scores", "gbt_scores", "feature_importance", "model_registry", "proxy_ablation"}
+SKIP_SLOW = {"logreg_scores", "gbt_scores", "feature_importance", "model_registry", "proxy_ablation",
+             "gbt_early_stopping"}
 
 
 def test_entry(spark):
