@@ -124,3 +124,17 @@ def test_clean_numeric_and_datetime(spark):
     assert [r["x"] for r in out] == [1000.0, 7.0, None, None, None, None]
     assert out[0]["t"] is not None and all(r["t"] is None for r in out[1:])
     assert [r["debt_to_income_ratio"] for r in out] == [36.0, 36.0, 10.0, None, None, None]
+
+
+def test_results_unchanged_under_repartition(spark):
+    from auditlens.operators.scorehist import ranking_metrics, score_hist
+    rng = np.random.default_rng(9)
+    rows = [(str(g), int(y), float(p)) for g, y, p in zip(rng.integers(0, 4, 400), rng.integers(0, 2, 400),
+                                                           np.round(rng.random(400), 2))]
+    df = fair_df(spark, rows)
+    a = sorted(map(tuple, FA.fairness_table(df, {"A": "g"}, {"A": "0"}).collect()))
+    b = sorted(map(tuple, FA.fairness_table(df.repartition(7), {"A": "g"}, {"A": "0"}).collect()))
+    assert a == b
+    ra = ranking_metrics(score_hist(df, ["g"]), ["g"]).orderBy("g").collect()
+    rb = ranking_metrics(score_hist(df.repartition(5), ["g"]), ["g"]).orderBy("g").collect()
+    assert [r["auc"] for r in ra] == pytest.approx([r["auc"] for r in rb])
