@@ -48,9 +48,11 @@ def perturbation(scored: DataFrame, model: LinearScore, features: list[str], key
     base = scored.select(*keys, *model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("_g"))
     x = base.select("*", F.explode(scen).alias("_s")).select("*", "_s.feature", "_s.level").drop("_s")
     h = hash_unit(keys + ["feature", "level"], seed)
-    noise = F.lit(1.0) - F.col("level") + F.lit(2.0) * F.col("level") * h
-    cols = {f: F.when(F.col("feature") == f, F.col(f) * noise).otherwise(F.col(f)) for f in model.coefs}
-    pert = x.withColumn("y_prob", model.score(cols))
+    # the noise factor is computed once per row (baseline rows skip the hash)
+    x = x.withColumn("_noise", F.when(F.col("level") > 0, F.lit(1.0) - F.col("level") + F.lit(2.0) * F.col("level") * h)
+                     .otherwise(F.lit(1.0)))
+    cols = {f: F.when(F.col("feature") == f, F.col(f) * F.col("_noise")).otherwise(F.col(f)) for f in model.coefs}
+    pert = x.withColumn("y_prob", model.score(cols)).select("feature", "level", "_g", "y", "y_prob")
     # one histogram keyed by (scenario, group, score) serves AUC and AIR
     hist = score_hist(pert, ["feature", "level", "_g"])
     h2 = hist.groupBy("feature", "level", "score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"),
