@@ -70,7 +70,7 @@ def q_ece_gap(spark, sf_dir):
 
 def _periods(spark, sf_dir):
     s = scored(spark, sf_dir)
-    cut = F.lit(dt.datetime(1999, 1, 1))
+    cut = V.ntz("1999-01-01 00:00:00")
     base = s.where(F.col("event_time") < cut)
     cur = s.where(F.col("event_time") >= cut).withColumn("loan_amount", F.col("loan_amount") * F.lit(1.2))
     return base, cur

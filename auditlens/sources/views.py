@@ -32,6 +32,16 @@ HOLDOUT_STATES = ["NATION_3"]
 PERIOD_START = _dt.datetime(1999, 1, 1)
 
 
+def ntz(text: str):
+    """A TIMESTAMP_NTZ literal (independent of the session time zone)."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def month_of(col: str):
+    """Month start as TIMESTAMP_NTZ (date_trunc returns a zoned timestamp)."""
+    return F.date_trunc("month", F.col(col)).cast("timestamp_ntz")
+
+
 def applications(t: Tables, with_part: bool = False, with_supplier: bool = False) -> DataFrame:
     """One row per line item with application-like columns (raw: all rows,
     ``action_taken`` codes 1..8)."""
@@ -76,7 +86,7 @@ def applications(t: Tables, with_part: bool = False, with_supplier: bool = False
         F.col("l_linestatus").alias("derived_ethnicity"),
         F.col("o_orderpriority").alias("applicant_age"),
         F.col("n_name").alias("state_code"),
-        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("event_time"),  # wall-clock time, no session zone
         F.when(F.col("c_acctbal") < 0, F.lit("NA")).otherwise(F.col("c_acctbal").cast("string")).alias("income"),
         F.col("l_extendedprice").alias("loan_amount"),
         F.col("o_totalprice").alias("property_value"),
