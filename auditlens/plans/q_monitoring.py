@@ -23,7 +23,8 @@ from auditlens.sources import views as V
 from auditlens.plans.sqlgen import bin_sql, dbl, fairness_sql, values
 
 CUT = dt.datetime(1999, 1, 1)
-CUT_LIT = V.ntz("1999-01-01 00:00:00")
+def cut_lit():
+    return V.ntz("1999-01-01 00:00:00")
 CUT_SQL = "TIMESTAMP '1999-01-01'"
 AIR_METRICS = {
     "AIR — Black applicants": ("Race", "MIDDLE EAST"),
@@ -40,8 +41,8 @@ def _num(df):
 
 def periods(spark, sf_dir):
     s = _num(scored(spark, sf_dir))
-    base = s.where(F.col("event_time") < CUT_LIT)
-    cur = s.where(F.col("event_time") >= CUT_LIT).withColumn("loan_amount", F.col("loan_amount") * F.lit(1.2))
+    base = s.where(F.col("event_time") < cut_lit())
+    cur = s.where(F.col("event_time") >= cut_lit()).withColumn("loan_amount", F.col("loan_amount") * F.lit(1.2))
     return base, cur
 
 
@@ -228,7 +229,7 @@ SELECT attribute, "group", round(gap_baseline, 4) AS gap_baseline, round(gap_cur
        round(CASE WHEN gap_baseline <> 0 THEN (gap_current - gap_baseline) / abs(gap_baseline) END, 4) AS relative_change,
        coalesce((gap_current - gap_baseline) / nullif(abs(gap_baseline), 0) > 0.20, false) AS widening FROM w""")
 def q_fnr_gap_widening(spark, sf_dir):
-    s = scored(spark, sf_dir).withColumn("period", F.when(F.col("event_time") < CUT_LIT, "baseline").otherwise("current"))
+    s = scored(spark, sf_dir).withColumn("period", F.when(F.col("event_time") < cut_lit(), "baseline").otherwise("current"))
     f = FA.fairness_table(s, ATTRS, REFS, 0.5, keys=["period"])
     r = f.where("is_reference").select("period", "attribute", F.col("fnr").alias("fnr_ref"))
     g = f.where(~F.col("is_reference")).join(r, ["period", "attribute"]).select(
@@ -299,8 +300,8 @@ m AS (SELECT month, avg(CAST(1 - y AS DOUBLE)) AS r FROM s WHERE event_time >= {
 SELECT month, round(r, 4) AS loss_rate, round(base, 4) AS baseline_loss_rate, r - base > 0.005 AS breach FROM m, b""")
 def q_loss_breach(spark, sf_dir):
     s = scored(spark, sf_dir).withColumn("month", V.month_of("event_time")).withColumn("loss", (1 - F.col("y")).cast("double"))
-    b = s.where(F.col("event_time") < CUT_LIT).agg(F.avg("loss").alias("base"))
-    m = s.where(F.col("event_time") >= CUT_LIT).groupBy("month").agg(F.avg("loss").alias("r"))
+    b = s.where(F.col("event_time") < cut_lit()).agg(F.avg("loss").alias("base"))
+    m = s.where(F.col("event_time") >= cut_lit()).groupBy("month").agg(F.avg("loss").alias("r"))
     return m.crossJoin(F.broadcast(b)).select("month", rnd("r").alias("loss_rate"), rnd("base").alias("baseline_loss_rate"),
                                               (F.col("r") - F.col("base") > 0.005).alias("breach"))
 
