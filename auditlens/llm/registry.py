@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from auditlens.llm.bpe import op7_pair_index_bpe
 from auditlens.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from auditlens.llm.language import op5_compression_language
 from auditlens.llm.packing import op10_best_fit
 from auditlens.llm.sharding import op4_ring_shards
 
 QUERIES = {
     "op4_ring_shards": op4_ring_shards,
+    "op5_compression_language": op5_compression_language,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pair_index_bpe": op7_pair_index_bpe,
     "op10_best_fit": op10_best_fit,
