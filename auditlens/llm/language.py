@@ -1,11 +1,12 @@
 """Language identification by compression.
 
 Each language has a zstandard raw-content dictionary made of words from
-labelled documents.  A text is lower-cased and reduced to its distinct words
-(so that its own repeats cannot outweigh the dictionary), cut into short
-blocks, and compressed with every dictionary; the language with the smallest
-total wins.  The score is the relative margin between the two smallest totals;
-a margin below ``MIN_MARGIN`` is a rejection.
+labelled documents.  A text is lower-cased, reduced to its distinct words (so that its
+own repeats cannot outweigh the dictionary) and compressed with every
+dictionary; the language with the smallest result wins.  A run of zero bytes
+in front keeps zstandard from storing short texts uncompressed.  The score is
+the relative margin between the two smallest sizes; a margin below
+``MIN_MARGIN`` is a rejection.
 
 The training sample is bounded by parameters: per language the
 ``SAMPLE_DOCS`` documents with the smallest hash of their id, ``SAMPLE_WORDS``
@@ -33,7 +34,7 @@ from auditlens.llm.common import documents
 SAMPLE_DOCS = 256
 SAMPLE_WORDS = 128
 DICT_BYTES = 110 << 10
-BLOCK = 400
+FILLER = bytes(64)
 LEVEL = 6
 MIN_MARGIN = 0.005
 UNKNOWN = "und"
@@ -92,14 +93,13 @@ class Classifier:
     def __call__(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs or not LETTER.search(text):
             return UNKNOWN, 0.0
-        data = " ".join(dict.fromkeys(WORD.findall(text.lower()))).encode()
-        blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
-        totals = [sum([len(squeeze(b)) for b in blocks]) for squeeze in self.squeeze]
-        best = min(totals)
-        lang = self.langs[totals.index(best)]
-        if len(totals) == 1:
+        data = FILLER + " ".join(dict.fromkeys(WORD.findall(text.lower()))).encode()
+        sizes = [len(squeeze(data)) for squeeze in self.squeeze]
+        best = min(sizes)
+        lang = self.langs[sizes.index(best)]
+        if len(sizes) == 1:
             return lang, 1.0
-        second = sorted(totals)[1]
+        second = sorted(sizes)[1]
         return lang, (second - best) / second
 
 
