@@ -33,3 +33,12 @@ def text_or_empty(col: str | Column = "text") -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def row_keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique long ``_row``: the doc_id itself where ids are
+    unique, else numbers given to the rows of a written copy."""
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "row-keyed")

@@ -5,10 +5,14 @@ from __future__ import annotations
 from auditlens.llm.bpe import op7_pair_index_bpe
 from auditlens.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from auditlens.llm.language import op5_compression_language
+from auditlens.llm.near_dedup import op1_dart_minhash
 from auditlens.llm.packing import op10_best_fit
 from auditlens.llm.sharding import op4_ring_shards
+from auditlens.llm.suffix_dedup import op3_prefix_doubling
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
+    "op3_prefix_doubling": op3_prefix_doubling,
     "op4_ring_shards": op4_ring_shards,
     "op5_compression_language": op5_compression_language,
     "op6_exact_dedup": op6_exact_dedup,
