@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from auditlens.llm.bpe import op7_pair_index_bpe
 from auditlens.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from auditlens.llm.imatch import op9_imatch
 from auditlens.llm.language import op5_compression_language
 from auditlens.llm.near_dedup import op1_dart_minhash
 from auditlens.llm.packing import op10_best_fit
 from auditlens.llm.sharding import op4_ring_shards
 from auditlens.llm.suffix_dedup import op3_prefix_doubling
+from auditlens.llm.training_order import op8_training_order
 
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
@@ -17,6 +19,8 @@ QUERIES = {
     "op5_compression_language": op5_compression_language,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pair_index_bpe": op7_pair_index_bpe,
+    "op8_training_order": op8_training_order,
+    "op9_imatch": op9_imatch,
     "op10_best_fit": op10_best_fit,
 }
 ORACLE = {"op6_exact_dedup": OP6_SQL}
