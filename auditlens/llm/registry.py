@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from auditlens.llm.bpe import op7_pair_index_bpe
+from auditlens.llm.chat import OP2_SQL, op2_tool_calls
 from auditlens.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from auditlens.llm.imatch import op9_imatch
 from auditlens.llm.language import op5_compression_language
@@ -14,6 +16,7 @@ from auditlens.llm.training_order import op8_training_order
 
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
+    "op2_tool_calls": op2_tool_calls,
     "op3_prefix_doubling": op3_prefix_doubling,
     "op4_ring_shards": op4_ring_shards,
     "op5_compression_language": op5_compression_language,
@@ -22,5 +25,6 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_imatch": op9_imatch,
     "op10_best_fit": op10_best_fit,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLE = {"op6_exact_dedup": OP6_SQL}
+ORACLE = {"op2_tool_calls": OP2_SQL, "op6_exact_dedup": OP6_SQL}
