@@ -55,7 +55,8 @@ class DigestIndex:
 
     def append(self, batch: DataFrame) -> None:
         """Add the digests of ``batch`` (columns doc_id, digest) that are new."""
-        first = batch.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
+        # written first: else the optimizer moves the anti-join below the aggregate and whole groups of copies are shuffled
+        first = written(batch.groupBy("digest").agg(F.min("doc_id").alias("keep_id")), "exact-batch")
         fresh = first.join(self.bucketed().select("digest").hint("merge"), "digest", "left_anti")
         fresh.repartition(self.n_buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
