@@ -125,28 +125,34 @@ def numbered(calls: DataFrame) -> DataFrame:
 def link_calls(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """One row a call: conv_id, turn, step, depth, call_id, name, status,
     result_turn and the canonical JSON."""
-    parsed = written(parse_calls(messages, schemas), "chat-calls")
-    first = parsed.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "nth", "arguments", "name")).alias("f"))
-    at = first.select("conv_id", "call_id", "f.turn", "f.nth", "f.arguments", "f.name", F.lit(True).alias("_first"))
-    keys = ["conv_id", "call_id", "turn", "nth", "arguments", "name"]
-    calls = written(parsed.join(at, keys, "left"), "chat-first")
+    # joins use the conversation as text, a null one as the empty text, so that null conversations link too
+    keyed = messages.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv_id"), "turn", "text")
+    parsed = written(parse_calls(keyed, schemas), "chat-calls")
+    place = ["turn", "nth", "arguments", "name"]
+    first = parsed.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct(*place)).alias("_f"))
+    same = F.col("_f").isNotNull()
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_f.{c}"))
+    calls = written(parsed.join(first, ["conv_id", "call_id"], "left").withColumn("_first", same).drop("_f"), "chat-first")
     unique = calls.where("_first")
     deep = depths(unique.select("conv_id", "call_id", "after"))
     named = unique.select("conv_id", "call_id", F.explode("after").alias("dep"))
     lost = named.join(unique.select("conv_id", F.col("call_id").alias("dep")), ["conv_id", "dep"], "left_anti").select("conv_id", "call_id", F.lit(True).alias("_lost")).distinct()
-    linked = (unique.join(parse_results(messages).hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(deep, ["conv_id", "call_id"], "left")
+    linked = (unique.join(parse_results(keyed).hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(deep, ["conv_id", "call_id"], "left")
               .join(lost, ["conv_id", "call_id"], "left"))
-    rest = calls.where("_first is null").withColumns({"result_turn": F.lit(None).cast("long"), "result": F.lit(None).cast("string"),
+    rest = calls.where("not _first").withColumns({"result_turn": F.lit(None).cast("long"), "result": F.lit(None).cast("string"),
                                                       "depth": F.lit(None).cast("int"), "_lost": F.lit(None).cast("boolean")})
     every = linked.unionByName(rest)
     answered = F.col("result_turn") > F.col("turn")
-    status = (F.when(F.col("call_id").isNull(), "malformed").when(F.col("_first").isNull(), "duplicate")
+    status = (F.when(F.col("call_id").isNull(), "malformed").when(~F.col("_first"), "duplicate")
               .when(F.size("errors") > 0, F.array_join("errors", ",")).when(F.col("depth").isNull(), "cyclic")
               .when(F.col("_lost"), "unknown_dependency").when(answered, "ok").otherwise("no_result"))
     judged = every.withColumns({"status": status, "result_turn": F.when(answered, F.col("result_turn")), "result": F.when(answered, F.col("result"))})
     body = F.to_json(F.struct("after", F.parse_json("arguments").alias("arguments"), "depth", F.col("call_id").alias("id"), "name", "result", "result_turn", "status", "turn"),
                      {"ignoreNullFields": "false"})
-    return numbered(judged.withColumn("call_json", body)).select("conv_id", "turn", "step", "depth", "call_id", "name", "status", "result_turn", "call_json")
+    kind = messages.schema["conv_id"].dataType
+    conv = F.when(F.col("conv_id") != "", F.col("conv_id").cast(kind)).alias("conv_id")
+    return numbered(judged.withColumn("call_json", body)).select(conv, "turn", "step", "depth", "call_id", "name", "status", "result_turn", "call_json")
 
 
 def with_tool_turns(conversations: DataFrame) -> DataFrame:
