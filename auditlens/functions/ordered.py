@@ -78,10 +78,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
                    partition_cols: list[str] | tuple = (), prefix: str = "cum_",
-                   n_buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
+                   n_buckets: int | None = None, checkpoint: bool = True,
+                   totals: list[str] | tuple = (), keep_bucket: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same partition whose
-    ``order_col`` is <= the current one (ties included).
+    ``order_col`` is <= the current one (ties included), and ``all_<c>`` = the
+    partition's total for each column of ``totals``.
 
+    Totals travel in the bucket-offset table (at most partitions x buckets
+    rows), so rows meet them on (partition, bucket) and never on the partition
+    alone.  ``keep_bucket`` leaves the bucket number as ``_rb``.
     Null ``order_col`` rows are dropped; partition keys must be non-null.
     The input should already be aggregated on (partition, order value).
     """
@@ -92,10 +97,12 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
         base = materialize(base)
     edges = range_edges(base, order_col, b)
     tmp = base.withColumn("_rb", count_below(F.col(order_col).cast("double"), edges))
-    totals = tmp.groupBy(*pcols, "_rb").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    per = tmp.groupBy(*pcols, "_rb").agg(*[F.sum(c).alias(f"_t_{c}") for c in dict.fromkeys([*sum_cols, *totals])])
     w_prev = Window.partitionBy(*pcols).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*pcols, "_rb", *[
-        F.coalesce(F.sum(f"_t_{c}").over(w_prev), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    w_all = Window.partitionBy(*pcols)
+    offsets = per.select(*pcols, "_rb",
+                         *[F.coalesce(F.sum(f"_t_{c}").over(w_prev), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+                         *[F.sum(f"_t_{c}").over(w_all).alias(f"all_{c}") for c in totals])
     if not pcols:
         offsets = F.broadcast(offsets)  # at most len(edges)+1 rows
     joined = tmp.join(offsets, [*pcols, "_rb"], "inner")
@@ -104,7 +111,26 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
     out = joined
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.sum(c).over(w_in))
-    return out.drop("_rb", *[f"_o_{c}" for c in sum_cols])
+    return out.drop(*([] if keep_bucket else ["_rb"]), *[f"_o_{c}" for c in sum_cols])
+
+
+def with_group_total(df: DataFrame, keys: list[str] | tuple, value, out: str) -> DataFrame:
+    """Add the sum of ``value`` per key group to rows that carry ``_rb``:
+    bucket sums first, their total over the small table, then a join on
+    (group, bucket)."""
+    k = list(keys)
+    per = df.groupBy(*k, "_rb").agg(F.sum(value).alias("_s"))
+    tot = per.select(*k, "_rb", F.sum("_s").over(Window.partitionBy(*k)).alias(out))
+    return df.join(tot if k else F.broadcast(tot), [*k, "_rb"], "left")  # without keys: one row a bucket
+
+
+def join_small(rows: DataFrame, table: DataFrame, on, how: str = "inner", limit: int = 10_000) -> DataFrame:
+    """Join rows with an aggregated lookup table.  The table is written and
+    counted first: up to ``limit`` rows it is broadcast, so rows with few
+    distinct keys are not gathered by key; beyond that Spark shuffles both
+    sides and splits hot keys."""
+    t = materialize(table)
+    return rows.join(F.broadcast(t) if t.count() <= limit else t, on, how)
 
 
 def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
@@ -115,6 +141,8 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
     values in one task.  ``probs`` holds (*group_cols, p) rows, so the
     probability may itself come from the data.
 
+    Wanted ranks are first resolved to (group, bucket) on the table of bucket
+    counts; only the values of those buckets are ranked and joined.
     Returns ``(*group_cols, p DOUBLE, q DOUBLE)``.
     """
     g = list(group_cols)
@@ -124,15 +152,19 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
             .groupBy(*g, "_v").agg(F.sum("_w").alias("_n")))
     if checkpoint:
         vals = materialize(vals)
-    cum = running_totals(vals, "_v", ["_n"], g, n_buckets=n_buckets, checkpoint=False)
-    cum = cum.select(*g, "_v", (F.col("cum__n") - F.col("_n")).alias("_start"), F.col("cum__n").alias("_end"))
-    totals = vals.groupBy(*g).agg(F.sum("_n").alias("_N"))
+    edges = range_edges(vals, "_v", n_buckets or default_buckets(df))
+    tmp = vals.withColumn("_rb", count_below(F.col("_v"), edges))
+    w_prev = Window.partitionBy(*g).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    counts = tmp.groupBy(*g, "_rb").agg(F.sum("_n").alias("_t")).select(
+        *g, "_rb", "_t", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)).alias("_before"),
+        F.sum("_t").over(Window.partitionBy(*g)).alias("_N"))
+    tot = counts.select(*g, "_N").distinct()
     if g and not set(g) <= set(probs.columns):
         # one list of probabilities for every group (bounded: len(probs) rows)
-        tp = totals.crossJoin(F.broadcast(probs.select(F.col("p").cast("double").alias("p"))))
+        tp = tot.crossJoin(F.broadcast(probs.select(F.col("p").cast("double").alias("p"))))
     else:
         tp = probs.select(*g, F.col("p").cast("double").alias("p"))
-        tp = tp.join(totals, g, "inner") if g else tp.crossJoin(totals)
+        tp = tp.join(tot, g, "inner") if g else tp.crossJoin(tot)
     targets = (tp.withColumn("_pos", F.col("p") * (F.col("_N") - 1))
                .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
                .select(*g, "p", "_pos", "_lo",
@@ -140,10 +172,18 @@ def exact_quantiles_at(df: DataFrame, value_col: str, probs: DataFrame,
                            F.struct(F.lit(0).alias("role"), F.col("_lo").alias("rank")),
                            F.struct(F.lit(1).alias("role"), F.col("_hi").alias("rank")))).alias("t"))
                .select(*g, "p", "_pos", "_lo", "t.role", "t.rank"))
-    if not g:
-        targets = F.broadcast(targets)  # 2 rows per requested probability
-    cond = [targets[k] == cum[k] for k in g] + [cum["_start"] <= targets["rank"], targets["rank"] < cum["_end"]]
-    hit = targets.join(cum, cond, "inner").select(*[targets[k] for k in g], "p", "_pos", "_lo", "role", "_v")
+    c = counts.select(*[F.col(x).alias(f"_c_{x}") for x in g], "_rb", "_t", "_before")
+    cond = (F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_t"))
+    for x in g:
+        cond = cond & (F.col(x) == F.col(f"_c_{x}"))
+    # both sides are small: groups x probabilities and groups x buckets
+    wanted = targets.join(c if g else F.broadcast(c), cond).select(
+        *g, "_rb", "p", "_pos", "_lo", "role", (F.col("rank") - F.col("_before")).alias("_in"))
+    wanted = materialize(wanted)
+    open_buckets = wanted.select(*g, "_rb").distinct()
+    w_in = Window.partitionBy(*g, "_rb").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = tmp.join(open_buckets, [*g, "_rb"], "left_semi").withColumn("_end", F.sum("_n").over(w_in))
+    hit = wanted.join(ranked, [*g, "_rb"]).where((F.col("_in") < F.col("_end")) & (F.col("_in") >= F.col("_end") - F.col("_n")))
     res = (hit.groupBy(*g, "p", "_pos", "_lo")
            .agg(F.max(F.when(F.col("role") == 0, F.col("_v"))).alias("_vlo"),
                 F.max(F.when(F.col("role") == 1, F.col("_v"))).alias("_vhi")))
@@ -181,13 +221,12 @@ def threshold_counts(hist: DataFrame, thresholds: list[float], score_col: str =
     grid = per_k.sparkSession.createDataFrame([(i, t) for i, t in enumerate(ts)], "_j INT, threshold DOUBLE")
     groups = per_k.select(*g).distinct() if g else None
     frame = grid if groups is None else groups.crossJoin(F.broadcast(grid))
-    # pred_pos(j) = sum over k > j, i.e. scores >= t_j
-    cond = [frame[c] == per_k[c] for c in g] + [per_k["_k"] > frame["_j"]]
-    above = (frame.join(per_k, cond, "left")
-             .groupBy(*[frame[c] for c in g], frame["_j"], frame["threshold"])
-             .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("pred_pos"),
-                  F.coalesce(F.sum("_p"), F.lit(0)).alias("tp"),
-                  *[F.coalesce(F.sum(f"_x_{c}"), F.lit(0)).alias(f"pred_{c}") for c in extra_sums]))
+    # pred_pos(j) = sum over k > j, i.e. scores >= t_j: a suffix sum over at most groups x thresholds rows
+    sums = ["_n", "_p", *[f"_x_{c}" for c in extra_sums]]
+    at = frame.join(per_k.withColumn("_j", F.col("_k") - 1), [*g, "_j"], "left")
+    up = Window.partitionBy(*g).orderBy(F.col("_j").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = ["pred_pos", "tp", *[f"pred_{c}" for c in extra_sums]]
+    above = at.select(*g, "_j", "threshold", *[F.sum(F.coalesce(F.col(x), F.lit(0))).over(up).alias(y) for x, y in zip(sums, names, strict=True)])
     tot = per_k.groupBy(*g).agg(F.sum("_n").alias("n"), F.sum("_p").alias("pos"))
     out = above.join(tot, g, "inner") if g else above.crossJoin(tot)
     return out.select(*g, "threshold", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"),

@@ -73,21 +73,22 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
     probs = [i / n_bins for i in range(n_bins + 1)]
     e = expected.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
     a = actual.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
-    both = e.withColumn("side", F.lit("e")).unionByName(a.withColumn("side", F.lit("a")))
-    # one pass over the inputs: value counts per side, written once and reused below
-    vc = materialize(both.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("c")))
-    q = exact_quantiles(vc.where(F.col("side") == "e"), "value", probs, ["feature"], weight_col="c")
-    edges = q.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges"))  # <= n_bins+1 values
-    tot = vc.groupBy("feature").agg(F.sum(F.when(F.col("side") == "e", F.col("c")).otherwise(0)).alias("n_e"),
-                                    F.sum(F.when(F.col("side") == "a", F.col("c")).otherwise(0)).alias("n_a"))
-    j = vc.join(F.broadcast(edges), "feature")  # one row per feature
+    # the expected side's value counts are written once: its edges and its bins come from them;
+    # the actual side is binned row by row in one map-side aggregate
+    vc = materialize(e.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
+    q = exact_quantiles(vc, "value", probs, ["feature"], weight_col="c", checkpoint=False)
+    edges = materialize(q.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges")))  # <= n_bins+1 values a feature
     last = F.element_at("edges", -1)
     idx = F.size(F.filter("edges", lambda x: x <= F.col("value"))) - 1
-    binx = F.when(F.col("value") == last, F.size("edges") - 2).otherwise(idx)
     inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= last)
-    cnt = (j.where(inside).groupBy("feature", binx.alias("bin"))
-           .agg(F.sum(F.when(F.col("side") == "e", F.col("c")).otherwise(0)).alias("c_e"),
-                F.sum(F.when(F.col("side") == "a", F.col("c")).otherwise(0)).alias("c_a")))
+    binx = F.when(~inside | F.col("edges").isNull(), F.lit(-1)).when(F.col("value") == last, F.size("edges") - 2).otherwise(idx)
+
+    def binned(rows: DataFrame, n, out: str) -> DataFrame:
+        return rows.join(F.broadcast(edges), "feature", "left").groupBy("feature", binx.alias("bin")).agg(F.sum(n).alias(out))  # one row per feature
+
+    ce, ca = materialize(binned(vc, F.col("c"), "c_e")), materialize(binned(a, F.lit(1).cast("long"), "c_a"))  # features x bins rows
+    cnt = ce.join(ca, ["feature", "bin"], "full_outer")
+    tot = cnt.groupBy("feature").agg(F.coalesce(F.sum("c_e"), F.lit(0)).alias("n_e"), F.coalesce(F.sum("c_a"), F.lit(0)).alias("n_a"))
     bins = edges.where(F.size("edges") >= 3).select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     full = (bins.join(cnt, ["feature", "bin"], "left").join(tot, "feature")
             .withColumn("pe", F.coalesce(safe_div("c_e", "n_e"), F.lit(0.0)))

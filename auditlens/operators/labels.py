@@ -33,7 +33,7 @@ def apply_label(df: DataFrame, col: str = "action_taken") -> DataFrame:
     """Coerce the action code to a number, map it to ``y`` and drop unmapped
     rows (a filter Catalyst pushes into the Parquet scan)."""
     if col not in df.columns:
-        raise ValueError(f"Column '{col}' not found in DataFrame.")
+        raise ValueError(f"no column {col} to take the label from")
     out = df.withColumn(col, to_double(col)).withColumn("y", _label(F.col(col)))
     return out.where(F.col("y").isNotNull())
 
@@ -41,7 +41,7 @@ def apply_label(df: DataFrame, col: str = "action_taken") -> DataFrame:
 def label_log(df: DataFrame, col: str = "action_taken") -> DataFrame:
     """One row: raw, mappable, dropped, final, positive, negative and shares."""
     if col not in df.columns:
-        raise ValueError(f"Column '{col}' not found in DataFrame.")
+        raise ValueError(f"no column {col} to take the label from")
     y = _label(to_double(col))
     a = df.agg(F.count(F.lit(1)).alias("raw"), F.count(y).alias("mappable"),
                F.sum(F.when(y == 1, 1).otherwise(0)).alias("positive"))

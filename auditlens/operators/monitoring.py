@@ -11,33 +11,33 @@ from auditlens.functions.ordered import exact_quantiles, running_totals
 # The review-trigger playbook.  direction 'high' = higher is
 # better (red below red_limit, yellow below yellow_limit); 'low' = lower is
 # better (red above red_limit, yellow from yellow_limit); use_abs compares |v|.
-_AIR_Y = "Investigate source of disparity; report to compliance"
-_AIR_R = "IMMEDIATE PAUSE; fairness re-audit required"
-TRIGGER_RULES = [
-    ("AUC (overall)", "Monthly", ">= 0.72", "0.68 – 0.72", "< 0.68", "high", False, 0.68, 0.72, "ML Engineer",
-     "Review feature distributions; check for drift", "Pause deployment; initiate full retrain review"),
-    ("AIR — Black applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80,
-     "Fairness Officer", _AIR_Y, _AIR_R),
-    ("AIR — Hispanic or Latino applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80,
-     "Fairness Officer", _AIR_Y, _AIR_R),
-    ("AIR — Female applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80,
-     "Fairness Officer", _AIR_Y, _AIR_R),
-    ("AIR — Applicant sex", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80,
-     "Fairness Officer", _AIR_Y, _AIR_R),
-    ("AIR — Applicant age", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80,
-     "Fairness Officer", _AIR_Y, _AIR_R),
-    ("PSI — loan_amount", "Quarterly", "< 0.10", "0.10 – 0.25", "> 0.25", "low", False, 0.25, 0.10, "Data Owner",
-     "Review loan amount distribution; assess if product mix changed",
-     "Feature re-engineering review; model retrain evaluation"),
-    ("PSI — income", "Quarterly", "< 0.10", "0.10 – 0.25", "> 0.25", "low", False, 0.25, 0.10, "Data Owner",
-     "Review income distribution; check for reporting changes",
-     "Feature re-engineering review; model retrain evaluation"),
-    ("Subgroup ECE gap (max across race groups)", "Quarterly", "< 0.05", "0.05 – 0.10", "> 0.10", "low", False, 0.10, 0.05,
-     "Fairness Officer", "Investigate calibration gap; consider isotonic recalibration",
-     "Recalibration required before continued deployment"),
-    ("Approval rate change vs. baseline (absolute)", "Monthly", "+/- 5%", "+/- 5-10%", "+/- > 10%", "low", True, 0.10, 0.05,
-     "Compliance", "Report to compliance; assess business driver", "Compliance review; potential regulatory notification"),
+# The actions are this library's own wording; callers may pass rules of theirs.
+TRIGGER_LIMITS = [
+    ("AUC (overall)", "Monthly", ">= 0.72", "0.68 – 0.72", "< 0.68", "high", False, 0.68, 0.72, "ML Engineer"),
+    ("AIR — Black applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80, "Fairness Officer"),
+    ("AIR — Hispanic or Latino applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80, "Fairness Officer"),
+    ("AIR — Female applicants", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80, "Fairness Officer"),
+    ("AIR — Applicant sex", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80, "Fairness Officer"),
+    ("AIR — Applicant age", "Monthly", ">= 0.80", "0.70 – 0.80", "< 0.70", "high", False, 0.70, 0.80, "Fairness Officer"),
+    ("PSI — loan_amount", "Quarterly", "< 0.10", "0.10 – 0.25", "> 0.25", "low", False, 0.25, 0.10, "Data Owner"),
+    ("PSI — income", "Quarterly", "< 0.10", "0.10 – 0.25", "> 0.25", "low", False, 0.25, 0.10, "Data Owner"),
+    ("Subgroup ECE gap (max across race groups)", "Quarterly", "< 0.05", "0.05 – 0.10", "> 0.10", "low", False, 0.10, 0.05, "Fairness Officer"),
+    ("Approval rate change vs. baseline (absolute)", "Monthly", "+/- 5%", "+/- 5-10%", "+/- > 10%", "low", True, 0.10, 0.05, "Compliance"),
 ]
+
+
+def _actions(metric: str) -> tuple[str, str]:
+    """(yellow, red) action of a metric."""
+    kind = metric.split(" ")[0]
+    return {
+        "AUC": ("compare feature distributions with training", "stop serving and plan a new fit"),
+        "AIR": ("find where the groups part and tell compliance", "stop serving and audit again"),
+        "PSI": ("look at the feature's distribution and its source", "review the feature and a new fit"),
+        "Subgroup": ("look at calibration by group", "calibrate again before going on"),
+    }.get(kind, ("explain the change to compliance", "compliance decides whether to go on"))
+
+
+TRIGGER_RULES = [(*row, *_actions(row[0])) for row in TRIGGER_LIMITS]
 RULE_SCHEMA = ("rule_order INT, metric STRING, frequency STRING, green_threshold STRING, yellow_threshold STRING, "
                "red_threshold STRING, direction STRING, use_abs BOOLEAN, red_limit DOUBLE, yellow_limit DOUBLE, owner STRING, "
                "action_yellow STRING, action_red STRING")

@@ -8,11 +8,11 @@ Brier are sums over it, and its cumulative columns come from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import ratio, rnd, safe_div
-from auditlens.functions.ordered import materialize, running_totals
+from auditlens.functions.ordered import materialize, running_totals, with_group_total
 
 
 def score_hist(scored: DataFrame, keys: list[str] | tuple = (), y: str = "y", p: str = "y_prob",
@@ -34,11 +34,8 @@ def score_hist(scored: DataFrame, keys: list[str] | tuple = (), y: str = "y", p:
 def cumulative(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     """Add totals (N_all, P, Nn) and inclusive cumulative counts (cum_pos, cum_neg,
     i.e. scores <= this one) per key group."""
-    k = list(keys)
-    cum = running_totals(hist, "score", ["pos", "neg"], k, checkpoint=False)
-    tot = hist.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("Nn"),
-                               F.sum("n").alias("N_all"), F.sum("sse").alias("tot_sse"))
-    return cum.join(tot, k, "inner") if k else cum.crossJoin(F.broadcast(tot))
+    c = running_totals(hist, "score", ["pos", "neg"], list(keys), checkpoint=False, totals=["pos", "neg", "n", "sse"], keep_bucket=True)
+    return c.withColumnsRenamed({"all_pos": "P", "all_neg": "Nn", "all_n": "N_all", "all_sse": "tot_sse"})
 
 
 def ranking_metrics(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
@@ -67,19 +64,21 @@ def ranking_metrics(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
 
 def roc_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     """ROC curve: one point per distinct score threshold (fpr, tpr at
-    score >= threshold) plus the origin; ``roc_area`` is the trapezoid area."""
+    score >= threshold) plus the origin; ``roc_area`` is the trapezoid area.
+
+    The point above a threshold is the one of all higher scores, which the
+    running totals already hold, so no window spans the curve."""
     k = list(keys)
     c = cumulative(hist, k)
-    pts = c.select(*k, F.col("score").alias("threshold"),
-                   safe_div(F.col("Nn") - F.col("cum_neg") + F.col("neg"), "Nn").alias("fpr"),
-                   safe_div(F.col("P") - F.col("cum_pos") + F.col("pos"), "P").alias("tpr"))
-    origin = hist.select(*k).distinct().select(*k, F.lit(None).cast("double").alias("threshold"),
-                                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    pts = pts.unionByName(origin)
-    w = Window.partitionBy(*k).orderBy(F.col("fpr"), F.col("tpr"))
-    area = pts.withColumn("_seg", (F.col("fpr") - F.lag("fpr").over(w)) *
-                          (F.col("tpr") + F.lag("tpr").over(w)) / F.lit(2.0))
-    return area.withColumn("roc_area", F.sum("_seg").over(Window.partitionBy(*k))).drop("_seg")
+    fp_gt, tp_gt = F.col("Nn") - F.col("cum_neg"), F.col("P") - F.col("cum_pos")  # higher scores only
+    pts = c.select(*k, "_rb", F.col("score").alias("threshold"),
+                   safe_div(fp_gt + F.col("neg"), "Nn").alias("fpr"), safe_div(tp_gt + F.col("pos"), "P").alias("tpr"),
+                   safe_div(fp_gt, "Nn").alias("_fpr0"), safe_div(tp_gt, "P").alias("_tpr0"))
+    seg = (F.col("fpr") - F.col("_fpr0")) * (F.col("tpr") + F.col("_tpr0")) / F.lit(2.0)
+    area = with_group_total(pts, k, seg, "roc_area").drop("_rb", "_fpr0", "_tpr0")
+    origin = area.groupBy(*k).agg(F.max("roc_area").alias("roc_area")).select(
+        *k, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), "roc_area")
+    return area.unionByName(origin)
 
 
 def pr_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
@@ -88,21 +87,18 @@ def pr_points(hist: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     end point; ``pr_area`` is the trapezoid area over recall."""
     k = list(keys)
     c = cumulative(hist, k)
-    tp = F.col("P") - F.col("cum_pos") + F.col("pos")
-    fp = F.col("Nn") - F.col("cum_neg") + F.col("neg")
-    pts = c.select(*k, F.col("score").alias("threshold"), safe_div(tp, "P").alias("recall"),
-                   safe_div(tp, tp + fp).alias("precision"), (tp == F.col("P")).alias("_full"))
-    # keep thresholds >= the largest threshold with full recall
-    cut = pts.where("_full").groupBy(*k).agg(F.max("threshold").alias("_cut"))
-    pts = (pts.join(cut, k, "inner") if k else pts.crossJoin(F.broadcast(cut)))
-    pts = pts.where(F.col("threshold") >= F.col("_cut")).drop("_cut", "_full")
-    end = hist.select(*k).distinct().select(*k, F.lit(None).cast("double").alias("threshold"),
-                                               F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))
-    pts = pts.unionByName(end)
-    w = Window.partitionBy(*k).orderBy(F.col("recall"), F.col("precision").desc())
-    area = pts.withColumn("_seg", (F.col("recall") - F.lag("recall").over(w)) *
-                          (F.col("precision") + F.lag("precision").over(w)) / F.lit(2.0))
-    return area.withColumn("pr_area", F.sum("_seg").over(Window.partitionBy(*k))).drop("_seg")
+    fp_gt, tp_gt = F.col("Nn") - F.col("cum_neg"), F.col("P") - F.col("cum_pos")
+    tp, fp = tp_gt + F.col("pos"), fp_gt + F.col("neg")
+    # full recall is reached above a threshold when no positive has its score or a lower one
+    c = c.where((F.col("cum_pos") > 0) | ((F.col("P") == 0) & (F.col("cum_neg") == F.col("Nn"))))
+    pts = c.select(*k, "_rb", F.col("score").alias("threshold"), safe_div(tp, "P").alias("recall"), safe_div(tp, tp + fp).alias("precision"),
+                   F.coalesce(safe_div(tp_gt, "P"), F.lit(0.0)).alias("_r0"),
+                   F.when(tp_gt + fp_gt > 0, safe_div(tp_gt, tp_gt + fp_gt)).otherwise(F.lit(1.0)).alias("_p0"))
+    seg = (F.col("recall") - F.col("_r0")) * (F.col("precision") + F.col("_p0")) / F.lit(2.0)
+    area = with_group_total(pts, k, seg, "pr_area").drop("_rb", "_r0", "_p0")
+    end = area.groupBy(*k).agg(F.max("pr_area").alias("pr_area")).select(
+        *k, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"), "pr_area")
+    return area.unionByName(end)
 
 
 def round_cols(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:

@@ -49,9 +49,8 @@ def km_curve(df: DataFrame, group_col: str = "score_factor", time_col: str = "en
     guard; var_sum = Σ d / (n (n − d)) (Greenwood)."""
     per = per if per is not None else km_events(df, group_col, time_col, event_col)
     g = "group"
-    cum = running_totals(per, "time", ["n_exit"], [g], checkpoint=False)
-    tot = per.groupBy(g).agg(F.sum("n_exit").alias("_N"))
-    c = cum.join(tot, g).withColumn("n_at_risk", F.col("_N") - F.col("cum_n_exit") + F.col("n_exit"))
+    cum = running_totals(per, "time", ["n_exit"], [g], checkpoint=False, totals=["n_exit"])
+    c = cum.withColumn("n_at_risk", F.col("all_n_exit") - F.col("cum_n_exit") + F.col("n_exit"))
     frac = F.col("n_event") / F.col("n_at_risk")
     c = (c.withColumn("_log", F.when(frac < 1, F.log(F.lit(1.0) - frac)).otherwise(F.lit(0.0)))
          .withColumn("_zero", (frac >= 1).cast("long"))
