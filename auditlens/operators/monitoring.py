@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd, safe_div, when_chain
-from auditlens.functions.ordered import exact_quantiles, running_totals
+from auditlens.functions.ordered import exact_quantiles, materialize, running_totals
 
 # The review-trigger playbook.  direction 'high' = higher is
 # better (red below red_limit, yellow below yellow_limit); 'low' = lower is
@@ -115,28 +115,31 @@ def wasserstein(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
          .unionByName(sc(b).withColumn("_ca", F.lit(0)).withColumn("_cb", F.lit(1)))
          .where(F.col("v").isNotNull()).groupBy("v").agg(F.sum("_ca").alias("ca"), F.sum("_cb").alias("cb"),
                                                          F.lit(1).alias("one")))
-    cum = running_totals(h, "v", ["ca", "cb", "one"])
-    tot = h.agg(F.sum("ca").alias("na"), F.sum("cb").alias("nb"))
-    c = cum.crossJoin(F.broadcast(tot)).select("v", F.col("cum_one").alias("r"),
-                                               F.abs(F.col("cum_ca") / F.col("na") - F.col("cum_cb") / F.col("nb")).alias("d"))
+    cum = running_totals(h, "v", ["ca", "cb", "one"], totals=["ca", "cb"])
+    c = cum.select("v", F.col("cum_one").alias("r"), F.abs(F.col("cum_ca") / F.col("all_ca") - F.col("cum_cb") / F.col("all_cb")).alias("d"))
     nxt = c.select((F.col("r") - 1).alias("r"), F.col("v").alias("v_next"))
     return c.join(nxt, "r").agg(rnd(F.sum(F.col("d") * (F.col("v_next") - F.col("v"))), 6).alias("wasserstein"))
 
 
 def robust_outliers(df: DataFrame, group_col: str, value_col: str, z_limit: float = 3.5, min_n: int = 20) -> DataFrame:
     """Per-group median vs the median and MAD of group medians; robust
-    z = (median − pop_median) / (1.4826 · MAD).  All medians exact and distributed."""
+    z = (median − pop_median) / (1.4826 · MAD).  Groups with at least
+    ``min_n`` values form the population; smaller ones are reported with a
+    null z and no flag.  All medians exact and distributed; the per-group
+    table is written once."""
     med = exact_quantiles(df, value_col, [0.5], [group_col]).select(group_col, F.col("q").alias("median"))
     cnt = df.where(F.col(value_col).isNotNull()).groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
-    med = med.join(cnt, group_col).where(F.col("n") >= min_n)
-    pm = exact_quantiles(med, "median", [0.5]).select(F.col("q").alias("pop_median"))
-    dev = med.crossJoin(F.broadcast(pm)).withColumn("_ad", F.abs(F.col("median") - F.col("pop_median")))
+    per = materialize(med.join(cnt, group_col))
+    pop = per.where(F.col("n") >= min_n)
+    pm = exact_quantiles(pop, "median", [0.5], checkpoint=False).select(F.col("q").alias("pop_median"))
+    pm = materialize(pm)
+    dev = pop.crossJoin(F.broadcast(pm)).select(F.abs(F.col("median") - F.col("pop_median")).alias("_ad"))
     mad = exact_quantiles(dev, "_ad", [0.5]).select(F.col("q").alias("mad"))
-    j = dev.crossJoin(F.broadcast(mad))
-    z = F.try_divide(F.col("median") - F.col("pop_median"), F.lit(1.4826) * F.col("mad"))
+    j = per.crossJoin(F.broadcast(pm)).crossJoin(F.broadcast(mad))  # one row each
+    z = F.when(F.col("n") >= min_n, F.try_divide(F.col("median") - F.col("pop_median"), F.lit(1.4826) * F.col("mad")))
     return j.select(group_col, F.col("n").cast("long").alias("n"), rnd("median", 6).alias("median"),
                     rnd("pop_median", 6).alias("pop_median"), rnd("mad", 6).alias("mad"), rnd(z, 4).alias("robust_z"),
-                    F.coalesce(F.abs(z) > z_limit, F.lit(False)).alias("flag"))
+                    F.coalesce(F.abs(z) > z_limit, F.lit(False)).alias("flag"), (F.col("n") >= min_n).alias("in_population"))
 
 
 def boundary_probing(scored: DataFrame, actor_col: str, threshold: float = 0.5, band: float = 0.05, p: str = "y_prob",
@@ -153,15 +156,28 @@ def boundary_probing(scored: DataFrame, actor_col: str, threshold: float = 0.5,
                     ((F.col("n") >= min_n) & (share >= F.col("pop_share") * ratio_limit)).alias("flag"))
 
 
-def label_diff(old: DataFrame, new: DataFrame, keys: list[str], label: str = "y", group_col: str | None = None) -> DataFrame:
+def row_digest(cols: list[str]):
+    """Digest of a row's columns: each value's length and text, nulls apart."""
+    parts = [F.when(F.col(c).isNull(), F.lit("-;")).otherwise(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string"), F.lit(";")))
+             for c in cols]
+    return F.sha2(F.concat(*parts), 256)
+
+
+def label_diff(old: DataFrame, new: DataFrame, keys: list[str], label: str = "y", group_col: str | None = None,
+               row_cols: list[str] | None = None) -> DataFrame:
     """Added / removed / flipped labels between two snapshots (full
-    outer join on the key), per group."""
-    o = old.select(*keys, F.col(label).alias("_old"), *([F.col(group_col).alias("_go")] if group_col else []))
-    n = new.select(*keys, F.col(label).alias("_new"), *([F.col(group_col).alias("_gn")] if group_col else []))
+    outer join on the key), per group; with ``row_cols``, rows whose label is
+    the same but any of these columns differs are `row_changed`."""
+    d = (lambda name: [row_digest(row_cols).alias(name)]) if row_cols else (lambda name: [])
+    o = old.select(*keys, F.col(label).alias("_old"), *([F.col(group_col).alias("_go")] if group_col else []), *d("_do"))
+    n = new.select(*keys, F.col(label).alias("_new"), *([F.col(group_col).alias("_gn")] if group_col else []), *d("_dn"))
     j = o.join(n, keys, "full_outer")
     g = F.coalesce("_go", "_gn") if group_col else F.lit("all")
-    change = when_chain([(F.col("_old").isNull(), F.lit("added")), (F.col("_new").isNull(), F.lit("removed")),
-                         (~F.col("_old").eqNullSafe(F.col("_new")), F.lit("flipped"))], F.lit("unchanged"))
+    cases = [(F.col("_old").isNull(), F.lit("added")), (F.col("_new").isNull(), F.lit("removed")),
+             (~F.col("_old").eqNullSafe(F.col("_new")), F.lit("flipped"))]
+    if row_cols:
+        cases.append((~F.col("_do").eqNullSafe(F.col("_dn")), F.lit("row_changed")))
+    change = when_chain(cases, F.lit("unchanged"))
     return (j.groupBy(g.cast("string").alias("group"), change.alias("change")).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("n", F.col("n").cast("long")))
 

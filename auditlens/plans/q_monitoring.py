@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd, safe_div
+from auditlens.functions.ordered import materialize
 from auditlens.operators import calibration as CA
 from auditlens.operators import fairness as FA
 from auditlens.operators import monitoring as MO
@@ -54,11 +55,8 @@ SQL_CUR = f"SELECT * REPLACE (loan_amount * {dbl(1.2)} AS loan_amount) FROM ({SQ
 def current_metrics_df(spark, sf_dir):
     base, cur = periods(spark, sf_dir)
     fair = FA.fairness_table(cur, ATTRS, REFS, 0.5)
-    rows = None
-    for metric, (attr, grp) in AIR_METRICS.items():
-        r = fair.where((F.col("attribute") == attr) & (F.col("group") == grp)).select(F.lit(metric).alias("metric"),
-                                                                                      F.col("air").alias("value"))
-        rows = r if rows is None else rows.unionByName(r)
+    names = spark.createDataFrame([(m, a, g) for m, (a, g) in AIR_METRICS.items()], "metric STRING, attribute STRING, group STRING")
+    rows = fair.join(F.broadcast(names), ["attribute", "group"]).select("metric", F.col("air").alias("value"))  # one pass, five rows
     auc = ranking_metrics(score_hist(cur)).select(F.lit("AUC (overall)").alias("metric"), rnd("auc").alias("value"))
     psi = CA.psi_long(CA.to_long(base, ["loan_amount", "income"]), CA.to_long(cur, ["loan_amount", "income"]))
     psi = psi.select(F.concat(F.lit("PSI — "), F.col("feature")).alias("metric"), F.col("psi").alias("value"))
@@ -127,21 +125,32 @@ def q_evaluate_triggers(spark, sf_dir):
     return MO.evaluate_triggers(current_metrics_df(spark, sf_dir), MO.rules_table(spark))
 
 
+def _rule_rows_sql() -> str:
+    """Current-period rows that a rule's metric is computed on."""
+    air = " UNION ALL ".join(f"SELECT '{m}' AS metric, count(CASE WHEN {ATTRS[a]} = '{g}' THEN 1 END) AS n FROM c" for m, (a, g) in AIR_METRICS.items())
+    return f"WITH c AS ({SQL_CUR}), n AS ({air}), t AS (SELECT count(*) AS n FROM c)"
+
+
 @query("trigger_rules", f"""
-WITH v AS ({_current_metrics_sql()})
+{_rule_rows_sql()}
 SELECT r.metric, r.frequency, r.green_threshold AS green, r.yellow_threshold AS yellow, r.red_threshold AS red, r.owner,
-       r.action_yellow, r.action_red, v.value IS NOT NULL AS has_current_value FROM {_RULES} r LEFT JOIN v ON r.metric = v.metric""")
+       r.action_yellow, r.action_red, CAST(coalesce(n.n, t.n) AS BIGINT) AS n_current
+FROM {_RULES} r LEFT JOIN n ON r.metric = n.metric CROSS JOIN t""")
 def q_trigger_rules(spark, sf_dir):
-    r = MO.rules_table(spark)
-    v = current_metrics_df(spark, sf_dir)
-    return F.broadcast(r).join(v, "metric", "left").select(
+    """L1: the playbook with the number of current-period rows behind each
+    metric (one aggregate; no metric is computed)."""
+    cur = scored(spark, sf_dir).where(F.col("event_time") >= cut_lit())
+    counts = cur.agg(F.count(F.lit(1)).alias("_all"), *[F.count(F.when(F.col(ATTRS[a]) == g, 1)).alias(f"_{i}")
+                                                        for i, (a, g) in enumerate(AIR_METRICS.values())])
+    of_metric = F.create_map(*[x for i, m in enumerate(AIR_METRICS) for x in (F.lit(m), F.col(f"_{i}"))])
+    return F.broadcast(MO.rules_table(spark)).crossJoin(counts).select(
         "metric", "frequency", F.col("green_threshold").alias("green"), F.col("yellow_threshold").alias("yellow"),
         F.col("red_threshold").alias("red"), "owner", "action_yellow", "action_red",
-        F.col("value").isNotNull().alias("has_current_value"))
+        F.coalesce(of_metric[F.col("metric")], F.col("_all")).cast("long").alias("n_current"))
 
 
 @query("approval_change", f"""
-SELECT round(b.r, 4) AS baseline_rate, round(c.r, 4) AS current_rate, round(round(c.r, 4) - round(b.r, 4), 4) AS change FROM
+SELECT round(b.r, 4) AS baseline_rate, round(c.r, 4) AS current_rate, round(c.r - b.r, 4) AS change FROM
  (SELECT avg(CASE WHEN y_prob >= 0.5 THEN 1.0 ELSE 0.0 END) AS r FROM ({SQL_BASE}) x) b,
  (SELECT avg(CASE WHEN y_prob >= 0.5 THEN 1.0 ELSE 0.0 END) AS r FROM ({SQL_CUR}) y) c""")
 def q_approval_change(spark, sf_dir):
@@ -286,11 +295,11 @@ def q_decile_loss(spark, sf_dir):
 
 
 def _deciles(spark, sf_dir):
-    from auditlens.functions.ordered import exact_quantiles
+    from auditlens.functions.ordered import exact_quantiles, join_small
     s = scored(spark, sf_dir).withColumn("month", V.month_of("event_time"))
     q = exact_quantiles(s, "y_prob_cont", [i / 10 for i in range(1, 10)], ["month"])
     edges = q.groupBy("month").agg(F.array_sort(F.collect_list("q")).alias("edges"))  # 9 per month
-    j = s.join(edges, "month")
+    j = join_small(s, edges, "month")
     return j.select("month", "y", F.size(F.filter("edges", lambda t: t < F.col("y_prob_cont"))).cast("int").alias("decile"))
 
 
@@ -306,33 +315,65 @@ def q_loss_breach(spark, sf_dir):
                                               (F.col("r") - F.col("base") > 0.005).alias("breach"))
 
 
-DRIFT_FEATS = ["loan_amount", "property_value", "combined_loan_to_value_ratio", "income", "debt_to_income_ratio", "y_prob",
-               "y_prob_cont"]
+#: A linear score over seven features; ranks are by mean absolute attribution.
+DRIFT_COEFS = {"loan_amount": 1 / 400000, "property_value": 1 / 400000, "combined_loan_to_value_ratio": 1 / 90, "income": 1 / 20000,
+               "debt_to_income_ratio": 1 / 70, "y_prob": 0.62, "y_prob_cont": 0.33}
+DRIFT_FEATS = list(DRIFT_COEFS)
+DRIFT_PROT = {n: c for n, c in ATTRS.items()}
 
 
-def _rank_corr(df):
-    from auditlens.operators.explain import proxy_correlation
-    c = proxy_correlation(df, DRIFT_FEATS, {"y": "y"})
+def _drift_ranks(df):
+    """Features by mean |coef x (value - mean)| within the period."""
     from pyspark.sql import Window
-    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("corr").desc_nulls_last(), "feature")))
+
+    from auditlens.operators.explain import LinearScore, linear_attributions
+    attr = linear_attributions(df, LinearScore(0.0, DRIFT_COEFS), KEY_COLS)
+    m = attr.agg(*[F.avg(F.abs(f)).alias(f) for f in DRIFT_FEATS])
+    long = m.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v")) for f in DRIFT_FEATS])).alias("x")).select("x.*")
+    return long.withColumn("rank", F.row_number().over(Window.orderBy(F.col("v").desc_nulls_last(), "feature")).cast("int"))  # seven rows
+
+
+def _drift_rank_sql(src: str) -> str:
+    parts = " UNION ALL ".join(f"SELECT '{f}' AS feature, (SELECT avg(abs({dbl(c)} * ({f} - m))) FROM ({src}) a, (SELECT avg({f}) AS m FROM ({src}) b) q) AS v"
+                               for f, c in DRIFT_COEFS.items())
+    return f"SELECT feature, v, row_number() OVER (ORDER BY v DESC NULLS LAST, feature) AS rk FROM ({parts}) u"
 
 
 @query("top_feature_drift", f"""
-WITH b AS (SELECT feature, "corr", row_number() OVER (ORDER BY abs("corr") DESC NULLS LAST, feature) AS rk FROM (
-  {' UNION ALL '.join(f"SELECT '{f}' AS feature, round(corr(CAST({f} AS DOUBLE), CAST(y AS DOUBLE)), 4) AS \"corr\" FROM ({SQL_BASE}) x" for f in DRIFT_FEATS)})),
-c AS (SELECT feature, "corr", row_number() OVER (ORDER BY abs("corr") DESC NULLS LAST, feature) AS rk FROM (
-  {' UNION ALL '.join(f"SELECT '{f}' AS feature, round(corr(CAST({f} AS DOUBLE), CAST(y AS DOUBLE)), 4) AS \"corr\" FROM ({SQL_CUR}) x" for f in DRIFT_FEATS)}))
-SELECT c.feature, CAST(c.rk AS INTEGER) AS "rank", c."corr", abs(c."corr") > 0.3 AS strong FROM c
-WHERE c.rk <= 5 AND c.feature NOT IN (SELECT feature FROM b WHERE rk <= 5)""")
+WITH b AS ({_drift_rank_sql(SQL_BASE)}), c AS ({_drift_rank_sql(SQL_CUR)}),
+e AS (SELECT *, {', '.join(f'dense_rank() OVER (ORDER BY {col}) - 1 AS "{n}_code"' for n, col in DRIFT_PROT.items())} FROM ({SQL_CUR}) x),
+r AS ({' UNION ALL '.join(f"""SELECT '{f}' AS feature, '{n}' AS protected, round(corr(CAST({f} AS DOUBLE), CAST("{n}_code" AS DOUBLE)), 4) AS "corr" FROM e"""
+                          for f in DRIFT_FEATS for n in DRIFT_PROT)})
+SELECT c.feature, CAST(b.rk AS INTEGER) AS rank_before, CAST(c.rk AS INTEGER) AS "rank", r.protected, r."corr",
+       c.rk <= 5 AND b.rk > 5 AS new_in_top5, c.rk <= 5 AND b.rk > 5 AND coalesce(abs(r."corr") > 0.3, false) AS flag
+FROM c JOIN b ON b.feature = c.feature JOIN r ON r.feature = c.feature""")
 def q_top_feature_drift(spark, sf_dir):
+    """Attribution ranks in both periods joined with the correlation of
+    each feature with each protected attribute; flagged when a feature is new
+    in the top five and |r| > 0.30."""
+    from auditlens.operators.explain import proxy_correlation
+    from auditlens.operators.features import label_encode
     b, c = periods(spark, sf_dir)
-    rb = _rank_corr(b).where("rank <= 5")
-    rc = _rank_corr(c).where("rank <= 5")
-    new = rc.join(rb.select("feature"), "feature", "left_anti")
-    return new.select("feature", F.col("rank").cast("int").alias("rank"), "corr", (F.abs("corr") > 0.3).alias("strong"))
-
-
-@query("channel_anomaly", None)
+    b, c = materialize(b.select(*KEY_COLS, *DRIFT_FEATS)), materialize(c.select(*KEY_COLS, *DRIFT_FEATS, *DRIFT_PROT.values()))
+    coded = c
+    for n, col in DRIFT_PROT.items():
+        coded = label_encode(coded, col, f"{n}_code")
+    corr = proxy_correlation(coded, DRIFT_FEATS, {n: f"{n}_code" for n in DRIFT_PROT}, min_n=2)
+    before = _drift_ranks(b).select("feature", F.col("rank").alias("rank_before"))
+    j = F.broadcast(_drift_ranks(c)).join(F.broadcast(before), "feature").join(corr, "feature")
+    new = (F.col("rank") <= 5) & (F.col("rank_before") > 5)
+    return j.select("feature", "rank_before", "rank", "protected", "corr", new.alias("new_in_top5"),
+                    (new & F.coalesce(F.abs("corr") > 0.3, F.lit(False))).alias("flag"))
+
+
+@query("channel_anomaly", f"""
+WITH s AS (SELECT channel, CASE WHEN debt_to_income_ratio <> 0 THEN income / debt_to_income_ratio END AS ratio FROM ({SQL_NUMS}) x),
+m AS (SELECT channel, count(ratio) AS n, quantile_cont(ratio, 0.5) AS med FROM s WHERE ratio IS NOT NULL GROUP BY channel),
+p AS (SELECT quantile_cont(med, 0.5) AS pm FROM m WHERE n >= 20),
+d AS (SELECT quantile_cont(abs(med - pm), 0.5) AS mad FROM m, p WHERE n >= 20),
+z AS (SELECT m.*, pm, mad, CASE WHEN n >= 20 AND mad <> 0 THEN (med - pm) / (1.4826::DOUBLE * mad) END AS z FROM m, p, d)
+SELECT channel, CAST(n AS BIGINT) AS n, round(med, 6) AS median, round(pm, 6) AS pop_median, round(mad, 6) AS mad, round(z, 4) AS robust_z,
+       coalesce(abs(z) > 3.5, false) AS flag, n >= 20 AS in_population FROM z""")
 def q_channel_anomaly(spark, sf_dir):
     s = _num(scored(spark, sf_dir)).withColumn("ratio", safe_div("income", "debt_to_income_ratio"))
     return MO.robust_outliers(s, "channel", "ratio")
@@ -355,30 +396,36 @@ def q_score_drift(spark, sf_dir):
 
 
 def snapshot_b(df):
-    """Second label snapshot: code 3 -> 2 on line 1, line-7 rows removed."""
+    """Second label snapshot: code 3 -> 2 on line 1, another purpose on line 2,
+    line-7 rows removed."""
     return (df.where(F.col("l_linenumber") != 7)
+            .withColumn("loan_purpose", F.when(F.col("l_linenumber") == 2, F.lit("X")).otherwise(F.col("loan_purpose")))
             .withColumn("action_taken", F.when((F.col("l_linenumber") == 1) & (F.col("action_taken") == 3), F.lit(2))
                         .otherwise(F.col("action_taken"))))
 
 
-SQL_SNAP_B = f"""SELECT * REPLACE (CASE WHEN l_linenumber = 1 AND action_taken = 3 THEN 2 ELSE action_taken END AS action_taken)
+SQL_SNAP_B = f"""SELECT * REPLACE (CASE WHEN l_linenumber = 1 AND action_taken = 3 THEN 2 ELSE action_taken END AS action_taken,
+  CASE WHEN l_linenumber = 2 THEN 'X' ELSE loan_purpose END AS loan_purpose)
 FROM ({SQL_APPS}) a WHERE l_linenumber <> 7"""
 _KS = ", ".join(KEY_COLS)
+ROW_COLS = ["state_code", "loan_type", "loan_purpose", "applicant_age", "action_taken"]
 
 
 def _lab(src: str) -> str:
-    return f"SELECT {_KS}, derived_race, CASE WHEN action_taken IN (1, 2) THEN 1 WHEN action_taken = 3 THEN 0 END AS y FROM ({src}) x WHERE action_taken IN (1, 2, 3)"
+    return f"SELECT {_KS}, derived_race, state_code, loan_type, loan_purpose, applicant_age, action_taken, CASE WHEN action_taken IN (1, 2) THEN 1 WHEN action_taken = 3 THEN 0 END AS y FROM ({src}) x WHERE action_taken IN (1, 2, 3)"
 
 
 @query("label_diff", f"""
 WITH o AS ({_lab(SQL_APPS)}), n AS ({_lab(SQL_SNAP_B)}),
-j AS (SELECT coalesce(o.derived_race, n.derived_race) AS g, o.y AS yo, n.y AS yn FROM o FULL OUTER JOIN n
+j AS (SELECT coalesce(o.derived_race, n.derived_race) AS g, o.y AS yo, n.y AS yn,
+  (o.state_code, o.loan_type, o.loan_purpose, o.applicant_age, o.action_taken) IS DISTINCT FROM (n.state_code, n.loan_type, n.loan_purpose, n.applicant_age, n.action_taken) AS other
+  FROM o FULL OUTER JOIN n
       ON {' AND '.join(f'o.{k} = n.{k}' for k in KEY_COLS)})
 SELECT CAST(g AS VARCHAR) AS "group", CASE WHEN yo IS NULL THEN 'added' WHEN yn IS NULL THEN 'removed'
-  WHEN yo IS DISTINCT FROM yn THEN 'flipped' ELSE 'unchanged' END AS change, CAST(count(*) AS BIGINT) AS n FROM j GROUP BY 1, 2""")
+  WHEN yo IS DISTINCT FROM yn THEN 'flipped' WHEN other THEN 'row_changed' ELSE 'unchanged' END AS change, CAST(count(*) AS BIGINT) AS n FROM j GROUP BY 1, 2""")
 def q_label_diff(spark, sf_dir):
     a = applications(spark, sf_dir)
-    return MO.label_diff(apply_label(a), apply_label(snapshot_b(a)), KEY_COLS, "y", "derived_race")
+    return MO.label_diff(apply_label(a), apply_label(snapshot_b(a)), KEY_COLS, "y", "derived_race", ROW_COLS)
 
 
 @query("label_shift", f"""

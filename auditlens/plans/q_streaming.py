@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from auditlens.functions.ordered import exact_quantiles
@@ -14,13 +12,11 @@ from auditlens.sources import views as V
 from auditlens.streaming import monitors as MS
 
 REFERENCE = "view"
-BASE_END = dt.datetime(2024, 1, 8)
+BASE_END = "2024-01-08 00:00:00"
 
 
 def _stream(spark, sf_dir, name):
-    area = MS.new_area(spark, name)
-    landing = MS.stage_events(tables(spark, sf_dir).events, f"{area}/landing")
-    return MS.scored_stream(spark, landing), area
+    return MS.scored_stream(spark, sf_dir, pattern="events.parquet"), MS.new_area(spark, name)
 
 
 SQL_AIR = f"""
@@ -49,7 +45,7 @@ def q_stream_volume(spark, sf_dir):
 
 
 def _psi_reference(spark, sf_dir):
-    ev = V.scored_events(tables(spark, sf_dir)).where(F.col("ts") < F.lit(BASE_END))
+    ev = V.scored_events(tables(spark, sf_dir)).where(F.col("ts") < V.ntz(BASE_END))
     q = exact_quantiles(ev, "y_prob", [i / 10 for i in range(11)]).collect()  # 11 numbers
     edges = sorted(set(r["q"] for r in q))
     from auditlens.functions.ordered import count_at_or_below

@@ -7,7 +7,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 FAMILY_MODULES = [
-    "auditlens.plans.q_sources", "auditlens.plans.q_labels", "auditlens.plans.q_features",
+    "auditlens.plans.q_labels", "auditlens.plans.q_features",
     "auditlens.plans.q_metrics", "auditlens.plans.q_fairness", "auditlens.plans.q_calibration",
     "auditlens.plans.q_explain", "auditlens.plans.q_models", "auditlens.plans.q_monitoring",
     "auditlens.plans.q_streaming", "auditlens.plans.q_survival",
@@ -29,9 +29,6 @@ def query(key: str, sql: str | None = None):
 
 
 def load_all() -> None:
+    """Import every family; one that is missing or broken is an error."""
     for m in FAMILY_MODULES:
-        try:
-            importlib.import_module(m)
-        except ModuleNotFoundError as e:  # family not written yet
-            if e.name != m:
-                raise
+        importlib.import_module(m)

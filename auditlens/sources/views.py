@@ -136,7 +136,7 @@ def survival(t: Tables) -> DataFrame:
 
 def scored_events(t: Tables) -> DataFrame:
     e = t.events
-    return e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
+    return e.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id",
                     F.col("event_type").alias("group"),
                     (F.col("value") / (F.col("value") + F.lit(50.0))).alias("y_prob"))
 

@@ -13,10 +13,9 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import types as T
 
 from auditlens.functions.columns import rnd
 from auditlens.session import scratch_path
@@ -28,39 +27,47 @@ def new_area(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_events(events: DataFrame, landing: str) -> str:
-    """Land a batch of raw events as Parquet files (append)."""
-    events.write.mode("append").parquet(landing)
-    return landing
+def utc_instant(ntz) -> Column:
+    """Wall-clock time as the instant it would be in UTC, whatever the session
+    zone: watermarks need TIMESTAMP, results must not depend on the zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ntz))
 
 
-def scored_stream(spark: SparkSession, landing: str, schema: str = EVENT_SCHEMA, max_files: int | None = None) -> DataFrame:
+def wall_clock(instant) -> Column:
+    """The inverse of ``utc_instant`` as text."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("string")
+
+
+def scored_stream(spark: SparkSession, folder: str, schema: str = EVENT_SCHEMA, max_files: int | None = None,
+                  pattern: str | None = None) -> DataFrame:
+    """Scored events from the Parquet files of ``folder`` (only names that
+    match ``pattern``, if given); nothing is copied."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    ev = r.parquet(landing)
-    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", F.col("event_type").alias("group"),
+    if pattern:
+        r = r.option("pathGlobFilter", pattern)
+    ev = r.parquet(folder)
+    return ev.select("event_id", utc_instant(F.col("ts")).alias("ts"), "user_id", F.col("event_type").alias("group"),
                      (F.col("value") / (F.col("value") + F.lit(50.0))).alias("y_prob"))
 
 
 def run_upsert(agg: DataFrame, area: str, keys: list[str], values: list[str], checkpoint: str | None = None) -> DataFrame:
     """Run an aggregate stream to completion (availableNow) and return the
-    latest row per key."""
+    latest row per key (no rows if nothing was emitted)."""
     out = f"{area}/out"
     ckpt = checkpoint or f"{area}/checkpoint"
+    spark = agg.sparkSession
+    schema = T.StructType([*agg.schema.fields, T.StructField("_batch", T.LongType())])
+    spark.createDataFrame([], schema).write.mode("append").parquet(out)
 
     def write(batch: DataFrame, batch_id: int):
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    spark = agg.sparkSession
-    try:
-        res = spark.read.parquet(out)
-    except Exception:  # nothing was emitted
-        return None
-    latest = res.groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_v"))
+    latest = spark.read.schema(schema).parquet(out).groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
@@ -75,7 +82,7 @@ def window_air(stream: DataFrame, area: str, reference: str, window: str = "1 da
     rate = F.col("approved") / F.col("n")
     ref = res.where(F.col("group") == reference).select("window_start", (F.col("approved") / F.col("n")).alias("_ref"))
     j = res.join(ref, "window_start", "left")
-    return j.select(F.col("window_start").cast("string").alias("window_start"), F.col("window_end").cast("string").alias("window_end"),
+    return j.select(wall_clock(F.col("window_start")).alias("window_start"), wall_clock(F.col("window_end")).alias("window_end"),
                     "group", F.col("n").cast("long").alias("n"), F.col("approved").cast("long").alias("approved"),
                     rnd(rate).alias("approval_rate"),
                     rnd(F.when(F.col("group") == reference, F.lit(1.0)).when(F.col("_ref") > 0, rate / F.col("_ref"))).alias("air"))
@@ -87,7 +94,7 @@ def volume_anomaly(stream: DataFrame, area: str, limit: int = 2, window: str = "
     agg = (stream.withWatermark("ts", watermark).groupBy(F.window("ts", window, slide).alias("w"), "user_id")
            .agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "user_id", "n"))
     res = run_upsert(agg, area, ["window_start", "user_id"], ["n"])
-    return res.where(F.col("n") > limit).select(F.col("window_start").cast("string").alias("window_start"), "user_id",
+    return res.where(F.col("n") > limit).select(wall_clock(F.col("window_start")).alias("window_start"), "user_id",
                                                 F.col("n").cast("long").alias("n"))
 
 
@@ -111,43 +118,54 @@ def window_psi(stream: DataFrame, area: str, edges: list[float], expected: dict[
     pa = F.when(F.col("pa") == 0, F.lit(eps)).otherwise(F.col("pa"))
     pe = F.when(F.col("pe") == 0, F.lit(eps)).otherwise(F.col("pe"))
     psi = full.groupBy("window_start").agg(F.sum((pa - pe) * F.log(pa / pe)).alias("psi"), F.first("_t").alias("n"))
-    return psi.select(F.col("window_start").cast("string").alias("window_start"), F.col("n").cast("long").alias("n"),
+    return psi.select(wall_clock(F.col("window_start")).alias("window_start"), F.col("n").cast("long").alias("n"),
                       rnd("psi").alias("psi"))
 
 
-BREACH_OUT = "group STRING, window_start STRING, air DOUBLE, run_length INT"
-BREACH_STATE = "last_day LONG, run INT"
-
-
-def _breach_state_fn(limit: float):
-    def fn(key, pdfs, state):
-        last_day, run = (state.get if state.exists else (None, 0))
-        out = []
-        for pdf in pdfs:
-            for r in pdf.sort_values("day").itertuples(index=False):
-                if r.air is not None and not pd.isna(r.air) and r.air < limit:
-                    run = run + 1 if last_day is not None and r.day == last_day + 1 and run > 0 else 1
-                    if run >= 2:
-                        out.append((key[0], r.window_start, float(r.air), int(run)))
-                else:
-                    run = 0
-                last_day = int(r.day)
-        state.update((last_day, run))
-        yield pd.DataFrame(out, columns=["group", "window_start", "air", "run_length"])
-    return fn
-
-
-def consecutive_breach_stream(spark: SparkSession, air_landing: str, area: str, limit: float = 0.80) -> DataFrame:
-    """M4: stateful consecutive-breach alerts per group over a stream of
-    per-window AIR rows; state = (last window day, current run length).
-    Each group's state is one small record; rows are handled in window order."""
-    src = (spark.readStream.schema("window_start STRING, group STRING, air DOUBLE")
-           .parquet(air_landing)
-           .withColumn("day", F.floor(F.unix_timestamp(F.to_timestamp("window_start")) / 86400).cast("long")))
-    alerts = src.groupBy("group").applyInPandasWithState(_breach_state_fn(limit), BREACH_OUT, BREACH_STATE, "append",
-                                                         GroupStateTimeout.NoTimeout)
-    out = f"{area}/alerts"
-    q = (alerts.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", f"{area}/checkpoint").trigger(availableNow=True).start())
+BREACH_DAYS = "group STRING, day LONG, window_start STRING, air DOUBLE, _batch LONG"
+BREACH_ALERTS = "group STRING, window_start STRING, air DOUBLE, run_length INT, _batch LONG"
+
+
+def breach_runs(days: DataFrame, limit: float, min_run: int = 2) -> DataFrame:
+    """Days with air < limit whose run of consecutive days has reached
+    ``min_run`` (gaps and islands on the day index; one row per group and day)."""
+    low = days.where(F.col("air") < F.lit(float(limit)))
+    island = F.col("day") - F.row_number().over(Window.partitionBy("group").orderBy("day"))
+    run = F.row_number().over(Window.partitionBy("group", "_island").orderBy("day"))
+    return (low.withColumn("_island", island).withColumn("run_length", run.cast("int"))
+            .where(F.col("run_length") >= min_run).select("group", "window_start", "air", "run_length"))
+
+
+def consecutive_breach_stream(spark: SparkSession, air_landing: str, area: str, limit: float = 0.80,
+                              max_files: int | None = None) -> DataFrame:
+    """M4: consecutive-breach alerts per group over a stream of per-window AIR
+    rows.  The state is a table of one row per group and day; each batch adds
+    its days and judges the groups it touched again over the whole table, so
+    the order in which windows arrive, within a batch or over batches, does
+    not matter.  The latest judgement of a group is the result."""
+    state, out = f"{area}/days", f"{area}/alerts"
+    spark.createDataFrame([], BREACH_DAYS).write.mode("append").parquet(state)
+    spark.createDataFrame([], BREACH_ALERTS).write.mode("append").parquet(out)
+    reader = spark.readStream.schema("window_start STRING, group STRING, air DOUBLE")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    day = F.datediff(F.to_date(F.substring("window_start", 1, 10)), F.lit("1970-01-01").cast("date")).cast("long")
+    src = reader.parquet(air_landing).select("group", day.alias("day"), "window_start", "air")
+
+    def judge(batch: DataFrame, batch_id: int):
+        at = F.lit(batch_id).cast("long")
+        batch.withColumn("_batch", at).write.mode("append").parquet(state)
+        touched = spark.read.schema(BREACH_DAYS).parquet(state).join(batch.select("group").distinct(), "group", "left_semi")
+        days = (touched.groupBy("group", "day").agg(F.max_by(F.struct("window_start", "air"), "_batch").alias("v"))
+                .select("group", "day", "v.window_start", "v.air"))
+        marks = batch.select("group").distinct().select("group", *[F.lit(None).cast(t).alias(c) for c, t in
+                                                                   (("window_start", "string"), ("air", "double"), ("run_length", "int"))])
+        breach_runs(days, limit).unionByName(marks).withColumn("_batch", at).write.mode("append").parquet(out)
+
+    q = (src.writeStream.foreachBatch(judge).option("checkpointLocation", f"{area}/checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(BREACH_OUT).parquet(out)
+    alerts = spark.read.schema(BREACH_ALERTS).parquet(out)
+    last = alerts.groupBy("group").agg(F.max("_batch").alias("_batch"))  # the judgement that counts
+    return (alerts.join(last, ["group", "_batch"]).where("window_start IS NOT NULL")
+            .groupBy("group", "window_start").agg(F.max("air").alias("air"), F.max("run_length").alias("run_length")))

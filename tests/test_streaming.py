@@ -12,12 +12,49 @@ def events(spark, rows):
     return spark.createDataFrame(rows, MS.EVENT_SCHEMA)
 
 
+def breach_input(spark, days, area, files):
+    """Five breach days in mixed order over several landed files."""
+    rows = [(f"2024-01-{d:02d} 00:00:00", g, a) for d, g, a in days]
+    step = -(-len(rows) // files)
+    for i in range(0, len(rows), step):
+        spark.createDataFrame(rows[i : i + step], "window_start STRING, group STRING, air DOUBLE").coalesce(1).write.mode("append").parquet(area)
+
+
+def test_breach_runs_do_not_depend_on_arrival(spark):
+    days = [(5, "a", 0.5), (1, "a", 0.5), (4, "a", 0.7), (2, "a", 0.6), (3, "a", 0.5), (7, "a", 0.1), (6, "a", 0.9), (1, "b", 0.7), (3, "b", 0.7), (4, "b", None), (2, "c", 0.95)]
+    for files in (1, 4, 11):
+        area = MS.new_area(spark, "breach-test")
+        breach_input(spark, days, f"{area}/in", files)
+        got = MS.consecutive_breach_stream(spark, f"{area}/in", area, 0.8, max_files=1).collect()
+        assert sorted((r.group, r.window_start[8:10], r.run_length) for r in got) == [("a", "02", 2), ("a", "03", 3), ("a", "04", 4), ("a", "05", 5)]
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark):
+    rows = [(i, dt.datetime(2024, 3, 9 + i % 3, i % 24), i % 3, "view", float(i), "{}") for i in range(100)]
+    zone, got = spark.conf.get("spark.sql.session.timeZone"), []
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            area = MS.new_area(spark, "zone")
+            events(spark, rows).write.mode("append").parquet(f"{area}/landing")
+            got.append(sorted(tuple(r) for r in MS.window_air(MS.scored_stream(spark, f"{area}/landing"), area, "view").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_nothing_emitted_is_an_empty_result(spark):
+    area = MS.new_area(spark, "none")
+    events(spark, []).write.mode("append").parquet(f"{area}/landing")
+    assert MS.window_air(MS.scored_stream(spark, f"{area}/landing"), area, "view").collect() == []
+
+
 def test_stream_equals_batch_and_late_data(spark):
     d = lambda day, h: dt.datetime(2024, 1, day, h)
     first = [(i, d(1 + i % 5, 1 + i % 20), i % 3, ["view", "click"][i % 2], float(10 + 20 * (i % 4)), "{}") for i in range(200)]
     area = MS.new_area(spark, "test")
     landing = f"{area}/landing"
-    MS.stage_events(events(spark, first), landing)
+    events(spark, first).write.mode("append").parquet(landing)
     ckpt = f"{area}/ckpt"
     res = MS.window_air(MS.scored_stream(spark, landing), area, "view", watermark="1 day", checkpoint=ckpt)
     got = {(r["window_start"], r["group"]): r["n"] for r in res.collect()}
@@ -25,7 +62,7 @@ def test_stream_equals_batch_and_late_data(spark):
     assert got == {(r["w"], r["event_type"]): r["count"] for r in b}
     # a late batch for day 1 arrives after the watermark passed day 5 - 1 day
     late = [(1000 + i, d(1, 3), 0, "view", 100.0, "{}") for i in range(5)]
-    MS.stage_events(events(spark, late), landing)
+    events(spark, late).write.mode("append").parquet(landing)
     res2 = MS.window_air(MS.scored_stream(spark, landing), area, "view", watermark="1 day", checkpoint=ckpt)
     got2 = {(r["window_start"], r["group"]): r["n"] for r in res2.collect()}
     assert got2[("2024-01-01 00:00:00", "view")] == got[("2024-01-01 00:00:00", "view")]
