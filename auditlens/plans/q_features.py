@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd, to_double
+from auditlens.functions.ordered import materialize
 from auditlens.operators import features as FE
 from auditlens.operators import profiling as PR
 from auditlens.operators import splits as SP
@@ -63,11 +64,10 @@ SELECT l.feature, round(q.cap, 6) AS cap, CAST(sum(CASE WHEN l.value >= q.cap TH
        round(avg(CASE WHEN l.value > q.cap THEN q.cap ELSE l.value END), 4) AS mean
 FROM l JOIN q ON l.feature = q.feature GROUP BY l.feature, q.cap""")
 def q_cap_outliers(spark, sf_dir):
-    s = _numeric_frame(spark, sf_dir)
+    s = materialize(_numeric_frame(spark, sf_dir).select(*CAPS))
     caps = FE.column_quantiles(s, CAPS, 0.999)
-    capped = FE.cap_outliers(s, CAPS)
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(caps[c]).alias("cap"), F.col(c).alias("value")) for c in CAPS])
-    long = capped.select(F.explode(arr).alias("x")).select("x.*")
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(caps[c]).alias("cap"), F.when(F.col(c) > caps[c], F.lit(caps[c])).otherwise(F.col(c)).alias("value")) for c in CAPS])
+    long = s.select(F.explode(arr).alias("x")).select("x.*")
     return long.groupBy("feature", "cap").agg(
         F.sum((F.col("value") >= F.col("cap")).cast("long")).alias("n_capped"),
         F.round(F.avg("value"), 4).alias("mean")).select("feature", rnd("cap", 6).alias("cap"), "n_capped", "mean")
@@ -81,19 +81,13 @@ SELECT l.feature, round(q.med, 6) AS median, CAST(sum(CASE WHEN l.value IS NULL
 FROM l JOIN q ON l.feature = q.feature GROUP BY l.feature, q.med""")
 def q_impute_median(spark, sf_dir):
     cols = ["income", "debt_to_income_ratio"]
-    s = _numeric_frame(spark, sf_dir)
+    s = materialize(_numeric_frame(spark, sf_dir).select(*cols))
     meds = FE.column_quantiles(s, cols, 0.5)
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(meds[c]).alias("median"), F.col(c).alias("value"))
-                    for c in cols])
-    filled = FE.impute_median(s.select(*cols, F.array(*[F.col(c) for c in cols]).alias("_orig")), cols)
-    long = filled.select(F.explode(F.arrays_zip(
-        F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(meds[c]).alias("median"),
-                           F.col(c).alias("value")) for c in cols]).alias("a"),
-        F.col("_orig").alias("o"))).alias("z")).select("z.a.feature", "z.a.median", "z.a.value", F.col("z.o").alias("orig"))
-    del arr
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(meds[c]).alias("median"), F.col(c).alias("orig")) for c in cols])
+    long = s.select(F.explode(arr).alias("x")).select("x.*")
     return long.groupBy("feature", "median").agg(
         F.sum(F.col("orig").isNull().cast("long")).alias("n_filled"),
-        F.round(F.avg("value"), 4).alias("mean")).select("feature", rnd("median", 6).alias("median"), "n_filled", "mean")
+        F.round(F.avg(F.coalesce("orig", "median")), 4).alias("mean")).select("feature", rnd("median", 6).alias("median"), "n_filled", "mean")
 
 
 @query("rare_bucket", f"""
@@ -117,7 +111,7 @@ def q_one_hot(spark, sf_dir):
     return oh.select(F.explode(arr).alias("x")).groupBy("x.feature").agg(F.sum("x.v").alias("total"))
 
 
-FM_CATS = ["loan_type", "loan_purpose", "construction_method", "county_code"]
+FM_CATS = ["loan_type", "loan_purpose", "construction_method", "state_code"]
 
 
 def _fm_sql() -> str:
@@ -170,16 +164,29 @@ def q_standardize(spark, sf_dir):
     return z.select(*KEYS, rnd("loan_amount", 6).alias("loan_amount"))
 
 
-_MODE_COLS = ["loan_type", "loan_purpose", "state_code"]
+_MODE_COLS = ["loan_type", "loan_purpose", "state_code", "derived_race", "derived_sex", "derived_ethnicity", "applicant_age", "debt_to_income_ratio"]
+#: Every ninth order lacks its categories, so that there is something to fill.
+_HOLES = "l_orderkey % 9 = 0"
 
 
 @query("impute_mode", f"""
-WITH s AS ({SQL_SCORED}),
+WITH s AS (SELECT {', '.join(f"CASE WHEN {_HOLES} THEN NULL ELSE {c} END AS {c}" for c in _MODE_COLS)} FROM ({SQL_SCORED}) x),
 l AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level FROM s" for c in _MODE_COLS)}),
-c AS (SELECT feature, level, count(*) AS n FROM l WHERE level IS NOT NULL GROUP BY ALL)
-SELECT feature, arg_min(level, (-n, level)) AS mode, CAST(max(n) AS BIGINT) AS mode_count FROM c GROUP BY feature""")
+c AS (SELECT feature, level, count(*) AS n FROM l WHERE level IS NOT NULL GROUP BY ALL),
+m AS (SELECT feature, arg_min(level, (-n, level)) AS mode FROM c GROUP BY feature)
+SELECT l.feature, coalesce(l.level, m.mode) AS level, CAST(count(*) AS BIGINT) AS n, CAST(count(*) - count(l.level) AS BIGINT) AS n_filled
+FROM l JOIN m ON l.feature = m.feature GROUP BY 1, 2""")
 def q_impute_mode(spark, sf_dir):
-    return FE.mode_levels(scored(spark, sf_dir), _MODE_COLS)
+    """Levels of every category after filling nulls with the mode."""
+    s = scored(spark, sf_dir).select(*[F.when(~F.expr(_HOLES), F.col(c)).alias(c) for c in _MODE_COLS])
+    s = materialize(s)
+    marked = s.select(*_MODE_COLS, *[F.col(c).isNull().alias(f"_null_{c}") for c in _MODE_COLS])
+    filled = FE.impute_mode(marked, _MODE_COLS)
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level"), F.col(f"_null_{c}").alias("was")) for c in _MODE_COLS])
+    return filled.select(F.explode(arr).alias("x")).groupBy("x.feature", "x.level").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("x.was").cast("long")).alias("n_filled"))
+
+
 
 
 @query("intersection_col", f"""

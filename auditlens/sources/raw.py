@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlens.functions.columns import NA_STRINGS
+
 
 def write_raw_pipe(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "|").option("header", True).csv(path)
 
 
 def read_raw_pipe(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A1: all-string schema (no inference), splittable scan; missing-value
-    tokens are mapped to null by the guarded casts downstream."""
+    """A1: all-string schema (no inference), splittable scan; the fixed list of
+    missing-value strings becomes null in every column."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return spark.read.schema(schema).option("sep", "|").option("header", True).csv(path)
+    raw = spark.read.schema(schema).option("sep", "|").option("header", True).csv(path)
+    return raw.select(*[F.when(~F.col(c).isin(*NA_STRINGS), F.col(c)).alias(c) for c in columns])
 
 
 def export_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
@@ -33,15 +36,33 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def canonical_text(df: DataFrame, col: str):
+    """One text per value: doubles with six decimals, times as microseconds,
+    anything else as its string."""
+    kind = df.schema[col].dataType
+    c = F.col(f"`{col}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return c.cast("decimal(30,6)").cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    return c.cast("string")
+
+
 def content_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive content hash: sum of a 60-bit md5 prefix of each
-    row's canonical text (exact DECIMAL sum; partial sums combine map-side)."""
-    row_txt = F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])
-    h = F.conv(F.substring(F.md5(row_txt), 1, 15), 16, 10).cast("decimal(38,0)")
+    """Order-insensitive content hash over all columns: sum of a 60-bit
+    md5 prefix of each row's text, in which every value is written with its
+    length and nulls are apart (exact DECIMAL sum; partial sums combine
+    map-side)."""
+    parts = [F.when(t.isNull(), F.lit("-;")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t, F.lit(";")))
+             for t in (canonical_text(df, c) for c in df.columns)]
+    h = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("decimal(38,0)").alias("content_hash"))
 
 
 def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
-    """SHA-256 of every raw file (binaryFile source, one row per file)."""
+    """SHA-256 of small raw files such as manifests (binaryFile holds a
+    file in one row, 2 GB at most); for tables use ``content_fingerprint``."""
     b = spark.read.format("binaryFile").load(pattern)
     return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
