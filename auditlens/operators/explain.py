@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd
+from auditlens.functions.ordered import materialize
 from auditlens.operators.leakage import proxy_annotate
 from auditlens.operators.scorehist import ranking_metrics, score_hist
 from auditlens.operators.splits import hash_unit
@@ -37,38 +38,38 @@ class LinearScore:
 def perturbation(scored: DataFrame, model: LinearScore, features: list[str], keys: list[str],
                  levels=(0.10, 0.20), group_col: str = "derived_race", reference: str = "AFRICA",
                  threshold: float = 0.5, y: str = "y", seed: int = 42) -> DataFrame:
-    """Multiplicative uniform noise per (feature, level) scenario, from a
-    per-row hash; AUC delta vs baseline and min AIR at ``threshold``.
-    All scenarios are one exploded projection and one histogram."""
+    """Multiplicative uniform noise per (feature, level) scenario; AUC
+    delta against the baseline and each group's approval rate and AIR at
+    ``threshold``.
+
+    Narrow rows with one uniform number per scenario are written once (a
+    128-bit digest of the row key gives four of 32 bits).  The score histogram
+    is keyed by scenario alone, the group counts are a map-side aggregate of
+    scenarios x groups rows."""
     feats = [f for f in features if f in scored.columns]
+    scen = [(f, float(lv)) for f in feats for lv in levels]
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    blocks = [F.md5(F.concat(text, F.lit("" if b == 0 else f"|{b}"))).alias(f"_d{b}") for b in range(-(-len(scen) // 4))]
+    base = materialize(scored.select(*model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("group"), *blocks))
+    unit = [F.conv(F.substring(F.col(f"_d{i // 4}"), 1 + 8 * (i % 4), 8), 16, 10).cast("double") / F.lit(float(2 ** 32)) for i in range(len(scen))]
     # scenario "none"/0 is the unperturbed baseline, scored in the same pass
-    scen = F.array(F.struct(F.lit("none").alias("feature"), F.lit(0.0).alias("level")),
-                   *[F.struct(F.lit(f).alias("feature"), F.lit(float(lv)).alias("level"))
-                     for f in feats for lv in levels])
-    base = scored.select(*keys, *model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("_g"))
-    x = base.select("*", F.explode(scen).alias("_s")).select("*", "_s.feature", "_s.level").drop("_s")
-    h = hash_unit(keys + ["feature", "level"], seed)
-    # the noise factor is computed once per row (baseline rows skip the hash)
-    x = x.withColumn("_noise", F.when(F.col("level") > 0, F.lit(1.0) - F.col("level") + F.lit(2.0) * F.col("level") * h)
-                     .otherwise(F.lit(1.0)))
+    rows = F.array(F.struct(F.lit("none").alias("feature"), F.lit(0.0).alias("level"), F.lit(1.0).alias("_noise")),
+                   *[F.struct(F.lit(f).alias("feature"), F.lit(lv).alias("level"),
+                              (F.lit(1.0) - F.lit(lv) + F.lit(2.0) * F.lit(lv) * u).alias("_noise")) for (f, lv), u in zip(scen, unit, strict=True)])
+    x = base.select(*model.coefs.keys(), "y", "group", F.explode(rows).alias("_s")).select("*", "_s.*").drop("_s")
     cols = {f: F.when(F.col("feature") == f, F.col(f) * F.col("_noise")).otherwise(F.col(f)) for f in model.coefs}
-    pert = x.withColumn("y_prob", model.score(cols)).select("feature", "level", "_g", "y", "y_prob")
-    # one histogram keyed by (scenario, group, score) serves AUC and AIR
-    hist = score_hist(pert, ["feature", "level", "_g"])
-    h2 = hist.groupBy("feature", "level", "score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"),
-                                                        F.sum("sse").alias("sse"), F.sum("neg").alias("neg"))
-    auc = ranking_metrics(h2, ["feature", "level"]).select("feature", "level", "auc")
+    pert = x.withColumn("y_prob", model.score(cols)).select("feature", "level", "group", "y", "y_prob")
+    auc = materialize(ranking_metrics(score_hist(pert, ["feature", "level"]), ["feature", "level"]).select("feature", "level", "auc"))  # one row a scenario
+    pred = (F.col("y_prob") >= F.lit(float(threshold))).cast("long")
+    rates = materialize(pert.groupBy("feature", "level", "group").agg((F.sum(pred) / F.count(F.lit(1))).alias("_r")))  # scenarios x groups rows
+    ref = rates.where(F.col("group") == reference).select("feature", "level", F.col("_r").alias("_ref"))
     auc_b = auc.where(F.col("feature") == "none").select(F.col("auc").alias("base"))
-    pred_n = F.when(F.col("score") >= F.lit(float(threshold)), F.col("n")).otherwise(F.lit(0))
-    rates = hist.groupBy("feature", "level", "_g").agg((F.sum(pred_n) / F.sum("n")).alias("_r"))
-    ref = rates.where(F.col("_g") == reference).select("feature", "level", F.col("_r").alias("_ref"))
-    air = (rates.where(F.col("_g") != reference).join(ref, ["feature", "level"], "left")
-           .groupBy("feature", "level").agg(F.min(F.when(F.col("_ref") > 0, F.col("_r") / F.col("_ref"))).alias("_air")))
-    j = auc.where(F.col("feature") != "none").crossJoin(F.broadcast(auc_b)).join(air, ["feature", "level"], "left")
+    j = (rates.where(F.col("feature") != "none").join(ref, ["feature", "level"], "left").join(auc, ["feature", "level"]).crossJoin(F.broadcast(auc_b)))
     delta = F.col("auc") - F.col("base")
     return j.select("feature", F.concat(F.lit("±"), (F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("noise_level"),
                     rnd("base").alias("baseline_auc"), rnd("auc").alias("perturbed_auc"), rnd(delta).alias("auc_delta"),
-                    (F.abs(rnd(delta)) < 0.02).alias("auc_stable"), rnd("_air").alias("min_air"))
+                    (F.abs(rnd(delta)) < 0.02).alias("auc_stable"), "group", rnd("_r").alias("approval_rate"),
+                    rnd(F.when(F.col("_ref") > 0, F.col("_r") / F.col("_ref"))).alias("air"))
 
 
 def linear_attributions(df: DataFrame, model: LinearScore, keys: list[str]) -> DataFrame:
@@ -117,22 +118,19 @@ def proxy_corr_flags(corr: DataFrame, limit: float = 0.30) -> DataFrame:
 def case_selection(scored: DataFrame, group_col: str, keys: list[str], threshold: float = 0.5,
                    band: float = 0.05, y="y", p="y_prob") -> DataFrame:
     """K5: first TP, TN and FN case per group (smallest key) and the first
-    two cases within ±band of the threshold; min-aggregates, so a large group
-    is combined map-side instead of sorted in one task."""
+    two cases within ±band of the threshold, in one pass."""
     pred = F.col(p) >= F.lit(float(threshold))
     cls = (F.when(pred & (F.col(y) == 1), "TP").when(~pred & (F.col(y) == 0), "TN")
            .when(~pred & (F.col(y) == 1), "FN").when(pred & (F.col(y) == 0), "FP"))
     near = F.abs(F.col(p) - F.lit(float(threshold))) <= F.lit(float(band))
     kstruct = F.struct(*[F.col(k) for k in keys], F.col(p).alias("y_prob"), F.col(y).alias("y"))
     base = scored.select(F.col(group_col).cast("string").alias("group"), cls.alias("case_type"), near.alias("_near"), kstruct.alias("k"))
-    firsts = (base.where(F.col("case_type").isin("TP", "TN", "FN")).groupBy("group", "case_type")
-              .agg(F.min("k").alias("k")).withColumn("ordinal", F.lit(1)))
-    nb = base.where("_near").withColumn("case_type", F.lit("NEAR_THRESHOLD"))
-    n1 = nb.groupBy("group", "case_type").agg(F.min("k").alias("k1"))
-    n2 = (nb.join(n1, ["group", "case_type"]).where(F.col("k") > F.col("k1"))
-          .groupBy("group", "case_type").agg(F.min("k").alias("k")).withColumn("ordinal", F.lit(2)))
-    n1 = n1.select("group", "case_type", F.col("k1").alias("k"), F.lit(1).alias("ordinal"))
-    allc = firsts.unionByName(n1).unionByName(n2)
+    tagged = base.select("group", "k", F.explode(F.array_compact(F.array(
+        F.when(F.col("case_type").isin("TP", "TN", "FN"), F.struct("case_type", F.lit(1).alias("most"))),
+        F.when(F.col("_near"), F.struct(F.lit("NEAR_THRESHOLD").alias("case_type"), F.lit(2).alias("most")))))).alias("t")).select("group", "k", "t.*")
+    # the rank limit is applied in each task before the shuffle, so two rows a group and task move
+    first = Window.partitionBy("group", "case_type").orderBy("k")
+    allc = tagged.withColumn("ordinal", F.row_number().over(first)).where("ordinal <= 2").where("ordinal <= most")
     return allc.select("group", "case_type", "ordinal", *[F.col(f"k.{k}").alias(k) for k in keys],
                        F.col("k.y_prob").alias("y_prob"), F.col("k.y").alias("y"))
 

@@ -139,26 +139,24 @@ def auc_sql(src: str, keys: list[str]) -> str:
 def _pert_sql() -> str:
     ks = ", ".join(f"CAST({k} AS VARCHAR)" for k in KEY_COLS)
     rows = []
-    for f in ["loan_amount", "combined_loan_to_value_ratio"]:
-        for lv in [0.1, 0.2]:
-            u = (f"CAST(CAST(('0x' || substr(md5('42|' || concat_ws('|', {ks}, '{f}', CAST({dbl(lv)} AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE)"
-                 f" / {dbl(2 ** 52)}")
-            noise = f"(1.0::DOUBLE - {dbl(lv)} + 2.0::DOUBLE * {dbl(lv)} * {u})"
-            x1 = f"loan_amount * {noise}" if f == "loan_amount" else "loan_amount"
-            x2 = f"combined_loan_to_value_ratio * {noise}" if f != "loan_amount" else "combined_loan_to_value_ratio"
-            rows.append(f"SELECT '{f}' AS feature, {dbl(lv)} AS level, y, derived_race AS g, {model_sql(x1, x2)} AS y_prob FROM s")
+    for i, (f, lv) in enumerate((f, lv) for f in ["loan_amount", "combined_loan_to_value_ratio"] for lv in [0.1, 0.2]):
+        u = f"CAST(CAST(('0x' || substr(d, {1 + 8 * i}, 8)) AS BIGINT) AS DOUBLE) / {dbl(2 ** 32)}"
+        noise = f"(1.0::DOUBLE - {dbl(lv)} + 2.0::DOUBLE * {dbl(lv)} * ({u}))"
+        x1 = f"loan_amount * {noise}" if f == "loan_amount" else "loan_amount"
+        x2 = f"combined_loan_to_value_ratio * {noise}" if f != "loan_amount" else "combined_loan_to_value_ratio"
+        rows.append(f"SELECT '{f}' AS feature, {dbl(lv)} AS level, y, derived_race AS g, {model_sql(x1, x2)} AS y_prob FROM s")
     return f"""
-WITH s AS ({SQL_SCORED}), x AS ({' UNION ALL '.join(rows)}),
+WITH s AS (SELECT *, md5(concat_ws('|', '42', {ks})) AS d FROM ({SQL_SCORED}) s0), x AS ({' UNION ALL '.join(rows)}),
 auc AS ({auc_sql('x', ['feature', 'level'])}),
 base AS ({auc_sql(f'(SELECT y, {model_sql()} AS y_prob FROM s)', [])}),
 rt AS (SELECT feature, level, g, CAST(sum(CASE WHEN y_prob >= 0.5 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS r FROM x GROUP BY ALL),
-ref AS (SELECT feature, level, r AS rr FROM rt WHERE g = 'AFRICA'),
-air AS (SELECT rt.feature, rt.level, min(CASE WHEN ref.rr > 0 THEN rt.r / ref.rr END) AS a FROM rt LEFT JOIN ref
-        ON rt.feature = ref.feature AND rt.level = ref.level WHERE rt.g <> 'AFRICA' GROUP BY ALL)
+ref AS (SELECT feature, level, r AS rr FROM rt WHERE g = 'AFRICA')
 SELECT auc.feature, '±' || CAST(CAST(auc.level * 100 AS INTEGER) AS VARCHAR) || '%' AS noise_level,
        round(base.auc_raw, 4) AS baseline_auc, round(auc.auc_raw, 4) AS perturbed_auc, round(auc.auc_raw - base.auc_raw, 4) + 0.0::DOUBLE AS auc_delta,
-       abs(round(auc.auc_raw - base.auc_raw, 4)) < 0.02 AS auc_stable, round(air.a, 4) AS min_air
-FROM auc CROSS JOIN base LEFT JOIN air ON auc.feature = air.feature AND auc.level = air.level"""
+       abs(round(auc.auc_raw - base.auc_raw, 4)) < 0.02 AS auc_stable, rt.g AS "group", round(rt.r, 4) AS approval_rate,
+       round(CASE WHEN ref.rr > 0 THEN rt.r / ref.rr END, 4) AS air
+FROM rt JOIN auc ON auc.feature = rt.feature AND auc.level = rt.level CROSS JOIN base
+LEFT JOIN ref ON ref.feature = rt.feature AND ref.level = rt.level"""
 
 
 @query("perturbation", _pert_sql())
