@@ -102,7 +102,7 @@ def test_keep_one_has_all_columns(spark, table):
     docs = table([(4, text), (3, text + " i"), (3, text), (None, text), (7, None)], extra=["_row2"])
     got = keep_one(docs)
     assert got.columns == docs.columns
-    assert len(got.collect()) == 3 or len(got.collect()) == 2
+    assert len(got.collect()) == 2  # one of the four copies, and the null text
 
 
 def test_empty(spark, table):
