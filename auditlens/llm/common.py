@@ -19,7 +19,18 @@ def written(df: DataFrame, name: str = "llm") -> DataFrame:
     it back: its lineage is cut and lost executors cost no recomputation."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*written_ones: DataFrame | None) -> None:
+    """Delete tables made by ``written`` that only other written tables were
+    made from; nothing that is still lazy may refer to them."""
+    for df in written_ones:
+        if df is not None:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_at)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -11,12 +11,16 @@ the probability of the texts' weighted Jaccard similarity.  If a coordinate
 stays empty, the rank limit is doubled.
 
 Texts with equal word sequences are one node.  Nodes that share a band of
-coordinates are candidates: each bucket's lead (first node in even bands, last
-in odd ones) is compared with the bucket's members, then the leads of further
-components found in that bucket, until every component in it has had a lead;
-so a bucket of any size gives rows in proportion to its members and no bucket
-is gathered in one task.  Candidates are checked exactly on their shingle
-multisets (weighted Jaccard of ``THRESHOLD`` or more); classes are the
+coordinates are candidates.  First each bucket's lead (first node in even
+bands, last in odd ones) is compared with the bucket's members, which links
+most groups.  Where a bucket still holds several components, the members
+outside its largest one are held against all its members by signature, in
+blocks of bounded size.  Each first gives its ``FIRST`` likeliest partners of
+other components, and after these are linked, all that are left whose estimate
+is within 2.5 standard deviations of the threshold; a pair is given by the
+first bucket it shares only.  So far pairs never become rows and no bucket is
+gathered in one task.  Candidates are checked exactly on their
+shingle multisets (weighted Jaccard of ``THRESHOLD`` or more); classes are the
 connected components of the links that hold.
 
 With 32 bands of 8 coordinates a pair of similarity 0.8 shares a band with
@@ -35,15 +39,20 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import documents, row_keyed, written
+from auditlens.llm.common import discard, documents, row_keyed, written
 from auditlens.llm.graph import components
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 8
+#: 2.5 standard deviations of the estimate below the threshold.
+ESTIMATE = THRESHOLD - 2.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS))
+#: Members of a bucket that one task compares: CHUNK against BLOCK.
+CHUNK, BLOCK = 4096, 512
+FIRST = 8
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -146,26 +155,31 @@ _HASHES = WordHashes()
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, node (digest of the word sequence; null without words) and the
-    band keys of every document."""
+    """doc_id, node (digest of the word sequence; null without words), the band
+    keys and a sketch (a byte of each coordinate) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            nodes, keys = [], []
+            nodes, keys, sketches = [], [], []
             for text in batch.column(1).to_pylist():
                 words = (text or "").lower().split()
                 if words:
+                    signature = dart_signature(shingle_cells(words, _HASHES), bands * rows)
                     nodes.append(xxh3_128_digest(" ".join(words)))
-                    keys.append(band_keys(dart_signature(shingle_cells(words, _HASHES), bands * rows), bands, rows))
+                    keys.append(band_keys(signature, bands, rows))
+                    sketches.append((signature >> np.uint64(56)).astype(np.uint8).tobytes())
                 else:
                     nodes.append(None)
                     keys.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
+                    sketches.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                                             ["doc_id", "node", "bands", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>, sketch binary")
 
 
 def node_cells(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -215,9 +229,72 @@ def similar(pairs: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
     return wide.mapInArrow(run, "a binary, b binary")
 
 
+def likely_partners(compared: DataFrame, k: int | None) -> DataFrame:
+    """(node, other): for each member to be placed (``side`` 0) its ``k``
+    likeliest (None: all likely) members of other components, by sketch.
+    ``compared`` has a bounded group of members for each (bucket, chunk,
+    block)."""
+
+    def run(group):
+        import numpy as np
+        import pandas as pd
+
+        sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
+        bands = np.stack(group["bands"].to_numpy())
+        side, node, label = group["side"].to_numpy(), group["node"].to_numpy(), group["label"].to_numpy()
+        main, bucket = group["main"].iat[0], group["bucket"].iat[0]
+        members = np.flatnonzero(side == 1)
+        held, keys, ids, names = sketches[members], bands[members], node[members], label[members]
+        out: list[tuple] = []
+        for i in np.flatnonzero(side == 0):
+            near = np.count_nonzero(held == sketches[i], axis=1) / sketches.shape[1]
+            # two members to be placed are compared from the smaller one
+            at = np.flatnonzero((near >= ESTIMATE) & (names != label[i]) & (ids != group["lead"].iat[i]) & ((names == main) | (ids > node[i])))
+            if len(at):
+                shared = keys[at] == bands[i]
+                at = at[shared.argmax(axis=1) == np.flatnonzero(bands[i] == bucket)[0]]
+            if len(at) and group["seen"].iat[i] is not None:
+                at = at[~np.isin(ids[at], group["seen"].iat[i])]
+            if k is not None and len(at) > k:
+                at = at[np.argpartition(-near[at], k)[:k]]
+            out += [(node[i], ids[j]) for j in at]
+        return pd.DataFrame(out, columns=["node", "other"])
+
+    return compared.groupBy("bucket", "chunk", "block").applyInPandas(run, "node binary, other binary")
+
+
+def open_buckets(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The members with their components, and the buckets that hold several:
+    the largest component and the numbers of chunks and blocks."""
+    if labels is None:
+        labelled = members.withColumn("label", F.col("node"))
+    else:
+        labelled = members.join(labels.select("node", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = written(labelled, "labelled")
+    per = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    buckets = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("m"), F.max(F.struct("n", "label")).alias("top")).where("c > 1")
+    dealt = written(buckets.select("bucket", F.col("top.label").alias("main"), F.ceil(F.col("m") / CHUNK).alias("chunks"),
+                                   F.ceil((F.col("m") - F.col("top.n")) / BLOCK).alias("blocks")), "open-buckets")
+    return labelled, dealt
+
+
+def to_compare(labelled: DataFrame, dealt: DataFrame, nodes: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The members of open buckets, dealt into chunks and blocks: side 0 are
+    those outside the bucket's largest component."""
+    sketched = labelled.join(dealt.hint("merge"), "bucket").join(nodes.select("node", "sketch", "bands").hint("merge"), "node")
+    h = F.xxhash64("node")
+    right = sketched.select("bucket", "node", "label", "lead", "main", "sketch", "bands", F.pmod(h, "chunks").alias("chunk"),
+                            F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("side"), F.lit(None).cast("array<binary>").alias("seen"))
+    left = sketched.where("label <> main")
+    left = left.join(seen.hint("merge"), "node", "left") if seen is not None else left.withColumn("seen", F.lit(None).cast("array<binary>"))
+    left = left.select("bucket", "node", "label", "lead", "main", "sketch", "bands", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"),
+                       F.pmod(h, "blocks").alias("block"), F.lit(0).alias("side"), "seen")
+    return left.unionByName(right)
+
+
 def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
-    """(node, label) of every node that has a link, or None without buckets."""
-    nodes = written(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("at"), F.any_value("bands").alias("bands")), "nodes")
+    """(node, label) of every node that has a link, or None without links."""
+    nodes = written(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("at"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
     rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("n > 1")
     leads = written(shared.select("bucket", "lo", "hi"), "leads")
@@ -226,30 +303,33 @@ def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
     need = members.select("node").distinct().join(nodes.select("node", "at").hint("merge"), "node")
     cells = written(node_cells(need, docs).dropDuplicates(["node"]), "cells")
     pairs = _ordered(members.where("node <> lead").select("node", F.col("lead").alias("other"))).distinct()
-    tested = written(pairs, "pairs")
-    links = written(similar(tested, cells, threshold), "links")
-    used, more = members.select("bucket", F.col("lead").alias("led")).distinct(), 4
-    while True:
-        labels = written(components(links).select("node", "label"), "labels") if links.limit(1).count() else None
-        if labels is None:
-            labelled = members.withColumn("label", F.col("node"))
-        else:
-            labelled = members.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_buckets = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-        mixed = written(labelled.select("bucket", "node", "label").join(open_buckets.hint("merge"), "bucket"), "mixed")
-        # the components of each open bucket, smallest node first, without those that had a lead
-        had = mixed.join(used.hint("merge"), "bucket").where("node = led").select("bucket", "label").distinct()
-        fresh = mixed.groupBy("bucket", "label").agg(F.min("node").alias("led")).join(had.hint("merge"), ["bucket", "label"], "left_anti")
-        turn = Window.partitionBy("bucket").orderBy("led")
-        now = written(fresh.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= more).drop("_turn"), "leads")
-        if not now.limit(1).count():
-            return labels
-        against = mixed.join(now.withColumnRenamed("label", "led_label").hint("merge"), "bucket").where("label <> led_label")
-        pairs = _ordered(against.select("node", F.col("led").alias("other"))).distinct()
-        fresh_pairs = written(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"), "pairs")
-        found = written(similar(fresh_pairs, cells, threshold), "links")
-        links, tested = links.union(found), tested.union(fresh_pairs)
-        used, more = used.union(now.select("bucket", "led")), more * 4
+    first = written(pairs, "pairs")
+    links = [written(similar(first, cells, threshold), "links")]
+    discard(first)
+    labels, likely = None, None
+    for k in (FIRST, None):
+        if links[-1].limit(1).count():
+            discard(labels)
+            labels = components(_union(links))
+        labelled, dealt = open_buckets(members, labels)
+        seen = None if likely is None else likely.groupBy("node").agg(F.collect_set("other").alias("seen"))  # FIRST a bucket at most
+        now = written(likely_partners(to_compare(labelled, dealt, nodes, seen), k), "likely")
+        tried = written(_ordered(now).distinct(), "pairs")
+        links.append(written(similar(tried, cells, threshold), "links"))
+        discard(labelled, dealt, tried, likely)
+        likely = now
+    if links[-1].limit(1).count():
+        discard(labels)
+        labels = components(_union(links))
+    discard(nodes, leads, members, cells, likely, *links)
+    return labels
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -261,11 +341,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
     kept (one row of each class) for every document."""
     sig = written(signatures(docs), "signatures")
     labels = near_links(sig, docs)
-    rows = sig.select("doc_id", "node")
+    rows = written(sig.select("doc_id", "node"), "rows")
+    discard(sig)
     counted = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     labelled = counted.withColumn("label", F.col("node")) if labels is None else (
-        counted.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")))
+        counted.join(labels.select("node", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")))
     labelled = written(labelled, "node-labels")
+    discard(labels)
     classes = written(labelled.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size")), "classes")
     of_node = written(labelled.join(classes.hint("merge"), "label").select("node", "class_id", "class_size", (F.col("label")).alias("label")), "node-classes")
     # one node holds the class's first document: the smallest node among those with that id
