@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.llm.common import fresh_path, partitions, text_or_empty, written
+from auditlens.llm.common import discard, fresh_path, partitions, text_or_empty, written
 
 #: White space that equal texts may differ in.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -60,6 +60,7 @@ class DigestIndex:
         fresh = first.join(self.bucketed().select("digest").hint("merge"), "digest", "left_anti")
         fresh.repartition(self.n_buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
+        discard(first)
 
     def decide(self, digests: DataFrame) -> DataFrame:
         """One row per row of ``digests`` (doc_id, digest): doc_id, digest,

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.ordered import count_below, range_edges
-from auditlens.llm.common import documents, partitions, row_keyed, text_or_empty, written
+from auditlens.llm.common import discard, documents, partitions, row_keyed, text_or_empty, written
 
 #: (subsets, share of the lexicon in each as a power of 1/2)
 SUBSETS = ((6, 6), (6, 8), (6, 10))
@@ -129,6 +129,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         return F.concat(hashes, F.array(F.when(F.size(F.coalesce(F.col(terms), F.array().cast("array<string>"))) == 0, F.col(all_terms))))
 
     made = written(joined.select("_row", "doc_id", "_next_row", "n_chars", "edited_sha256", fp("_t", "_whole").alias("fp"), fp("_e", "_edited_whole").alias("edited_fp")), "imatch-fp")
+    discard(base, band)
     following = made.select(F.col("_row").alias("_next_row"), F.col("fp").alias("next_fp"))
     return made.join(following.hint("merge"), "_next_row").drop("_row", "_next_row")
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import documents, row_keyed, written
+from auditlens.llm.common import discard, documents, row_keyed, written
 
 THRESHOLD = 400
 CELL = 32
@@ -118,23 +118,28 @@ def _anchor_batch(ids, parts) -> pa.RecordBatch:
 
 
 def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose ``keys`` occur more than once: sorted by the rank pair,
-    unique ones leave."""
+    """The rows of a written table whose ``keys`` occur more than once: sorted
+    by the rank pair, unique ones leave.  ``rows`` is deleted."""
     again = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "ranks")
-    return rows.join(again.hint("merge"), keys)
+    left = written(rows.join(again.hint("merge"), keys), "doubled")
+    discard(again, rows)
+    return left
 
 
-def settle(rows: DataFrame, rank: list[str], hull: str, position: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose hull repeats, rows to look at closer).  The latter are the
+def settle(rows: DataFrame, rank: list[str], hull: str, position: list[str], threshold: int) -> tuple[DataFrame, DataFrame]:
+    """(spans of the rows whose hull repeats, rows to look at closer).  The latter are the
     rows with a hull of their own and, where such a row shares its rank, one
     witness of each repeated hull."""
     keys = [*rank, hull]
     classes = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*position)).alias("_witness")), "hulls")
-    whole = rows.join(classes.where("_n > 1").select(*keys).hint("merge"), keys)
+    whole = written(rows.join(classes.where("_n > 1").select(*keys).hint("merge"), keys)
+                    .select("_row", F.col("s").alias("start"), (F.col("e") + threshold).alias("stop")), "spans")
     single = classes.where("_n = 1")
     mixed = single.select(*rank).distinct()
     witness = classes.where("_n > 1").join(mixed.hint("merge"), rank, "left_semi")
-    return whole, single.select("_witness.*").unionByName(witness.select("_witness.*"))
+    closer = written(single.select("_witness.*").unionByName(witness.select("_witness.*")), "open")
+    discard(rows, classes)
+    return whole, closer
 
 
 def snippets(keyed: DataFrame, open_runs: DataFrame, threshold: int) -> DataFrame:
@@ -201,16 +206,14 @@ def repeated_spans(keyed: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if threshold < 64:
         raise ValueError("the threshold must be 64 bytes at least")
     anchors = written(anchor_rows(keyed, threshold), "anchors")
-    quarter = written(repeated(anchors, ["r1"]), "doubled")
-    half = written(repeated(quarter, ["r1", "r2"]), "doubled")
-    whole, open_runs = settle(half, ["r1", "r2"], "hull", ["_row", "a", "s", "e"])
-    parts = written(snippets(keyed, written(open_runs, "open"), threshold), "snippets")
-    cells = written(repeated(written(cell_rows(parts, threshold), "cells"), ["cell", "core"]), "doubled")
-    whole_cells, open_cells = settle(cells, ["cell", "core"], "hull", ["_row", "a", "s", "e"])
-    starts = repeated(written(start_rows(written(open_cells, "open"), parts, threshold), "starts"), ["name"])
-    spans = [(whole, "e"), (whole_cells, "e"), (starts, "s")]
-    found = [df.select("_row", F.col("s").alias("start"), (F.col(last) + threshold).alias("stop")) for df, last in spans]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    half = repeated(repeated(anchors, ["r1"]), ["r1", "r2"])
+    whole, open_runs = settle(half, ["r1", "r2"], "hull", ["_row", "a", "s", "e"], threshold)
+    parts = written(snippets(keyed, open_runs, threshold), "snippets")
+    cells = repeated(written(cell_rows(parts, threshold), "cells"), ["cell", "core"])
+    whole_cells, open_cells = settle(cells, ["cell", "core"], "hull", ["_row", "a", "s", "e"], threshold)
+    starts = repeated(written(start_rows(open_cells, parts, threshold), "starts"), ["name"])
+    discard(open_runs, open_cells, parts)
+    return whole.unionByName(whole_cells).unionByName(starts.select("_row", F.col("s").alias("start"), (F.col("s") + threshold).alias("stop")))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
