@@ -10,6 +10,7 @@ normalizer and pre-tokenizer.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 #: Chunks that need no normalization but lower case: ASCII and Latin up to U+024F.
 PLAIN = re.compile("[!-~¡-¬®-ɏ]+")
@@ -45,7 +46,7 @@ class Splitter:
             spec = json.load(f)
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.find = regex.compile(split).findall
-        self.shown = byte_chars()
+        self.shown = dict(enumerate(byte_chars()))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -68,11 +69,16 @@ class Splitter:
 
     def _plain(self, chunk: str) -> list[str | int]:
         if PLAIN.fullmatch(chunk):
-            low = self.find(chunk.lower())
-            if chunk.isascii():
-                return low  # printable ASCII stands for itself
-            shown = self.shown
-            return ["".join([shown[b] for b in p.encode()]) for p in low]
+            low = chunk.lower()
+            if low.isalpha():
+                found = [low]
+            elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+                found = [low[:-1], low[-1]]
+            else:
+                found = self.find(low)
+            if low.isascii():
+                return found  # printable ASCII stands for itself
+            return [p.encode().decode("latin-1").translate(self.shown) for p in found]
         pre, norm = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
         return [p for p, _ in pre.pre_tokenize_str(norm.normalize_str(chunk))]
 
@@ -82,7 +88,7 @@ class ChunkIds:
     ``encode`` (a list of pieces -> a list of id lists).  Both caches are
     emptied when full, so a worker's memory stays bounded."""
 
-    def __init__(self, splitter: Splitter, encode, max_chunks: int = 400_000, max_pieces: int = 250_000):
+    def __init__(self, splitter: Splitter, encode, max_chunks: int = 600_000, max_pieces: int = 400_000):
         self.splitter, self.encode = splitter, encode
         self.chunk_ids: dict[str, bytes] = {}
         self.piece_ids: dict[str, bytes] = {}
@@ -108,7 +114,7 @@ class ChunkIds:
         if len(self.piece_ids) > self.max_pieces:
             self.piece_ids = {}
         known = self.chunk_ids
-        missing = {c for chunks in block for c in chunks if c not in known}
+        missing = set(chain.from_iterable(block)).difference(known)
         if missing:
             pieces_of = self.splitter.pieces
             parts = {c: pieces_of(c) for c in missing}
