@@ -14,7 +14,7 @@ distinct words of each, ``DICT_BYTES`` in all.  Everything else covers every
 row and whole texts.
 
 Null texts and texts without a letter are `und` with score 0 and rejected; ties
-go to the language with more sampled documents first, then to the name;
+go to the language with more labelled documents, then to the name;
 repeated rows are judged alike; without labelled rows every text is `und`;
 an empty table gives no rows.  Columns other than doc_id, text and lang are
 left alone.
@@ -33,6 +33,7 @@ from auditlens.llm.common import documents
 
 SAMPLE_DOCS = 256
 SAMPLE_WORDS = 128
+SPARE = 4
 DICT_BYTES = 110 << 10
 FILLER = bytes(64)
 LEVEL = 6
@@ -47,23 +48,32 @@ def held_out(col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % 4 == 2
 
 
+def class_sizes(labelled: DataFrame) -> dict[str, int]:
+    """Rows of each language (one row a language)."""
+    return {r["lang"]: r["n"] for r in labelled.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def learn(labelled: DataFrame) -> list[tuple[str, bytes]]:
-    """(language, dictionary), the language with most sampled rows first.
+    """(language, dictionary), the language with most rows first.
 
-    ``labelled`` has doc_id, text and lang.  The window keeps the first rows of
-    each language; Spark limits each task's rows per language before the
-    shuffle, so a language with most of the rows is no hot key.
+    ``labelled`` has doc_id, text and lang.  Rows whose id hashes below a limit
+    set by the language's count are drawn first, about ``SPARE`` times the rows
+    wanted whatever the table's size; of these the smallest hashes are taken.
     """
+    sizes = class_sizes(labelled)
+    if not sizes:
+        return []
     mixed = F.crc32(F.concat(F.lit("sample-"), F.col("doc_id").cast("string")).cast("binary"))
-    first = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    limits = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1 << 32, SPARE * SAMPLE_DOCS * (1 << 32) // n))])
     words = F.slice(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+")), 1, SAMPLE_WORDS)
-    ids = (labelled.where("lang is not null and text is not null").select("lang", "doc_id", mixed.alias("_h"), words.alias("words"))
-           .withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= SAMPLE_DOCS))
+    drawn = (labelled.where("lang is not null and text is not null").withColumn("_h", mixed).where(F.col("_h") < limits[F.col("lang")])
+             .select("lang", "doc_id", "_h", words.alias("words")))
+    ranked = drawn.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id")))
     sample: dict[str, list] = {}
-    for row in ids.orderBy("lang", "_n").collect():  # bounded by the parameters above and the number of languages
+    for row in ranked.where(F.col("_n") <= SAMPLE_DOCS).orderBy("lang", "_n").collect():  # bounded by the parameters above
         sample.setdefault(row["lang"], []).append(row["words"])
     out = []
-    for lang, docs in sorted(sample.items(), key=lambda x: (-len(x[1]), x[0])):
+    for lang, docs in sorted(sample.items(), key=lambda x: (-sizes[x[0]], x[0])):
         content = b""
         for ws in docs:
             content += " ".join(ws).encode() + b" "
@@ -73,11 +83,6 @@ def learn(labelled: DataFrame) -> list[tuple[str, bytes]]:
     return out
 
 
-def class_sizes(labelled: DataFrame) -> dict[str, int]:
-    """Rows of each language, for ties (one row a language)."""
-    return {r["lang"]: r["n"] for r in labelled.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-
 class Classifier:
     """Predicts (language, margin) of one text."""
 
@@ -123,9 +128,7 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, bytes]], keep: list[s
 
 def fit(docs: DataFrame) -> list[tuple[str, bytes]]:
     """Dictionaries from the rows that are not held out, largest class first."""
-    labelled = docs.where(~held_out())
-    sizes = class_sizes(labelled)
-    return sorted(learn(labelled), key=lambda x: (-sizes.get(x[0], 0), x[0]))
+    return learn(docs.where(~held_out()))
 
 
 def accepted() -> Column:
