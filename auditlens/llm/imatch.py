@@ -2,18 +2,24 @@
 
 The lexicon holds the terms whose document frequency lies in a band: in two
 documents at least and in ``MAX_SHARE`` of them at most (a band of inverse
-document frequency).  A seeded hash deals its terms into random subsets of
-different rates; for each subset the document's terms are sorted and hashed.
-Dense subsets tell near copies, sparse ones also partial overlap; the likeness
-of two fingerprints is the share of equal hashes among the subsets in which
-either text has a term.  A text without any term of the subsets is
-fingerprinted by all its terms instead.
-
-Only terms that belong to some subset are exploded, so an eighth of the
-distinct terms is shuffled; document frequencies are partial aggregates and
-the band is applied by a join whose hot terms Spark splits.  The next document
-comes from windows over id ranges: each range also receives the first document
-of the following one, so no window spans the table.
+document frequency).  A seeded hash deals all its terms into disjoint slices
+of different rates; for each slice the document's terms are sorted and hashed.
+A randomised lexicon is all slices but some (``LEXICONS``): it keeps about
+70 % of the terms and its fingerprint is the hash of its slices' hashes, so
+two texts agree in it if they have the same terms in it.  Each pair of the
+dense slices is left out by one lexicon.  The likeness of two fingerprints is
+the share of equal slices among those in which either text has a term (dense
+slices tell near copies, sparse ones also partial overlap).  A text without
+any term of the band is fingerprinted by all its terms instead.
+
+No term of a text is shuffled.  Terms are counted by partial aggregates; those
+above the band are few whatever the table's size (their shares of documents
+sum up to the mean number of terms of a text) and are put into the plan; those
+in a single document go back to that document, and to the one before it, with
+the rows of the window that finds the next document.  The half-and-half text
+has at most two terms that neither source has, cut at its seams; only those
+are joined with the counted terms.  The windows are over id ranges: each range
+also receives the first document of the following one, so none spans the table.
 
 Null texts are empty; texts without terms share one fingerprint; repeated ids
 are ordered by row; the last document's next is the first, a single one's next
@@ -23,14 +29,17 @@ are not read.
 
 from __future__ import annotations
 
+import random
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.ordered import count_below, range_edges
-from auditlens.llm.common import discard, documents, partitions, row_keyed, text_or_empty, written
+from auditlens.functions.ordered import count_at_or_below, count_below, range_edges
+from auditlens.llm.common import documents, partitions, row_keyed, text_or_empty, written
 
-#: (subsets, share of the lexicon in each as a power of 1/2)
-SUBSETS = ((6, 6), (6, 8), (6, 10))
+#: (slices, share of the lexicon in each as a power of 1/2); together they are all of it
+SUBSETS = ((7, 3), (6, 6), (8, 8))
 MAX_SHARE = 0.05
 MIN_DOCS = 2
 SEED = 9
@@ -48,53 +57,80 @@ def subset_bounds(subsets=SUBSETS) -> list[int]:
     return out
 
 
+def lexicons(subsets=SUBSETS, seed: int = SEED) -> list[list[int]]:
+    """The slices that each randomised lexicon keeps: all but a pair of the
+    dense ones and a seeded choice of 3 in 10 of the others."""
+    rng, (dense, _) = random.Random(seed), subsets[0]
+    others = range(dense, sum(n for n, _ in subsets))
+    return [[i for i in range(dense) if i not in pair] + [i for i in others if rng.random() >= 0.3] for pair in combinations(range(dense), 2)]
+
+
+LEXICONS = lexicons()
+
+
 def dealt(term: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(term, F.lit(SEED)), 48)
 
 
+def pieces_of(text: Column) -> Column:
+    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+
+
 def distinct_terms(text: Column) -> Column:
-    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), lambda t: t != "")
+    return F.filter(F.array_distinct(pieces_of(text)), lambda t: t != "")
 
 
-def chosen(terms: Column, bounds: list[int]) -> Column:
-    return F.filter(terms, lambda t: dealt(t) < bounds[-1])
+def place(deal: Column, bounds: list[int]) -> Column:
+    """Number of the slice that a term belongs to."""
+    return count_at_or_below(deal, bounds[:-1])
 
 
-def paired(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, text, _next_row and next_text in ascending id order."""
-    keyed = row_keyed(docs).select("_row", "doc_id", text_or_empty().alias("text"))
-    edges = range_edges(keyed, "doc_id", 4 * partitions(docs.sparkSession))
-    placed = keyed.withColumn("_range", count_below(F.col("doc_id").cast("double"), edges))
+def vocabulary(keyed: DataFrame) -> DataFrame:
+    """Each term with its number of rows and one row that has it."""
+    terms = keyed.select("_row", "doc_id", F.explode(distinct_terms(F.col("text"))).alias("term"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("_row"), F.min("doc_id").alias("doc_id"))
+
+
+def placed_with_rare(keyed: DataFrame, rare: DataFrame):
+    """_range, _ghost, _row, doc_id, text and rare (the row's terms of no other
+    row) in ascending id order within ranges, and the window over them; the
+    first row of the following range comes last in each, as a ghost."""
+    edges = range_edges(keyed, "doc_id", 4 * partitions(keyed.sparkSession))
+    ranged = lambda df: df.withColumn("_range", count_below(F.col("doc_id").cast("double"), edges))
     order = F.struct("doc_id", "_row")
     firsts = sorted((r["_range"], r["first"]["_row"]) for r in  # one row a range
-                    placed.select("doc_id", "_row", "_range").groupBy("_range").agg(F.min(order).alias("first")).collect())
-    if not firsts:
-        return keyed.select("*", F.lit(None).cast("long").alias("_next_row"), F.lit(None).cast("string").alias("next_text"))
-    ghosts = docs.sparkSession.createDataFrame(
-        [(row, firsts[i - 1][0]) for i, (_, row) in enumerate(firsts)], "_row LONG, _range INT")
-    extra = keyed.join(F.broadcast(ghosts), "_row")  # one row a range
+                    ranged(keyed.select("doc_id", "_row")).groupBy("_range").agg(F.min(order).alias("first")).collect())
+    placed = ranged(keyed.select("_row", "doc_id", "text", F.lit(None).cast("array<string>").alias("rare"), F.lit(1).alias("_kind")).unionByName(
+        rare.select("_row", "doc_id", F.lit(None).cast("string").alias("text"), "rare", F.lit(0).alias("_kind"))))
+    ghosts = keyed.sparkSession.createDataFrame([(row, firsts[i - 1][0]) for i, (_, row) in enumerate(firsts)], "_row LONG, _range INT")
+    extra = placed.drop("_range").join(F.broadcast(ghosts), "_row")  # two rows a range
     rows = placed.withColumn("_ghost", F.lit(0)).unionByName(extra.withColumn("_ghost", F.lit(1)))
-    w = Window.partitionBy("_range").orderBy("_ghost", F.col("doc_id").asc_nulls_first(), "_row")
-    return (rows.withColumn("_next_row", F.lead("_row").over(w)).withColumn("next_text", F.lead("text").over(w))
-            .where("_ghost = 0").select("_row", "doc_id", "text", "_next_row", "next_text"))
+    w = Window.partitionBy("_range").orderBy("_ghost", F.col("doc_id").asc_nulls_first(), "_row", "_kind")
+    none = F.array().cast("array<string>")
+    own = F.when((F.lag("_kind").over(w) == 0) & (F.lag("_row").over(w) == F.col("_row")), F.lag("rare").over(w))
+    return rows.withColumn("rare", F.coalesce(F.when(F.col("_kind") == 1, own), none)).where("_kind = 1"), w
 
 
-def lexicon(docs: DataFrame, bounds: list[int], max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The terms of the band that belong to a subset."""
-    terms = docs.select(F.explode(chosen(distinct_terms(text_or_empty()), bounds)).alias("term"))
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df.where((F.col("df") >= min_docs) & (F.col("df") <= F.lit(max_share) * F.lit(docs.count()))).select("term")
+def slices(terms: Column, bounds: list[int]) -> Column:
+    """The terms of each slice, sorted and joined by blanks: one sort of all
+    terms with a mark in front of each slice."""
+    deals = F.transform(terms, lambda t: F.struct(dealt(t).alias("d"), t.alias("t")))
+    dealt_terms = F.transform(deals, lambda x: F.struct(place(x["d"], bounds).alias("p"), x["t"].alias("t")))
+    marks = F.array(*[F.struct(F.lit(i).alias("p"), F.lit("").alias("t")) for i in range(len(bounds))])
+    line = F.concat_ws(" ", F.transform(F.sort_array(F.concat(dealt_terms, marks)), lambda x: F.when(x["t"] == "", F.lit("\x01")).otherwise(x["t"])))
+    return F.transform(F.slice(F.split(line, "\x01"), 2, len(bounds)), lambda p: F.trim(p))
 
 
-def subset_hashes(terms: Column, bounds: list[int]) -> Column:
-    """One hash for each subset (null where the text has no term in it)."""
-    ordered = F.array_sort(terms)
+def slice_hashes(sliced: Column, whole: Column) -> Column:
+    """One hash for each slice (null where the text has no term in it) and,
+    last, ``whole`` where no slice has one."""
+    hashes = F.transform(sliced, lambda p: F.when(p != "", F.xxhash64(p)))
+    return F.concat(hashes, F.array(F.when(~F.exists(sliced, lambda p: p != ""), whole)))
 
-    def one(lo: int, hi: int) -> Column:
-        own = F.filter(ordered, lambda t: (dealt(t) >= lo) & (dealt(t) < hi))
-        return F.when(F.size(own) > 0, F.xxhash64(F.concat_ws(" ", own)))
 
-    return F.array(*[one(lo, hi) for lo, hi in zip([0, *bounds], bounds, strict=False)])
+def lexicon_hashes(fp: Column) -> Column:
+    """One hash for each randomised lexicon (null where the text has no term in it)."""
+    return F.array(*[F.when(F.coalesce(*[fp[i] for i in kept]).isNotNull(), F.xxhash64(*[fp[i] for i in kept])) for kept in LEXICONS])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -107,35 +143,49 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fp, edited_fp and next_fp (arrays of
-    subset hashes and, last, of all terms where no subset has one)."""
+    slice hashes and, last, of all terms where no slice has one)."""
     bounds = subset_bounds()
+    keyed = row_keyed(docs).select("_row", "doc_id", text_or_empty().alias("text"))
+    counted = written(vocabulary(keyed), "imatch-vocabulary")
+    within = F.col("n") <= F.lit(MAX_SHARE) * F.lit(docs.count())
+    common = [r["term"] for r in counted.where((F.col("n") >= MIN_DOCS) & ~within).select("term").collect()]  # bounded: see above
+    band = counted.where((F.col("n") >= MIN_DOCS) & within).select("term")
+    rare = counted.where("n = 1").groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.collect_list("term").alias("rare"))
+    placed, w = placed_with_rare(keyed, rare)
+
+    def kept(terms: Column, without: Column) -> Column:
+        return F.array_except(F.filter(terms, lambda t: ~t.isin(common)) if common else terms, without)
+
+    whole = lambda terms: F.xxhash64(F.concat_ws(" ", F.array_sort(terms)))
+    own = (placed.withColumn("_t", distinct_terms(F.col("text"))).withColumn("_s", slices(kept(F.col("_t"), F.col("rare")), bounds))
+           .withColumn("fp", slice_hashes(F.col("_s"), whole(F.col("_t")))).drop("_t", "_s"))
+    pairs = own.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in ("text", "rare", "fp")]).where("_ghost = 0")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    pairs = paired(docs).withColumn("_edited", edited).withColumn("_t", distinct_terms(F.col("text"))).withColumn("_e", distinct_terms(F.col("_edited")))
-    whole = lambda terms: F.xxhash64(F.concat_ws(" ", F.array_sort(terms)))
-    base = written(pairs.select("_row", "doc_id", "_next_row", n.cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
-                                whole(F.col("_t")).alias("_whole"), whole(F.col("_e")).alias("_edited_whole"),
-                                chosen(F.col("_t"), bounds).alias("_t"), chosen(F.col("_e"), bounds).alias("_e")), "imatch-base")
-    band = written(lexicon(docs, bounds), "imatch-lexicon")
-    terms = base.select("_row", "_t", "_e", F.explode(F.array_union("_t", "_e")).alias("term")).select(
-        "_row", "term", F.array_contains("_t", F.col("term")).alias("_in"), F.array_contains("_e", F.col("term")).alias("_in_edited"))
-    kept = terms.join(band.hint("merge"), "term").groupBy("_row").agg(
-        F.collect_set(F.when(F.col("_in"), F.col("term"))).alias("_t"), F.collect_set(F.when(F.col("_in_edited"), F.col("term"))).alias("_e"))
-    joined = base.drop("_t", "_e").join(kept.hint("merge"), "_row", "left")
-
-    def fp(terms: str, all_terms: str) -> Column:
-        hashes = subset_hashes(F.coalesce(F.col(terms), F.array().cast("array<string>")), bounds)
-        return F.concat(hashes, F.array(F.when(F.size(F.coalesce(F.col(terms), F.array().cast("array<string>"))) == 0, F.col(all_terms))))
-
-    made = written(joined.select("_row", "doc_id", "_next_row", "n_chars", "edited_sha256", fp("_t", "_whole").alias("fp"), fp("_e", "_edited_whole").alias("edited_fp")), "imatch-fp")
-    discard(base, band)
-    following = made.select(F.col("_row").alias("_next_row"), F.col("fp").alias("next_fp"))
-    return made.join(following.hint("merge"), "_next_row").drop("_row", "_next_row")
+    front = F.substring("text", F.lit(1), n - half)
+    seams = F.array_distinct(F.array(F.element_at("_p", F.size(pieces_of(front))), F.element_at("_p", F.lit(-1))))
+    halves = (pairs.withColumn("_edited", F.concat(front, F.substring("next_text", F.lit(1), half))).withColumn("_p", pieces_of(F.col("_edited")))
+              .withColumn("_seams", F.filter(seams, lambda t: t != "")).withColumn("_e", F.filter(F.array_distinct("_p"), lambda t: t != ""))
+              .withColumn("_s", slices(kept(F.col("_e"), F.concat("rare", "next_rare", "_seams")), bounds)))
+    at = lambda t: place(dealt(t), bounds)
+    base = written(halves.select(
+        "_row", "doc_id", n.cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), "fp", slice_hashes(F.col("_s"), whole(F.col("_e"))).alias("edited_fp"),
+        "next_fp", F.transform("_seams", lambda t: F.struct(t.alias("term"), at(t).alias("p"), F.get(F.col("_s"), at(t)).alias("others"))).alias("_seams")), "imatch-base")
+    found = (base.select("_row", F.explode("_seams").alias("_x")).select("_row", "_x.*").join(band.hint("merge"), "term")
+             .groupBy("_row").agg(F.collect_list(F.struct("term", "p", "others")).alias("_found")))
+
+    def with_seams(h: Column, i: Column) -> Column:
+        here = F.filter("_found", lambda x: x["p"] == i)
+        terms = F.concat(F.filter(F.split(F.get(here, F.lit(0))["others"], " "), lambda t: t != ""), F.transform(here, lambda x: x["term"]))
+        return F.when(F.size(here) > 0, F.xxhash64(F.concat_ws(" ", F.array_sort(terms)))).when(i < len(bounds), h)
+
+    edited = F.when(F.col("_found").isNull(), F.col("edited_fp")).otherwise(F.transform("edited_fp", with_seams))
+    return base.join(found.hint("merge"), "_row", "left").select("doc_id", "n_chars", "edited_sha256", "fp", edited.alias("edited_fp"), "next_fp")
 
 
 def shown(fp: str) -> Column:
-    return F.array_join(F.transform(F.col(fp), lambda h: F.lower(F.hex(h))), "-", "")
+    """The hashes of the lexicons, then those of the slices."""
+    return F.array_join(F.transform(F.concat(lexicon_hashes(F.col(fp)), F.col(fp)), lambda h: F.lower(F.hex(h))), "-", "")
 
 
 def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

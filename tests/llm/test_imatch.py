@@ -82,3 +82,21 @@ def test_edges(spark, table):
 
 def test_empty_fingerprint_text():
     assert M.subset_bounds(((2, 2),)) == [1 << 14, 1 << 15]
+
+
+def test_lexicons_keep_most_of_the_band_and_cover_it():
+    assert M.subset_bounds()[-1] == M.DEAL
+    shares = [2.0 ** -power for n, power in M.SUBSETS for _ in range(n)]
+    assert all(sum(shares[i] for i in kept) > 0.65 for kept in M.LEXICONS)
+    assert {i for kept in M.LEXICONS for i in kept} == set(range(len(shares)))
+
+
+def test_one_changed_word_leaves_a_lexicon(spark, table, words):
+    rng = random.Random(8)
+    base = rng.sample(words, 60)
+    texts = [" ".join(base)] * 2 + [" ".join(w for w in base if w != out) for out in base[:25]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, " ".join(rng.choices(words, k=40))) for i in range(900)]
+    fps = {r.doc_id: r.lex for r in M.fingerprints(table(rows)).select("doc_id", M.lexicon_hashes(F.col("fp")).alias("lex")).collect()}
+    assert all(any(x == y for x, y in zip(fps[0], fps[2 + i], strict=True)) for i in range(25))
+    assert any(fps[0] != fps[2 + i] for i in range(25))
+    assert not any(x == y for x, y in zip(fps[100], fps[101], strict=True))
