@@ -2,7 +2,11 @@
 
 The lexicon holds the terms whose document frequency lies in a band: in two
 documents at least and in ``MAX_SHARE`` of them at most (a band of inverse
-document frequency).  A seeded hash deals all its terms into disjoint slices
+document frequency).  For the upper limit a large class of copies or near
+copies counts as one document, so that no group can push its own words out of
+the band: rows are classed by four coarse sketches (the four smallest term
+hashes in four orders), and each row of a class above ``CLASS_SHARE`` weighs
+one over the size of the largest class it is in.  A seeded hash deals all its terms into disjoint slices
 of different rates; for each slice the document's terms are sorted and hashed.
 A randomised lexicon is all slices but some (``LEXICONS``): it keeps about
 70 % of the terms and its fingerprint is the hash of its slices' hashes, so
@@ -42,6 +46,14 @@ from auditlens.llm.common import documents, partitions, row_keyed, text_or_empty
 SUBSETS = ((7, 3), (6, 6), (8, 8))
 MAX_SHARE = 0.05
 MIN_DOCS = 2
+#: A class with more rows than both counts as one document.
+CLASS_SHARE = MAX_SHARE / 10
+CLASS_ROWS = 3
+#: Orders of the term hashes that rows are classed by, and terms in a sketch.
+CLASS_ORDERS = (0, 0x5A17C3E94B2D6F80, 0x33D1E6A80F7B924C, 0x6E4B09D75C83F21A)
+CLASS_TERMS = 4
+#: Weight of one document.
+ONE = 1 << 30
 SEED = 9
 #: Terms are dealt by 16 bits of their hash.
 DEAL = 1 << 16
@@ -85,10 +97,35 @@ def place(deal: Column, bounds: list[int]) -> Column:
     return count_at_or_below(deal, bounds[:-1])
 
 
+def classes(terms: Column) -> Column:
+    """One key for each order: texts with few different terms share one at
+    least, others seldom do."""
+    hashes = F.transform(terms, lambda t: F.xxhash64(t))
+
+    def least_in(mask: int) -> Column:
+        return F.slice(F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask)))), 1, CLASS_TERMS)
+
+    return F.array(*[F.xxhash64(x, F.lit(i)) for i, x in enumerate(map(least_in, CLASS_ORDERS))])
+
+
+def weighted(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with their weight ``_w``, and the sum of the weights."""
+    n = keyed.count()
+    keys = classes(distinct_terms(F.col("text")))
+    large = keyed.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(
+        (F.col("n") > CLASS_ROWS) & (F.col("n") > F.lit(CLASS_SHARE) * F.lit(n))).collect()  # at most one over the share for each order
+    if not large:
+        return keyed.withColumn("_w", F.lit(ONE)), n * ONE
+    sizes = F.create_map(*[F.lit(x) for r in large for x in (r["key"], r["n"])])
+    size = F.array_max(F.transform(keys, lambda k: F.coalesce(F.element_at(sizes, k), F.lit(1).cast("long"))))
+    out = keyed.withColumn("_w", F.floor(F.lit(ONE) / size))
+    return out, out.agg(F.sum("_w").alias("w")).first()["w"]
+
+
 def vocabulary(keyed: DataFrame) -> DataFrame:
-    """Each term with its number of rows and one row that has it."""
-    terms = keyed.select("_row", "doc_id", F.explode(distinct_terms(F.col("text"))).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("_row"), F.min("doc_id").alias("doc_id"))
+    """Each term with its number of rows, their weight and one row that has it."""
+    terms = keyed.select("_row", "doc_id", "_w", F.explode(distinct_terms(F.col("text"))).alias("term"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.min("_row").alias("_row"), F.min("doc_id").alias("doc_id"))
 
 
 def placed_with_rare(keyed: DataFrame, rare: DataFrame):
@@ -146,8 +183,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     slice hashes and, last, of all terms where no slice has one)."""
     bounds = subset_bounds()
     keyed = row_keyed(docs).select("_row", "doc_id", text_or_empty().alias("text"))
-    counted = written(vocabulary(keyed), "imatch-vocabulary")
-    within = F.col("n") <= F.lit(MAX_SHARE) * F.lit(docs.count())
+    rows, total = weighted(keyed)
+    counted = written(vocabulary(rows), "imatch-vocabulary")
+    within = F.col("w") <= F.lit(MAX_SHARE) * F.lit(total)
     common = [r["term"] for r in counted.where((F.col("n") >= MIN_DOCS) & ~within).select("term").collect()]  # bounded: see above
     band = counted.where((F.col("n") >= MIN_DOCS) & within).select("term")
     rare = counted.where("n = 1").groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.collect_list("term").alias("rare"))

@@ -100,3 +100,13 @@ def test_one_changed_word_leaves_a_lexicon(spark, table, words):
     assert all(any(x == y for x, y in zip(fps[0], fps[2 + i], strict=True)) for i in range(25))
     assert any(fps[0] != fps[2 + i] for i in range(25))
     assert not any(x == y for x, y in zip(fps[100], fps[101], strict=True))
+
+
+def test_a_large_group_of_near_copies_does_not_leave_the_band(spark, table, words):
+    rng = random.Random(6)
+    base = rng.sample(words, 80)
+    copies = [" ".join(rng.choice(words) if i == at else w for i, w in enumerate(base)) for at in range(80)]
+    rows = [(i, t) for i, t in enumerate(copies + [" ".join(base)] * 20)]
+    rows += [(1000 + i, " ".join(rng.choices(words, k=40))) for i in range(200)]
+    got = M.fingerprints(table(rows)).where("doc_id < 99").select(M.likeness(F.col("fp"), F.col("next_fp")).alias("near")).collect()
+    assert sum(r.near for r in got) / len(got) > 0.7
