@@ -1,12 +1,14 @@
 """Language identification by compression.
 
 Each language has a zstandard raw-content dictionary made of words from
-labelled documents.  A text is lower-cased, reduced to its distinct words (so that its
+labelled documents.  A text is lower-cased and cut into blocks of
+``BLOCK_WORDS`` words; each block is reduced to its distinct words (so that its
 own repeats cannot outweigh the dictionary) and compressed with every
-dictionary; the language with the smallest result wins.  A run of zero bytes
+dictionary; the language with the smallest sum over all blocks wins.  A run of zero bytes
 in front keeps zstandard from storing short texts uncompressed.  The score is
-the relative margin between the two smallest sizes; a margin below
-``MIN_MARGIN`` is a rejection.
+the relative margin between the two smallest sums; a margin below
+``MIN_MARGIN`` is a rejection.  A dictionary saves a bounded number of bytes of
+one result, so that without blocks the margin would fall with a text's length.
 
 The training sample is bounded by parameters: per language the
 ``SAMPLE_DOCS`` documents with the smallest hash of their id, ``SAMPLE_WORDS``
@@ -38,6 +40,7 @@ DICT_BYTES = 110 << 10
 FILLER = bytes(64)
 LEVEL = 6
 MIN_MARGIN = 0.005
+BLOCK_WORDS = 4096
 UNKNOWN = "und"
 
 WORD = re.compile(r"\w+")
@@ -98,8 +101,11 @@ class Classifier:
     def __call__(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs or not LETTER.search(text):
             return UNKNOWN, 0.0
-        data = FILLER + " ".join(dict.fromkeys(WORD.findall(text.lower()))).encode()
-        sizes = [len(squeeze(data)) for squeeze in self.squeeze]
+        words = WORD.findall(text.lower())
+        sizes = [0] * len(self.squeeze)
+        for start in range(0, len(words), BLOCK_WORDS):
+            data = FILLER + " ".join(dict.fromkeys(words[start : start + BLOCK_WORDS])).encode()
+            sizes = [size + len(squeeze(data)) for size, squeeze in zip(sizes, self.squeeze, strict=True)]
         best = min(sizes)
         lang = self.langs[sizes.index(best)]
         if len(sizes) == 1:

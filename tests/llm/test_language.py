@@ -49,3 +49,19 @@ def test_no_labels_and_empty(spark, table):
     assert {r.lang_pred for r in predict(docs, [], ["doc_id"]).collect()} == {UNKNOWN}
     assert predict(docs, [], ["doc_id"]).where(accepted()).collect() == []
     assert keep_identified(table([])).collect() == []
+
+
+def test_long_texts_of_one_language_are_accepted(spark):
+    from auditlens.llm.language import MIN_MARGIN, Classifier
+
+    docs = spark.read.parquet(SF.replace("sf0.001", "sf0.1") + "/documents.parquet")
+    classify = Classifier(fit(docs))
+    texts = {}
+    for r in docs.where(held_out()).where("lang is not null and text is not null").orderBy("doc_id").collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    long = {lang: "\n".join(x) for lang, x in texts.items() if sum(map(len, x)) > 500_000}
+    assert len(long) >= 3
+    for lang, text in long.items():
+        for whole in (text, text * (10_000_000 // len(text))):
+            found, margin = classify(whole)
+            assert found == lang and margin >= 4 * MIN_MARGIN, (lang, len(whole), margin)
