@@ -80,12 +80,15 @@ def parse_calls(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
                     F.array_sort(F.array_distinct(after)).alias("after"))
 
 
-def parse_results(messages: DataFrame) -> DataFrame:
-    """The first result of each id: conv_id, call_id, result_turn, result."""
+def parse_results(messages: DataFrame, calls: DataFrame) -> DataFrame:
+    """The first result after each of ``calls`` (one an id): conv_id, call_id,
+    result_turn, result."""
     found = messages.select("conv_id", "turn", F.posexplode(markup(F.col("text"), "tool_result")).alias("nth", "body"))
     v = found.withColumn("v", F.try_parse_json("body"))
     named = v.select("conv_id", "turn", "nth", _string(F.col("v"), "id").alias("call_id"), _string(F.col("v"), "content").alias("content")).where("call_id is not null")
-    first = named.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "nth", "content")).alias("r"))
+    asked = calls.select("conv_id", "call_id", F.col("turn").alias("_asked"))
+    later = named.join(asked.hint("shuffle_hash"), ["conv_id", "call_id"]).where(F.col("turn") > F.col("_asked"))
+    first = later.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "nth", "content")).alias("r"))
     return first.select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), F.col("r.content").alias("result"))
 
 
@@ -138,12 +141,12 @@ def link_calls(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     deep = depths(unique.select("conv_id", "call_id", "after"))
     named = unique.select("conv_id", "call_id", F.explode("after").alias("dep"))
     lost = named.join(unique.select("conv_id", F.col("call_id").alias("dep")), ["conv_id", "dep"], "left_anti").select("conv_id", "call_id", F.lit(True).alias("_lost")).distinct()
-    linked = (unique.join(parse_results(keyed).hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(deep, ["conv_id", "call_id"], "left")
+    linked = (unique.join(parse_results(keyed, unique).hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(deep, ["conv_id", "call_id"], "left")
               .join(lost, ["conv_id", "call_id"], "left"))
     rest = calls.where("not _first").withColumns({"result_turn": F.lit(None).cast("long"), "result": F.lit(None).cast("string"),
                                                       "depth": F.lit(None).cast("int"), "_lost": F.lit(None).cast("boolean")})
     every = linked.unionByName(rest)
-    answered = F.col("result_turn") > F.col("turn")
+    answered = F.col("result_turn").isNotNull()
     status = (F.when(F.col("call_id").isNull(), "malformed").when(~F.col("_first"), "duplicate")
               .when(F.size("errors") > 0, F.array_join("errors", ",")).when(F.col("depth").isNull(), "cyclic")
               .when(F.col("_lost"), "unknown_dependency").when(answered, "ok").otherwise("no_result"))

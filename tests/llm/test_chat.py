@@ -64,3 +64,9 @@ def test_long_conversation_is_numbered_in_blocks(spark):
 def test_empty(spark):
     assert run(spark, []) == []
     assert numbered is not None
+
+
+def test_a_stray_result_before_the_call_hides_no_later_one(spark):
+    rows = [(1, 0, "tool", result("a", "stray")), (1, 1, "assistant", call("a")), (1, 1, "tool", result("a", "same turn")), (1, 2, "tool", result("a", "real")), (1, 3, "tool", result("a", "late"))]
+    [r] = run(spark, rows)
+    assert (r.status, r.result_turn) == ("ok", 2) and '"result":"real"' in r.call_json
