@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlens.session import scratch_path
@@ -53,3 +53,20 @@ def row_keyed(docs: DataFrame) -> DataFrame:
     if not odd:
         return docs.withColumn("_row", F.col("doc_id").cast("long"))
     return written(docs.withColumn("_row", F.monotonically_increasing_id()), "row-keyed")
+
+
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with gapless places from 0 in the order given, as a written table.
+
+    Rows are range partitioned and sorted; a row's place is its place within
+    its partition plus the sizes of the partitions before (one row each, so
+    the broadcast table is as long as the number of partitions set).  The order
+    should tell rows apart, or ties take any order and one range.  ``df`` is
+    read twice and should be a written table."""
+    n = partitions(df.sparkSession)
+    placed = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned("_id", 33).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    rows = placed.withColumn("_part", F.shiftrightunsigned("_id", 33))
+    return rows.join(F.broadcast(before), "_part").withColumn(out, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before", "_id")
