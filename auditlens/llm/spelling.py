@@ -5,18 +5,18 @@ successive letter groups ``GROUPS``.  Two words at an edit distance of one
 have paths that differ by one surplus (an inserted letter), by one surplus and
 one deficit (a replaced letter) or not at all (a letter replaced by one of its
 group).  So a depth-first search that may spend one surplus and one deficit
-reaches every near word's leaf, and the words of that leaf are verified.  Every
-near pair is met once: inserts from the shorter word, replacements from the
-side whose first differing group has the surplus, replacements within a group
-from the smaller word.
+reaches every near word's leaf, and the words of that leaf are verified.  A
+node with few words is a leaf at once; it bursts into children when it fills.
+Every near pair is met once, from the word whose (path, word) is smaller: its
+first differing group then has the surplus, so deficits come second.
 
 The trie is cut into subtries that fit a task.  Words are keyed by the first
 levels of their path; where a key holds more than ``SUBTRIE`` words its words go
 on to a deeper cut.  Searches walk the same cuts and spend their budget on the
 way, so a search becomes a handful of rows (subtrie, budget left) and meets the
 subtrie in one cogrouped task.  Subtries with many searches are copied for
-bounded shares of them, and words that share a whole path are dealt into
-bounded shares as well, so no task holds more than about twice ``SUBTRIE`` rows.
+bounded shares of them (``ASKED``), and words that share a whole path are dealt
+into bounded shares as well, so what a task holds is bounded.
 
 Runs of letters are counted in the tasks that read the texts and summed by
 word; only distinct words move.  Null and empty texts have no words; a null
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlens.functions.ordered import join_small
@@ -43,14 +43,13 @@ MIN_LENGTH, MIN_COUNT, EDIT_EVERY, FORM_RATIO = 5, 3, 97, 2
 GROUPS = ("e", "a", "i", "n", "r", "t", "o", "s", "l", "u", "d", "c", "m", "p", "gq", "bx", "vj", "hz", "fw", "ky",
           "À-Ï", "Ð-ß", "à-ï", "ð-ÿ")
 #: Levels after which the trie may be cut.
-CUTS = (4, 8, 14, len(GROUPS))
+CUTS = (3, 5, 8, 12, 18, len(GROUPS))
 #: Words of a subtrie, and searches that one copy of it answers.
-SUBTRIE = 8192
+SUBTRIE, ASKED = 16_384, 65_536
 #: Distinct words that a task holds before it passes them on.
 HELD = 400_000
-#: Words of a leaf that are verified one by one; larger leaves are indexed by halves.
-FEW = 16
-
+#: Entries of a leaf before it bursts.
+FEW = 12
 
 # ---------------------------------------------------------------- words
 
@@ -99,29 +98,50 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
 
 # ---------------------------------------------------------------- trie
 
-def path_column(word: str = "word") -> Column:
-    """The path of a word: its letters in each group."""
-    return F.array(*[F.regexp_count(F.col(word), F.lit(f"[{g}]")) for g in GROUPS])
+def levels() -> dict[str, int]:
+    """letter -> level."""
+    out = {}
+    for at, group in enumerate(GROUPS):
+        lo, _, hi = group.partition("-")
+        out |= dict.fromkeys(map(chr, range(ord(lo), ord(hi) + 1)) if hi else group, at)
+    return out
+
+
+_LEVELS = levels()
+#: Counts are characters of the path; a count beyond this bound (no character stands for it) is kept as the bound.
+MOST = 0xD000
 
 
-def prefix(depth: int) -> Column:
-    return F.array_join(F.slice("path", 1, depth).cast("array<string>"), ",")
+def path_of(word: str) -> str:
+    """The counts of a word's letters by group, one character each, so that
+    paths compare as their counts do."""
+    counts = [0] * len(GROUPS)
+    for c in word:
+        counts[_LEVELS[c]] += 1
+    return "".join(map(chr, counts)) if len(word) <= MOST else "".join([chr(min(c, MOST)) for c in counts])
 
 
-def steps(path, lo: int, hi: int, surplus: int, deficit: int):
+def with_paths(words: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = pa.array(map(path_of, batch.column(0).to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, paths], ["word", "n", "path"])
+
+    return words.select("word", "n").mapInArrow(run, "word string, n long, path string")
+
+
+def steps(path: str, lo: int, hi: int, surplus: int, deficit: int) -> list[tuple[str, int, int]]:
     """Ways through levels lo to hi within the budget: (counts, surplus left,
     deficit left).  A deficit may be spent only after the surplus."""
-    ways = [((), surplus, deficit)]
-    for at in range(lo, hi):
-        c = path[at]
-        new = []
-        for seen, s, d in ways:
-            new.append(((*seen, c), s, d))
-            if s:
-                new.append(((*seen, c + 1), 0, d))
-            elif d and c:
-                new.append(((*seen, c - 1), 0, 0))
-        ways = new
+    ways = [(path[lo:hi], surplus, deficit)]
+    for i in range(lo, hi):
+        if surplus:
+            more = path[lo:i] + chr(ord(path[i]) + 1)
+            ways.append((more + path[i + 1:hi], 0, deficit))
+            if deficit:
+                ways += [(more + path[i + 1:j] + chr(ord(path[j]) - 1) + path[j + 1:hi], 0, 0) for j in range(i + 1, hi) if path[j] > "\0"]
+        elif deficit and path[i] > "\0":
+            ways.append((path[lo:i] + chr(ord(path[i]) - 1) + path[i + 1:hi], 0, 0))
     return ways
 
 
@@ -130,166 +150,166 @@ def advance(searches: DataFrame, lo: int, hi: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
             take, nodes, s_left, d_left = [], [], [], []
-            for i, (path, node, s, d) in enumerate(zip(rows["path"], rows["node"], rows["surplus"], rows["deficit"], strict=True)):
+            rows = [batch.column(name).to_pylist() for name in ("path", "node", "surplus", "deficit")]
+            for i, (path, node, s, d) in enumerate(zip(*rows, strict=True)):
                 for counts, s1, d1 in steps(path, lo, hi, s, d):
                     take.append(i)
-                    nodes.append(",".join(map(str, counts)) if not node else node + "," + ",".join(map(str, counts)))
+                    nodes.append(node + counts)
                     s_left.append(s1)
                     d_left.append(d1)
             out = batch.select(["word", "n", "path"]).take(pa.array(take, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(nodes, pa.string()), pa.array(s_left, pa.int32()), pa.array(d_left, pa.int32())],
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(nodes, pa.string()), pa.array(s_left, pa.int8()), pa.array(d_left, pa.int8())],
                                              ["word", "n", "path", "node", "surplus", "deficit"])
 
-    return searches.mapInArrow(run, "word string, n long, path array<int>, node string, surplus int, deficit int")
+    return searches.mapInArrow(run, "word string, n long, path string, node string, surplus byte, deficit byte")
 
 
 def cut_trie(words: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """The words with their subtrie (node, depth), the searches with the
-    subtries they enter, and the written tables both are read from."""
-    spark = words.sparkSession
-    searches = words.select("word", "n", "path", F.lit("").alias("node"), F.lit(1).alias("surplus"), F.lit(1).alias("deficit"))
+    """The words with their subtrie (node, as long as its depth), the searches
+    with the subtries they enter, and the written tables both are read from."""
+    one = F.lit(1).cast("byte")
+    searches = words.select("word", "n", "path", F.lit("").alias("node"), one.alias("surplus"), one.alias("deficit"))
     left, lo, placed, entering, kept = words, 0, [], [], []
     for depth in CUTS:
-        left = left.withColumn("node", prefix(depth))
+        left = left.withColumn("node", F.substring("path", 1, depth))
         searches = advance(searches, lo, depth)
-        if depth == CUTS[-1]:
-            full = spark.createDataFrame([], "node string")
-        else:
+        full = None
+        if depth < CUTS[-1]:
             full = written(left.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > limit).select("node"), "trie-full")
             kept.append(full)
-        if depth == CUTS[-1] or not full.limit(1).count():
-            placed.append(left.withColumn("depth", F.lit(depth)))
-            entering.append(searches.withColumn("depth", F.lit(depth)))
+        if full is None or not full.limit(1).count():
+            placed.append(left)
+            entering.append(searches)
             break
         marked = full.withColumn("goes_on", F.lit(True))
         left = written(join_small(left, marked, "node", "left"), "trie-words")
         searches = written(join_small(searches, marked, "node", "left"), "trie-searches")
         kept += [left, searches]
-        placed.append(left.where("goes_on is null").drop("goes_on").withColumn("depth", F.lit(depth)))
-        entering.append(searches.where("goes_on is null").drop("goes_on").withColumn("depth", F.lit(depth)))
+        placed.append(left.where("goes_on is null").drop("goes_on"))
+        entering.append(searches.where("goes_on is null").drop("goes_on"))
         left, searches, lo = left.where("goes_on").drop("goes_on", "node"), searches.where("goes_on").drop("goes_on"), depth
-    both = []
-    for parts in (placed, entering):
-        whole = parts[0]
-        for p in parts[1:]:
-            whole = whole.unionByName(p)
-        both.append(whole)
-    return both[0], both[1], kept
+    return union_all(placed), union_all(entering), kept
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole
 
 
 class Leaf:
-    """Words of one path, so of one length."""
-
-    def __init__(self):
-        self.words: list[tuple[str, int]] = []
-        self.halves: dict[int, tuple[dict, dict]] = {}
-
-    def near(self, a: str, longer: int) -> Iterator[tuple[str, int]]:
-        """The words that are ``a`` with one code point inserted (``longer``
-        1) or replaced (0)."""
-        if len(self.words) <= FEW:
-            maybe = self.words
-        else:  # the edit lies in one half, so the other half is equal
-            h = len(a) // 2
-            if longer not in self.halves:
-                first, second = {}, {}
-                for w in self.words:
-                    first.setdefault(w[0][:h], []).append(w)
-                    second.setdefault(w[0][h + longer:], []).append(w)
-                self.halves[longer] = first, second
-            first, second = self.halves[longer]
-            maybe = [*first.get(a[:h], ()), *(w for w in second.get(a[h:], ()) if w[0][:h] != a[:h])]
-        for w in maybe:
-            if one_edit(a, w[0], longer):
-                yield w
-
-
-def one_edit(a: str, b: str, longer: int) -> bool:
-    """b is ``a`` with exactly one code point inserted or replaced."""
+    """Few words, or all words of one whole path."""
+
+    __slots__ = ("entries", "halves")
+
+    def __init__(self, entries):
+        self.entries: list[tuple[str, str, int]] = entries  # path, word, n
+        self.halves: dict = {}
+
+    def maybe(self, a: str):
+        """Entries that may be one edit away from ``a``."""
+        if len(self.entries) <= 4 * FEW:
+            return self.entries
+        # words of one path have one length; the edit lies in one half, so the other half is equal
+        longer, h = len(self.entries[0][1]) - len(a), len(a) // 2
+        if longer not in (0, 1):
+            return self.entries  # only counts beyond MOST
+        if longer not in self.halves:
+            first, second = {}, {}
+            for e in self.entries:
+                first.setdefault(e[1][:h], []).append(e)
+                second.setdefault(e[1][h + longer:], []).append(e)
+            self.halves[longer] = first, second
+        first, second = self.halves[longer]
+        return [*first.get(a[:h], ()), *(e for e in second.get(a[h:], ()) if e[1][:h] != a[:h])]
+
+
+def one_edit(a: str, b: str) -> bool:
+    """The edit distance of a and b is exactly one."""
+    longer = len(b) - len(a)
+    if longer < 0:
+        a, b, longer = b, a, -longer
+    if longer > 1:
+        return False
     at = 0
     for x, y in zip(a, b, strict=False):
         if x != y:
-            break
+            return a[at + 1 - longer:] == b[at + 1:]
         at += 1
-    else:
-        return bool(longer)  # inserted at the end; else a == b
-    return a[at + 1 - longer:] == b[at + 1:]
+    return longer == 1  # inserted at the end; else equal
 
 
-def build(paths, words, depth: int) -> dict:
+def build(entries, depth: int) -> dict | Leaf:
     """The subtrie below a cut: nested dicts of counts down to leaves."""
-    root: dict = {}
-    if depth == len(GROUPS):
-        root[None] = leaf = Leaf()
-        leaf.words = list(words)
-        return root
-    for path, word in zip(paths, words, strict=True):
-        node = root
-        *inner, end = path[depth:].tolist()
-        for c in inner:
-            node = node.setdefault(c, {})
-        if end not in node:
-            node[end] = Leaf()
-        node[end].words.append(word)
-    return root
-
-
-def leaves(root: dict, path, depth: int, surplus: int, deficit: int) -> Iterator[tuple[Leaf, int, int]]:
-    """Depth-first search: the leaves within the budget and what is left of it."""
-    if depth == len(GROUPS):
-        yield root[None], surplus, deficit
-        return
-    stack = [(root, depth, surplus, deficit)]
+    if len(entries) <= FEW or depth == len(GROUPS):
+        return Leaf(entries)
+    children: dict[str, list] = {}
+    for e in entries:
+        children.setdefault(e[0][depth], []).append(e)
+    return {c: build(part, depth + 1) for c, part in children.items()}
+
+
+def leaves(root: dict | Leaf, path: str, depth: int, surplus: int, deficit: int) -> list[Leaf]:
+    """Depth-first search: the leaves within the budget."""
+    out, stack = [], [(root, depth, surplus, deficit)]
     while stack:
         node, at, s, d = stack.pop()
-        if at == len(GROUPS):
-            yield node, s, d
+        if node.__class__ is Leaf:
+            out.append(node)
             continue
         c = path[at]
         if c in node:
             stack.append((node[c], at + 1, s, d))
-        if s and c + 1 in node:
-            stack.append((node[c + 1], at + 1, 0, d))
-        elif not s and d and c - 1 in node:
-            stack.append((node[c - 1], at + 1, 0, 0))
-
-
-def search(trie, searches):
+        if s:
+            up = chr(ord(c) + 1)
+            if up in node:
+                stack.append((node[up], at + 1, 0, d))
+        elif d and c > "\0":
+            down = chr(ord(c) - 1)
+            if down in node:
+                stack.append((node[down], at + 1, 0, 0))
+    return out
+
+
+def search(trie: pa.Table, searches: pa.Table) -> pa.Table:
     """Near pairs of one subtrie, each in both directions: word, near, near_n."""
-    import pandas as pd
-
-    out: list[tuple[str, str, int]] = []
-    if len(trie) and len(searches):
-        depth = int(trie["depth"].iat[0])
-        root = build(trie["path"], zip(trie["word"], trie["n"], strict=True), depth)
-        found: dict[tuple, list] = {}
-        for a, n, path, s, d in zip(searches["word"], searches["n"], searches["path"], searches["surplus"], searches["deficit"], strict=True):
-            key = (path.tobytes(), s, d)
+    words, nears, ns = [], [], []
+    if trie.num_rows and searches.num_rows:
+        depth = len(trie["node"][0].as_py())
+        root = build(list(zip(*(trie[c].to_pylist() for c in ("path", "word", "n")), strict=True)), depth)
+        found: dict[tuple, list[Leaf]] = {}
+        for a, n, path, s, d in zip(*(searches[c].to_pylist() for c in ("word", "n", "path", "surplus", "deficit")), strict=True):
+            key = (path, s, d)
             if key not in found:
-                found[key] = list(leaves(root, path.tolist(), depth, s, d))
-            for leaf, s1, d1 in found[key]:
-                for b, m in leaf.near(a, 1 if not s1 and d1 else 0):
-                    if not s1 or a < b:
-                        out += [(a, b, m), (b, a, n)]
-    return pd.DataFrame(out, columns=["word", "near", "near_n"])
-
-
-def near_pairs(words: DataFrame, limit: int = SUBTRIE) -> tuple[DataFrame, list[DataFrame]]:
+                found[key] = leaves(root, path, depth, s, d)
+            size = len(a)
+            for leaf in found[key]:
+                for other, b, m in leaf.maybe(a):
+                    if -2 < len(b) - size < 2 and (path < other or (path == other and a < b)) and one_edit(a, b):
+                        words += (a, b)
+                        nears += (b, a)
+                        ns += (m, n)
+    return pa.table({"word": pa.array(words, pa.string()), "near": pa.array(nears, pa.string()), "near_n": pa.array(ns, pa.int64())})
+
+
+def near_pairs(words: DataFrame, limit: int = SUBTRIE, asked: int = ASKED) -> tuple[DataFrame, list[DataFrame]]:
     """word, near, near_n for every two words at an edit distance of one (each
     pair in both directions), and the written tables it is read from."""
     trie, searches, kept = cut_trie(words, limit)
     searches = written(searches, "trie-entering")
-    shares = lambda df, out: df.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / limit).alias(out)).where(f"{out} > 1")
-    dealt = written(shares(trie, "t").join(shares(searches, "s"), "node", "full").select("node", F.coalesce("t", F.lit(1)).alias("t"), F.coalesce("s", F.lit(1)).alias("s")), "trie-shares")
-    h = F.xxhash64("word")
+    shares = lambda df, most, out: df.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / most).alias(out)).where(f"{out} > 1")
     one = F.lit(1).cast("long")
-    trie = join_small(trie, dealt, "node", "left").withColumns({"t": F.coalesce("t", one), "s": F.coalesce("s", one)})
-    trie = trie.select("word", "n", "path", "depth", "node", F.pmod(h, "t").alias("t"), F.explode(F.expr("sequence(0L, s - 1)")).alias("s"))
-    asked = join_small(searches, dealt, "node", "left").withColumns({"t": F.coalesce("t", one), "s": F.coalesce("s", one)})
-    asked = asked.select("word", "n", "path", "surplus", "deficit", "node", F.explode(F.expr("sequence(0L, t - 1)")).alias("t"), F.pmod(h, "s").alias("s"))
-    pairs = trie.groupBy("node", "t", "s").cogroup(asked.groupBy("node", "t", "s")).applyInPandas(search, "word string, near string, near_n long")
+    dealt = written(shares(trie, limit, "t").join(shares(searches, asked, "s"), "node", "full").select("node", F.coalesce("t", one).alias("t"), F.coalesce("s", one).alias("s")), "trie-shares")
+    h = F.xxhash64("word")
+
+    def with_shares(rows: DataFrame) -> DataFrame:
+        return join_small(rows, dealt, "node", "left").withColumns({"t": F.coalesce("t", one), "s": F.coalesce("s", one)})
+
+    subtries = with_shares(trie).select("word", "n", "path", "node", F.pmod(h, "t").alias("t"), F.explode(F.expr("sequence(0L, s - 1)")).alias("s"))
+    entering = with_shares(searches).select("word", "n", "path", "surplus", "deficit", "node", F.explode(F.expr("sequence(0L, t - 1)")).alias("t"), F.pmod(h, "s").alias("s"))
+    pairs = subtries.groupBy("node", "t", "s").cogroup(entering.groupBy("node", "t", "s")).applyInArrow(search, "word string, near string, near_n long")
     return pairs, [*kept, searches, dealt]
 
 
@@ -309,10 +329,10 @@ def roots(forms: DataFrame) -> DataFrame:
             return now.select("word", "root")
 
 
-def variant_groups(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, edit_every: int = EDIT_EVERY, ratio: int = FORM_RATIO, limit: int = SUBTRIE) -> DataFrame:
+def variant_groups(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, edit_every: int = EDIT_EVERY, ratio: int = FORM_RATIO, limit: int = SUBTRIE, asked: int = ASKED) -> DataFrame:
     """word, n, n_near, form, form_n and root of every word."""
-    words = written(word_counts(docs, min_length, min_count, edit_every).withColumn("path", path_column()), "words")
-    pairs, kept = near_pairs(words, limit)
+    words = written(with_paths(word_counts(docs, min_length, min_count, edit_every)), "words")
+    pairs, kept = near_pairs(words, limit, asked)
     best = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("k"), "near")).alias("best"))
     has_form = -F.col("best.k") >= ratio * F.col("n")
     forms = written(words.select("word", "n").join(best, "word", "left").select(

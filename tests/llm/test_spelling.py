@@ -7,7 +7,7 @@ from zlib import crc32
 
 import pytest
 
-from auditlens.llm.spelling import Leaf, one_edit, steps, variant_groups
+from auditlens.llm.spelling import Leaf, one_edit, path_of, steps, variant_groups
 
 
 def near(a, b):
@@ -69,7 +69,7 @@ def test_same_as_all_pairs(spark, table, limit):
     rows = corpus(1) + [(None, "Straße straße straßen"), (None, "STRASSE"), (7000, ""), (7001, None), (7002, "12 ×÷ x"), (7003, "abcdef " * 3 + "abcdeg " * 7 + "abcdegh " * 15)]
     want = expected(rows)
     assert sum(v[2] is not None for v in want.values()) > 30 and any(want[v[2]][2] for v in want.values() if v[2])
-    assert got(variant_groups(table(rows, ["word", "n", "path"]), limit=limit)) == want
+    assert got(variant_groups(table(rows, ["word", "n", "path"]), limit=limit, asked=4 * limit)) == want
 
 
 def test_words_of_one_path_are_dealt(spark, table):
@@ -77,7 +77,7 @@ def test_words_of_one_path_are_dealt(spark, table):
     rng = random.Random(3)
     words = sorted({"".join(rng.sample("aeinrt", 6)) for _ in range(300)})
     rows = [(i, " ".join(words)) for i in range(5)]
-    assert got(variant_groups(table(rows), limit=10, edit_every=10**12)) == expected([], 3) | {
+    assert got(variant_groups(table(rows), limit=10, asked=25, edit_every=10**12)) == expected([], 3) | {
         w: (5, sum(near(w, v) for v in words), None, None, w) for w in words}
 
 
@@ -91,11 +91,19 @@ def test_empty_ties_repeats_and_long_texts(spark, table):
 
 
 def test_leaf_index_and_budget():
-    leaf = Leaf()
-    leaf.words = [("".join(w), 1) for w in {tuple(random.Random(i).sample("abcdefg", 7)) for i in range(400)}]
+    words = sorted({"".join(random.Random(i).sample("abcdefg", 7)) for i in range(400)})
+    leaf = Leaf([(path_of(w), w, 1) for w in words])
     for a in ("abcdefg", "abcdeff", "bbcdefg", "abcdef", "bcdefg", "abcefg"):
-        longer = 7 - len(a)
-        assert sorted(leaf.near(a, longer)) == sorted(w for w in leaf.words if near(a, w[0]))
-    assert one_edit("abc", "abcd", 1) and one_edit("abc", "xabc", 1) and not one_edit("abc", "abc", 0) and not one_edit("abc", "axbd", 1)
-    ways = steps([1, 0, 2], 0, 3, 1, 1)
-    assert len(ways) == len(set(ways)) and ((2, 0, 1), 0, 0) in ways and ((0, 0, 3), 0, 0) not in ways
+        assert sorted(e[1] for e in leaf.maybe(a) if one_edit(a, e[1])) == [w for w in words if near(a, w)]
+    assert one_edit("abc", "abcd") and one_edit("xabc", "abc") and not one_edit("abc", "abc") and not one_edit("abc", "axbd")
+    ways = steps("\x01\x00\x02", 0, 3, 1, 1)
+    assert len(ways) == len(set(ways)) and ("\x02\x00\x01", 0, 0) in ways and ("\x00\x00\x03", 0, 0) not in ways
+    assert steps("\x01\x00", 0, 2, 0, 1) == [("\x01\x00", 0, 1), ("\x00\x00", 0, 0)]
+
+
+def test_words_beyond_the_counted_letters(spark, table):
+    """Counts beyond what a path can hold: both words have one path."""
+    a = "e" * 60_000
+    rows = [(1, f"{a} {a} {a} {a}e {a}e {a}e")]
+    want = got(variant_groups(table(rows), edit_every=10**12))
+    assert {len(w): v[1] for w, v in want.items()} == {60_000: 1, 60_001: 1}
