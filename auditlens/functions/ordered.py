@@ -114,6 +114,21 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
     return out.drop(*([] if keep_bucket else ["_rb"]), *[f"_o_{c}" for c in sum_cols])
 
 
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with gapless places from 0 in the order given.
+
+    Rows are range partitioned, sorted and written once; a row's place is its
+    place within its partition plus the sizes of the partitions before (one row
+    each, so the broadcast table is as long as the number of partitions set).
+    ``df`` is read twice (once to find the ranges) and should be written or small."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    rows = placed.withColumn("_part", F.shiftrightunsigned("_id", 33))  # the partition is in the id's upper bits
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(before), "_part").withColumn(out, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before", "_id")
+
+
 def with_group_total(df: DataFrame, keys: list[str] | tuple, value, out: str) -> DataFrame:
     """Add the sum of ``value`` per key group to rows that carry ``_rb``:
     bucket sums first, their total over the small table, then a join on

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditlens.functions.brackets import quantiles
 from auditlens.functions.columns import rnd, safe_div, uniform_bin, when_chain
-from auditlens.functions.ordered import exact_quantiles, materialize
+from auditlens.functions.ordered import materialize
 
 
 def calibration_curve(scored: DataFrame, n_bins: int = 10, keys=(), y="y", p="y_prob") -> DataFrame:
@@ -73,24 +74,22 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
     probs = [i / n_bins for i in range(n_bins + 1)]
     e = expected.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
     a = actual.where(F.col("value").isNotNull()).select("feature", F.col("value").cast("double").alias("value"))
-    # the expected side's value counts are written once: its edges and its bins come from them;
-    # the actual side is binned row by row in one map-side aggregate
-    vc = materialize(e.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
-    q = exact_quantiles(vc, "value", probs, ["feature"], weight_col="c", checkpoint=False)
-    edges = materialize(q.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges")))  # <= n_bins+1 values a feature
+    # edges and the number of expected values below each come from sketch brackets, so the expected side's
+    # bins need no further pass; the actual side is binned row by row in one map-side aggregate
+    q = quantiles(e, "value", probs, ["feature"])
+    cuts = materialize(q.groupBy("feature").agg(F.array_sort(F.collect_set(F.struct("q", "below"))).alias("cuts"), F.first("n").alias("n_e")))  # one row a feature
+    edges = cuts.select("feature", F.col("cuts.q").alias("edges"))
     last = F.element_at("edges", -1)
     idx = F.size(F.filter("edges", lambda x: x <= F.col("value"))) - 1
     inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= last)
     binx = F.when(~inside | F.col("edges").isNull(), F.lit(-1)).when(F.col("value") == last, F.size("edges") - 2).otherwise(idx)
-
-    def binned(rows: DataFrame, n, out: str) -> DataFrame:
-        return rows.join(F.broadcast(edges), "feature", "left").groupBy("feature", binx.alias("bin")).agg(F.sum(n).alias(out))  # one row per feature
-
-    ce, ca = materialize(binned(vc, F.col("c"), "c_e")), materialize(binned(a, F.lit(1).cast("long"), "c_a"))  # features x bins rows
-    cnt = ce.join(ca, ["feature", "bin"], "full_outer")
-    tot = cnt.groupBy("feature").agg(F.coalesce(F.sum("c_e"), F.lit(0)).alias("n_e"), F.coalesce(F.sum("c_a"), F.lit(0)).alias("n_a"))
-    bins = edges.where(F.size("edges") >= 3).select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
-    full = (bins.join(cnt, ["feature", "bin"], "left").join(tot, "feature")
+    ca = materialize(a.join(F.broadcast(edges), "feature", "left").groupBy("feature", binx.alias("bin")).agg(F.count(F.lit(1)).alias("c_a")))  # features x bins rows
+    tot = (cuts.select("feature", "n_e").join(ca.groupBy("feature").agg(F.sum("c_a").alias("n_a")), "feature", "full_outer")
+           .select("feature", F.coalesce("n_e", F.lit(0)).alias("n_e"), F.coalesce("n_a", F.lit(0)).alias("n_a")))
+    bins = cuts.where(F.size("cuts") >= 3).select("feature", "n_e", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts") - 2)).alias("bin"))
+    upto = F.when(F.col("bin") == F.size("cuts") - 2, F.col("n_e")).otherwise(F.get("cuts", F.col("bin") + 1)["below"])
+    bins = bins.select("feature", "bin", (upto - F.get("cuts", F.col("bin"))["below"]).alias("c_e"))
+    full = (bins.join(ca, ["feature", "bin"], "left").join(tot, "feature")
             .withColumn("pe", F.coalesce(safe_div("c_e", "n_e"), F.lit(0.0)))
             .withColumn("pa", F.coalesce(safe_div("c_a", "n_a"), F.lit(0.0))))
     full = (full.withColumn("pe", F.when(F.col("pe") == 0, F.lit(eps)).otherwise(F.col("pe")))

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd, to_double
 from auditlens.functions.ordered import materialize
+from auditlens.operators import audit as AU
 from auditlens.operators import features as FE
 from auditlens.operators import profiling as PR
 from auditlens.operators import splits as SP
 from auditlens.plans.common import SQL_APPS, SQL_SCORED, applications, scored
 from auditlens.plans.registry import query
-from auditlens.plans.sqlgen import dbl
+from auditlens.plans.sqlgen import dbl, values
+from auditlens.session import scratch_path
 from auditlens.sources.views import HOLDOUT_STATES, sql_scored
 
 KEYS = SP.KEY_COLS
 KS = ", ".join(KEYS)
+AU_NOTES = list(AU.STEPS.values())
 NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -111,7 +116,7 @@ def q_one_hot(spark, sf_dir):
     return oh.select(F.explode(arr).alias("x")).groupBy("x.feature").agg(F.sum("x.v").alias("total"))
 
 
-FM_CATS = ["loan_type", "loan_purpose", "construction_method", "state_code"]
+FM_CATS = ["loan_type", "loan_purpose", "construction_method", "state_code", "county_code"]
 
 
 def _fm_sql() -> str:
@@ -138,22 +143,14 @@ SELECT * FROM numres UNION ALL SELECT * FROM catres"""
 
 @query("feature_matrix", _fm_sql())
 def q_feature_matrix(spark, sf_dir):
-    s = scored(spark, sf_dir, with_part=True)
+    """Mean of every entry of the sparse vectors (a share for indicators)."""
+    s = materialize(scored(spark, sf_dir, with_part=True).select(*NUMS, *FM_CATS))
     spec = FE.FeatureSpec.fit(s, FM_CATS, NUMS)
-    m = spec.transform(s, levels_only=True)
-    num = m.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in spec.num_features], F.count(F.lit(1)).alias("_n"))
-    num_long = num.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v"))
-                                              for c in spec.num_features])).alias("x"), "_n") \
-                  .select("x.feature", F.round("x.v", 4).alias("mean"), F.col("_n").alias("n"))
-    # dummy means = share of each kept level (first level dropped): one unpivot of the narrow level columns
-    lv = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"__lv_{c}").alias("v"))
-                                      for c in spec.cat_features])).alias("x")).groupBy("x.c", "x.v").count()
-    dropped = m.sparkSession.createDataFrame([(c, spec.levels[c][0]) for c in spec.cat_features], "c STRING, v STRING")
-    kept = lv.join(F.broadcast(dropped), ["c", "v"], "left_anti")
-    n_rows = num.select("_n")
-    cat_long = kept.crossJoin(n_rows).select(F.concat_ws("_", "c", "v").alias("feature"),
-                                            F.round(F.col("count") / F.col("_n"), 4).alias("mean"), F.col("_n").alias("n"))
-    return num_long.unionByName(cat_long)
+    entries = F.arrays_zip(F.col("indices").alias("place"), F.col("values").alias("value"))
+    row = F.array(F.struct(F.lit(-1).alias("place"), F.lit(1.0).alias("value")))  # counts the rows
+    sums = materialize(spec.transform(s).select(F.explode(F.concat(entries, row)).alias("x")).groupBy("x.place").agg(F.sum("x.value").alias("total")))
+    n = sums.where("place = -1").select(F.col("total").cast("long").alias("n"))
+    return sums.join(spec.names(), "place").crossJoin(F.broadcast(n)).select("feature", F.round(F.col("total") / F.col("n"), 4).alias("mean"), "n")
 
 
 @query("standardize", f"""
@@ -218,24 +215,41 @@ def q_value_counts(spark, sf_dir):
     return PR.value_counts(scored(spark, sf_dir), ATTR_COLS)
 
 
-SUM_COLS = ["loan_amount", "property_value", "combined_loan_to_value_ratio", "y_prob"]
+#: Columns of the labelled view and their types.
+VIEW = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint", "action_taken": "int", "y_prob": "double", "y_prob_cont": "double",
+        "derived_race": "string", "derived_sex": "string", "derived_ethnicity": "string", "applicant_age": "string", "state_code": "string", "event_time": "timestamp_ntz",
+        "income": "string", "loan_amount": "double", "property_value": "double", "combined_loan_to_value_ratio": "double", "debt_to_income_ratio": "string", "loan_type": "string",
+        "loan_purpose": "string", "county_code": "string", "interest_rate": "double", "rate_spread": "double", "channel": "bigint", "y": "int"}
+VIEW_NUMBERS = [c for c, t in VIEW.items() if t in ("bigint", "int", "double")]
+
+
+def sql_text(c: str, kind: str) -> str:
+    """DuckDB text of a value, as ``canonical_text`` writes it."""
+    return {"double": f"CAST(CAST({c} AS DECIMAL(30, 6)) AS VARCHAR)", "timestamp_ntz": f"CAST(epoch_us({c}) AS VARCHAR)"}.get(kind, f"CAST({c} AS VARCHAR)")
 
 
 @query("column_summary", f"""
-WITH s AS ({SQL_SCORED}), l AS ({_long_sql('s', SUM_COLS)})
-SELECT feature, CAST(count(value) AS BIGINT) AS "count", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
-       round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
-       round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max
-FROM l GROUP BY feature""")
+WITH s AS ({SQL_SCORED}), l AS ({_long_sql('s', VIEW_NUMBERS)}),
+t AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, '{k}' AS dtype, {sql_text(c, k)} AS text FROM s" for c, k in VIEW.items())}),
+v AS (SELECT feature, dtype, text, count(*) AS n FROM t WHERE text IS NOT NULL GROUP BY ALL),
+u AS (SELECT feature, dtype, sum(n) AS n, count(*) AS d, arg_min(text, (-n, text)) AS top, max(n) AS freq FROM v GROUP BY ALL),
+b AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS mn, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50,
+             quantile_cont(value, 0.75) AS q75, max(value) AS mx FROM l GROUP BY feature)
+SELECT u.feature, dtype, CAST(n AS BIGINT) AS "count", CAST(d AS BIGINT) AS "unique", true AS unique_exact, top, CAST(freq AS BIGINT) AS freq, true AS top_exact, round(mean, 6) AS mean, round(std, 6) AS std,
+       round(mn, 6) AS min, round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75, round(mx, 6) AS max
+FROM u LEFT JOIN b ON u.feature = b.feature""")
 def q_column_summary(spark, sf_dir):
-    return PR.column_summary(scored(spark, sf_dir), SUM_COLS)
+    """E2 over all columns of the labelled view."""
+    return PR.column_summary(materialize(scored(spark, sf_dir).select(*VIEW)))
 
 
 @query("data_dictionary", f"""
-WITH s AS ({SQL_NUMERIC})
-{' UNION ALL '.join(f"SELECT '{c}' AS feature, 'double' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS n_missing, round(avg({c}), 4) AS mean FROM s" for c in NUMS)}""")
+WITH s AS ({SQL_SCORED})
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, '{k}' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS n_missing, "
+                    f"{f'round(avg(CAST({c} AS DOUBLE)), 4)' if c in VIEW_NUMBERS else 'CAST(NULL AS DOUBLE)'} AS mean FROM s" for c, k in VIEW.items())}""")
 def q_data_dictionary(spark, sf_dir):
-    return PR.data_dictionary(_numeric_frame(spark, sf_dir), NUMS)
+    """E3 over all columns of the labelled view."""
+    return PR.data_dictionary(scored(spark, sf_dir).select(*VIEW))
 
 
 SQL_HSPLIT_U = ("CAST(CAST(('0x' || substr(md5('42|' || concat_ws('|', CAST(l_orderkey AS VARCHAR), "
@@ -247,38 +261,24 @@ _HOLD = ", ".join(f"'{s}'" for s in HOLDOUT_STATES)
 @query("pipeline_audit", f"""
 WITH a AS (SELECT *, CASE WHEN action_taken IN (1, 2) THEN 1 WHEN action_taken = 3 THEN 0 END AS y,
                   state_code IN ({_HOLD}) AS hold, {SQL_HSPLIT_U} AS u FROM ({SQL_APPS}) a0),
+r AS (SELECT y, row_number() OVER (PARTITION BY y ORDER BY u, {KS}) AS rk, count(*) OVER (PARTITION BY y) AS n FROM a WHERE y IS NOT NULL AND NOT hold),
+q AS (SELECT *, ceil({dbl(0.15)} * n) AS qt FROM r),
+q2 AS (SELECT *, ceil({dbl(0.15 / 0.85)} * (n - qt)) AS qv FROM q),
 st AS (
   SELECT 1 AS step_no, 'raw' AS step, count(*) AS n, NULL::DOUBLE AS pr FROM a
   UNION ALL SELECT 2, 'labelled', count(y), avg(y) FROM a
   UNION ALL SELECT 3, 'leakage_removed', count(y), avg(y) FROM a
   UNION ALL SELECT 4, 'geo_holdout', count(y), avg(y) FROM a WHERE hold
   UNION ALL SELECT 5, 'model_pool', count(y), avg(y) FROM a WHERE NOT hold
-  UNION ALL SELECT 6, 'test', count(y), avg(y) FROM a WHERE NOT hold AND u < {dbl(0.15)}
-  UNION ALL SELECT 7, 'val', count(y), avg(y) FROM a WHERE NOT hold AND u >= {dbl(0.15)} AND u < {dbl(0.30)}
-  UNION ALL SELECT 8, 'train', count(y), avg(y) FROM a WHERE NOT hold AND u >= {dbl(0.30)})
-SELECT CAST(step_no AS INTEGER) AS step_no, step, CAST(n AS BIGINT) AS "rows", round(pr, 4) AS positive_rate FROM st""")
+  UNION ALL SELECT 6, 'test', count(y), avg(y) FROM q2 WHERE rk <= qt
+  UNION ALL SELECT 7, 'val', count(y), avg(y) FROM q2 WHERE rk > qt AND rk <= qt + qv
+  UNION ALL SELECT 8, 'train', count(y), avg(y) FROM q2 WHERE rk > qt + qv)
+SELECT CAST(step_no AS INTEGER) AS step_no, step, CAST(n AS BIGINT) AS "rows", round(pr, 4) AS positive_rate, CAST(w.n_columns AS INTEGER) AS n_columns, w.note
+FROM st JOIN {values([(i + 1, n, t) for i, (n, t) in enumerate(zip([24, 25, 23, 24, 24, 24, 24, 24], AU_NOTES, strict=True))], ['i', 'n_columns', 'note'])} w ON w.i = st.step_no""")
 def q_pipeline_audit(spark, sf_dir):
-    a = applications(spark, sf_dir)
-    y = F.when(F.col("action_taken").isin(1, 2), 1).when(F.col("action_taken") == 3, 0)
-    hold = F.col("state_code").isin(*HOLDOUT_STATES)
-    u = SP.hash_unit(KEYS)
-    steps = [
-        ("raw", F.lit(True), False), ("labelled", F.lit(True), True), ("leakage_removed", F.lit(True), True),
-        ("geo_holdout", hold, True), ("model_pool", ~hold, True),
-        ("test", ~hold & (u < 0.15), True), ("val", ~hold & (u >= 0.15) & (u < 0.30), True),
-        ("train", ~hold & (u >= 0.30), True)]
-    aggs = []
-    for i, (name, cond, lab) in enumerate(steps):
-        aggs.append((F.count(F.when(cond, y)) if lab else F.count(F.when(cond, F.lit(1)))).alias(f"n{i}"))
-        aggs.append(F.sum(F.when(cond, y)).alias(f"p{i}"))
-    one = a.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"),
-                             F.col(f"n{i}").cast("long").alias("rows"),
-                             (F.try_divide(F.col(f"p{i}").cast("double"), F.col(f"n{i}")) if lab
-                              else F.lit(None).cast("double")).alias("positive_rate"))
-                    for i, (name, _, lab) in enumerate(steps)])
-    return one.select(F.explode(arr).alias("x")).select(
-        "x.step_no", "x.step", "x.rows", rnd("x.positive_rate", 4).alias("positive_rate"))
+    """The real steps run once into the split export; their counts ride on
+    that job."""
+    return AU.audited_export(applications(spark, sf_dir), scratch_path(spark, f"audited-{uuid.uuid4().hex}"), KEYS, HOLDOUT_STATES)
 
 
 @query("cell_counts", f"""
