@@ -92,3 +92,27 @@ def q_stream_breach(spark, sf_dir):
     air_landing = f"{area}/air_landing"
     air.write.mode("append").parquet(air_landing)
     return MS.consecutive_breach_stream(spark, air_landing, f"{area}/breach", 0.80)
+
+
+#: Every tenth event arrives six days late; five days of arrivals land together, as LAND_FILES files.
+LAND_FILES = 4
+
+
+@query("stream_late", """
+WITH e AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, date_trunc('day', CAST(ts AS TIMESTAMP)) AS ws,
+                  (date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) + CASE WHEN event_id % 10 = 0 THEN 6 ELSE 0 END) // 5 AS batch FROM events),
+b AS (SELECT batch, max(date_trunc('millisecond', ts)) AS latest FROM e GROUP BY batch),
+m AS (SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 2 DAY AS mark FROM b),
+l AS (SELECT ws, coalesce(ws + INTERVAL 1 DAY <= m.mark, false) AS late FROM e JOIN m ON e.batch = m.batch)
+SELECT CAST(ws AS VARCHAR) AS window_start, count(*) AS n_rows, CAST(sum(CASE WHEN late THEN 0 ELSE 1 END) AS BIGINT) AS n_counted,
+       CAST(sum(CASE WHEN late THEN 1 ELSE 0 END) AS BIGINT) AS n_late FROM l GROUP BY ws""")
+def q_stream_late(spark, sf_dir):
+    """M5: events land in order of arrival, some behind the watermark."""
+    area = MS.new_area(spark, "late")
+    ev = tables(spark, sf_dir).events
+    day = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
+    arrival = F.floor((day + F.when(F.col("event_id") % 10 == 0, 6).otherwise(0)) / 5)
+    ev = ev.withColumn("_arrival", arrival)
+    for (k,) in sorted(ev.select("_arrival").distinct().collect()):  # one number per five days
+        ev.where(F.col("_arrival") == k).drop("_arrival").repartition(LAND_FILES).write.mode("append").parquet(f"{area}/landing")
+    return MS.late_rows(lambda: MS.scored_stream(spark, f"{area}/landing", max_files=LAND_FILES), area)

@@ -3,11 +3,14 @@ tables, and snapshot fingerprints."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.functions.columns import NA_STRINGS
+from auditlens.session import scratch_path
 
 
 def write_raw_pipe(df: DataFrame, path: str) -> None:
@@ -43,6 +46,8 @@ def canonical_text(df: DataFrame, col: str):
     c = F.col(f"`{col}`")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return c.cast("decimal(30,6)").cast("string")
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.DoubleType, T.FloatType)):
+        return F.array_join(F.transform(c, lambda x: x.cast("double").cast("decimal(30,6)").cast("string")), ",", "null")
     if isinstance(kind, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("string")
     if isinstance(kind, T.TimestampType):
@@ -61,8 +66,91 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("decimal(38,0)").alias("content_hash"))
 
 
-def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
-    """SHA-256 of small raw files such as manifests (binaryFile holds a
-    file in one row, 2 GB at most); for tables use ``content_fingerprint``."""
-    b = spark.read.format("binaryFile").load(pattern)
-    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
+#: Bytes of a file that one hash covers, and hashes under one parent.
+BLOCK_BYTES, FAN = 64 * 1024 * 1024, 1024
+
+
+def block_hashes(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """File, block, n_bytes and SHA-256 of every ``block_bytes`` of the
+    files under ``path``, of any size, each block read by one task.
+
+    A block holds the lines that begin in its range (the first line of a file,
+    and lines whose first byte is behind the range's first), every line closed
+    by a line feed: the ranges in which Spark splits text.  Bytes are hashed as
+    they are; a byte-order mark at a file's start is not hashed.  The result is
+    written once."""
+    import hashlib
+
+    import pyarrow as pa
+
+    def run(batches):
+        digest = at = None
+        size = 0
+
+        def done():
+            return pa.RecordBatch.from_pylist([{"_file": at[0], "start": at[1], "n_bytes": size, "sha256": digest.hexdigest()}], schema)
+
+        schema = pa.schema([("_file", pa.int64()), ("start", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())])
+        for batch in batches:
+            files, starts = (batch.column(i).to_numpy() for i in (0, 1))
+            lines = batch.column(2).to_pylist()
+            cuts = [0, *(i for i in range(1, len(lines)) if files[i] != files[i - 1] or starts[i] != starts[i - 1]), len(lines)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                if (int(files[lo]), int(starts[lo])) != at:
+                    if at is not None:
+                        yield done()
+                    at, digest, size = (int(files[lo]), int(starts[lo])), hashlib.sha256(), 0
+                text = b"\n".join([*lines[lo:hi], b""])
+                digest.update(text)
+                size += len(text)
+        if at is not None:
+            yield done()
+
+    # a session of its own, as the width of splits is a setting
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", block_bytes)
+    own.conf.set("spark.sql.files.minPartitionNum", 1)
+    out = scratch_path(spark, f"blocks-{uuid.uuid4().hex}")
+    lines = own.read.option("lineSep", "\n").text(path).select(F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary"))
+    lines.mapInArrow(run, "_file long, start long, n_bytes long, sha256 string").write.parquet(out)
+    blocks = spark.read.parquet(out)
+    files = _file_list(spark, path).select(F.xxhash64("path").alias("_file"), "file")
+    return blocks.join(files, "_file").select("file", (F.col("start") / block_bytes).cast("long").alias("block"), "n_bytes", "sha256")
+
+
+def _file_list(spark: SparkSession, path: str) -> DataFrame:
+    """path, file (its last part) and length; contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+
+
+def file_fingerprints(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """File, length, n_blocks and the root of the tree of its block hashes
+    (``FAN`` children a parent).  Spark's scans leave empty files out, so they
+    have no row; files are named without their folder, so give one at a time."""
+    blocks = block_hashes(spark, path, block_bytes)
+    nodes = blocks.select("file", F.col("block").alias("at"), "sha256")
+    n = blocks.agg(F.max("block")).first()[0]
+    width = (n or 0) + 1
+    while True:
+        child = F.array_sort(F.collect_list(F.struct("at", "sha256")))
+        text = F.array_join(F.transform(child, lambda x: F.concat_ws(":", x["at"].cast("string"), x["sha256"])), ";")
+        nodes = nodes.groupBy("file", F.floor(F.col("at") / FAN).alias("at")).agg(F.sha2(text, 256).alias("sha256"))
+        width = -(-width // FAN)
+        if width <= 1:
+            break
+    counts = blocks.groupBy("file").agg(F.count(F.lit(1)).alias("n_blocks"))
+    files = _file_list(spark, path).groupBy("file").agg(F.sum("length").alias("length"))
+    j = files.join(counts, "file").join(nodes.select("file", "sha256"), "file")
+    return j.select("file", "length", "n_blocks", F.sha2(F.concat_ws(":", F.col("length").cast("string"), "sha256"), 256).alias("root"))
+
+
+def changed_blocks(old: DataFrame, new: DataFrame) -> DataFrame:
+    """file, block and change (added, removed, changed) between two results of
+    ``block_hashes`` with equal block size.  A change that shifts lines shows
+    in every block behind it."""
+    o = old.select("file", "block", F.col("sha256").alias("_old"), F.col("n_bytes").alias("_old_bytes"))
+    j = o.join(new, ["file", "block"], "full_outer").where(~F.col("_old").eqNullSafe(F.col("sha256")))
+    kind = F.when(F.col("_old").isNull(), "added").when(F.col("sha256").isNull(), "removed").otherwise("changed")
+    return j.select("file", "block", kind.alias("change"))

@@ -122,50 +122,96 @@ def window_psi(stream: DataFrame, area: str, edges: list[float], expected: dict[
                       rnd("psi").alias("psi"))
 
 
-BREACH_DAYS = "group STRING, day LONG, window_start STRING, air DOUBLE, _batch LONG"
-BREACH_ALERTS = "group STRING, window_start STRING, air DOUBLE, run_length INT, _batch LONG"
-
+def late_rows(make_stream, area: str, window: str = "1 day", watermark: str = "2 days") -> DataFrame:
+    """M5: rows behind the watermark, per window: ``n_rows`` that arrived,
+    ``n_counted`` in the watermarked aggregate and ``n_late`` by a second,
+    stateless count.
+
+    ``make_stream`` gives the same stream (column ``ts``) each time it is
+    called.  The stateless run counts each batch's rows by window and keeps the
+    batch's latest time; a row is late where its window ended by the watermark
+    that held for its batch, which Spark takes from the batches before the
+    previous one.  Only counts per (batch, window) are written."""
+    w = F.window("ts", window)
+    counted = run_upsert(make_stream().withWatermark("ts", watermark).groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "n"),
+                         f"{area}/counted", ["window_start"], ["n"])
+    spark, out = counted.sparkSession, f"{area}/batches"
+    schema = "batch LONG, window_start TIMESTAMP, window_end TIMESTAMP, n LONG, latest TIMESTAMP"
+    spark.createDataFrame([], schema).write.mode("append").parquet(out)
 
-def breach_runs(days: DataFrame, limit: float, min_run: int = 2) -> DataFrame:
-    """Days with air < limit whose run of consecutive days has reached
-    ``min_run`` (gaps and islands on the day index; one row per group and day)."""
-    low = days.where(F.col("air") < F.lit(float(limit)))
-    island = F.col("day") - F.row_number().over(Window.partitionBy("group").orderBy("day"))
-    run = F.row_number().over(Window.partitionBy("group", "_island").orderBy("day"))
-    return (low.withColumn("_island", island).withColumn("run_length", run.cast("int"))
-            .where(F.col("run_length") >= min_run).select("group", "window_start", "air", "run_length"))
+    def count(batch: DataFrame, batch_id: int):
+        rows = batch.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest"))
+        rows.select(F.lit(batch_id).cast("long").alias("batch"), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "latest").write.mode("append").parquet(out)
+
+    make_stream().writeStream.foreachBatch(count).option("checkpointLocation", f"{area}/batches-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    arrived = spark.read.schema(schema).parquet(out)
+    before = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -2)
+    marks = arrived.groupBy("batch").agg(F.max("latest").alias("latest")).select(  # one row a batch
+        "batch", (F.date_trunc("millisecond", F.max("latest").over(before)) - F.expr(f"INTERVAL {watermark}")).alias("mark"))
+    late = F.coalesce(F.col("window_end") <= F.col("mark"), F.lit(False))
+    sides = arrived.join(F.broadcast(marks), "batch").groupBy("window_start").agg(F.sum("n").alias("n_rows"), F.sum(F.when(late, F.col("n")).otherwise(0)).alias("n_late"))
+    return sides.join(counted, "window_start", "left").select(wall_clock(F.col("window_start")).alias("window_start"), "n_rows", F.coalesce("n", F.lit(0)).alias("n_counted"), "n_late")
+
+
+def breach_judge(limit: float, min_run: int, keep_days: int):
+    """The state function of ``consecutive_breach_stream``: a group's last days
+    and the run of low days that ended before them."""
+
+    def judge(key, frames, state):
+        import json
+
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = json.loads(state.get[0]) if state.exists else {"days": {}, "from": None, "run": 0}
+        days = {int(d): v for d, v in held["days"].items()}
+        new = []
+        for frame in frames:
+            for day, start, air in zip(frame["day"], frame["window_start"], frame["air"], strict=True):
+                if held["from"] is None or day >= held["from"]:  # older ones have been judged for good
+                    days[int(day)] = [start, None if pd.isna(air) else float(air)]
+                    new.append(int(day))
+        out, run, last = [], held["run"], None if held["from"] is None else held["from"] - 1
+        ended: dict[int, int] = {}
+        for day in sorted(days):
+            start, air = days[day]
+            low = air is not None and air < limit
+            run = (run + 1 if last == day - 1 else 1) if low else 0
+            last, ended[day] = day, run
+            if new and day >= min(new):
+                out.append((key[0], day, start, air, run if run >= min_run else None))
+        gone_by = state.getCurrentWatermarkMs() // 86_400_000
+        old = [d for d in sorted(days) if d < gone_by]
+        if old:  # what is left of them is the run up to the first day kept
+            held["from"], held["run"] = old[-1] + 1, ended[old[-1]]
+        kept = {d: v for d, v in days.items() if d >= gone_by}
+        state.update((json.dumps({"days": kept, "from": held["from"], "run": held["run"]}),))
+        if days:
+            state.setTimeoutTimestamp(max((max(days) + keep_days + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["group", "day", "window_start", "air", "run_length"]).astype({"run_length": "Int32", "air": "float64"})
+
+    return judge
 
 
 def consecutive_breach_stream(spark: SparkSession, air_landing: str, area: str, limit: float = 0.80,
-                              max_files: int | None = None) -> DataFrame:
+                              max_files: int | None = None, keep_days: int = 60, min_run: int = 2) -> DataFrame:
     """M4: consecutive-breach alerts per group over a stream of per-window AIR
-    rows.  The state is a table of one row per group and day; each batch adds
-    its days and judges the groups it touched again over the whole table, so
-    the order in which windows arrive, within a batch or over batches, does
-    not matter.  The latest judgement of a group is the result."""
-    state, out = f"{area}/days", f"{area}/alerts"
-    spark.createDataFrame([], BREACH_DAYS).write.mode("append").parquet(state)
-    spark.createDataFrame([], BREACH_ALERTS).write.mode("append").parquet(out)
+    rows.  A group's state is its days of the last ``keep_days`` before the
+    latest one (by the watermark) and the length of the run before them, so a
+    batch reads and writes the state of the groups it touches and nothing
+    else; a group without new days for that long is forgotten.  Within those
+    days windows may arrive in any order: a day that arrives late judges the
+    days after it again, and the latest judgement of a day counts.  Older days
+    that arrive later still change nothing."""
     reader = spark.readStream.schema("window_start STRING, group STRING, air DOUBLE")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    day = F.datediff(F.to_date(F.substring("window_start", 1, 10)), F.lit("1970-01-01").cast("date")).cast("long")
-    src = reader.parquet(air_landing).select("group", day.alias("day"), "window_start", "air")
-
-    def judge(batch: DataFrame, batch_id: int):
-        at = F.lit(batch_id).cast("long")
-        batch.withColumn("_batch", at).write.mode("append").parquet(state)
-        touched = spark.read.schema(BREACH_DAYS).parquet(state).join(batch.select("group").distinct(), "group", "left_semi")
-        days = (touched.groupBy("group", "day").agg(F.max_by(F.struct("window_start", "air"), "_batch").alias("v"))
-                .select("group", "day", "v.window_start", "v.air"))
-        marks = batch.select("group").distinct().select("group", *[F.lit(None).cast(t).alias(c) for c, t in
-                                                                   (("window_start", "string"), ("air", "double"), ("run_length", "int"))])
-        breach_runs(days, limit).unionByName(marks).withColumn("_batch", at).write.mode("append").parquet(out)
-
-    q = (src.writeStream.foreachBatch(judge).option("checkpointLocation", f"{area}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    alerts = spark.read.schema(BREACH_ALERTS).parquet(out)
-    last = alerts.groupBy("group").agg(F.max("_batch").alias("_batch"))  # the judgement that counts
-    return (alerts.join(last, ["group", "_batch"]).where("window_start IS NOT NULL")
-            .groupBy("group", "window_start").agg(F.max("air").alias("air"), F.max("run_length").alias("run_length")))
+    date = F.to_date(F.substring("window_start", 1, 10))
+    day = F.datediff(date, F.lit("1970-01-01").cast("date")).cast("long")
+    src = reader.parquet(air_landing).select("group", day.alias("day"), "window_start", "air", F.timestamp_seconds(day * 86400).alias("ts"))
+    judged = src.withWatermark("ts", f"{keep_days} days").groupBy("group").applyInPandasWithState(
+        breach_judge(limit, min_run, keep_days), "group STRING, day LONG, window_start STRING, air DOUBLE, run_length INT", "held STRING", "update", "EventTimeTimeout")
+    latest = run_upsert(judged, area, ["group", "day"], ["window_start", "air", "run_length"])
+    return latest.where("run_length IS NOT NULL").select("group", "window_start", "air", "run_length")

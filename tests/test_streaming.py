@@ -66,3 +66,60 @@ def test_stream_equals_batch_and_late_data(spark):
     res2 = MS.window_air(MS.scored_stream(spark, landing), area, "view", watermark="1 day", checkpoint=ckpt)
     got2 = {(r["window_start"], r["group"]): r["n"] for r in res2.collect()}
     assert got2[("2024-01-01 00:00:00", "view")] == got[("2024-01-01 00:00:00", "view")]
+
+
+class State:
+    """A group's state as the stream keeps it."""
+
+    def __init__(self):
+        self.value, self.mark, self.timeout, self.hasTimedOut = None, 0, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def getCurrentWatermarkMs(self):
+        return self.mark
+
+    def setTimeoutTimestamp(self, ms):
+        self.timeout = ms
+
+
+def test_breach_state_is_bounded_and_keeps_runs():
+    import json
+
+    import pandas as pd
+
+    judge, state, got = MS.breach_judge(0.8, 2, 10), State(), {}
+    air = [0.5] * 20 + [0.9] + [0.5] * 15 + [None] + [0.1] * 14
+    for at in range(0, len(air), 5):
+        frame = pd.DataFrame([(d, f"d{d}", air[d]) for d in reversed(range(at, min(at + 5, len(air))))], columns=["day", "window_start", "air"])
+        for out in judge(("g",), iter([frame]), state):
+            got |= {int(r.day): None if pd.isna(r.run_length) else int(r.run_length) for r in out.itertuples()}
+        state.mark = max(0, (at + 4 - 10) * 86_400_000)
+        assert len(json.loads(state.get[0])["days"]) <= 16
+    want, run = {}, 0
+    for d, a in enumerate(air):
+        run = run + 1 if a is not None and a < 0.8 else 0
+        want[d] = run if run >= 2 else None
+    assert got == want
+    list(judge(("g",), iter([pd.DataFrame([(3, "d3", 0.99)], columns=["day", "window_start", "air"])]), state))  # long judged
+    assert json.loads(state.get[0])["from"] > 3 and state.timeout == (len(air) + 10) * 86_400_000
+    state.hasTimedOut = True
+    assert list(judge(("g",), iter([]), state)) == [] and not state.exists
+
+
+def test_late_rows_by_two_counts(spark):
+    """Three landings; the last holds rows of long closed days."""
+    area = MS.new_area(spark, "late-test")
+    d = lambda day: dt.datetime(2024, 1, day, 5)
+    for days in ([1, 2, 2], [9, 10], [11], [1, 9, 2, 11], []):
+        if days:
+            events(spark, [(i, d(x), 1, "view", 1.0, "{}") for i, x in enumerate(days)]).coalesce(1).write.mode("append").parquet(f"{area}/in")
+    rows = MS.late_rows(lambda: MS.scored_stream(spark, f"{area}/in", max_files=1), area).collect()
+    assert {(r.window_start[8:10], r.n_rows, r.n_counted, r.n_late) for r in rows} == {("01", 2, 1, 1), ("02", 3, 2, 1), ("09", 2, 2, 0), ("10", 1, 1, 0), ("11", 2, 2, 0)}
