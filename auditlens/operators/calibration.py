@@ -100,6 +100,21 @@ def psi_long(expected: DataFrame, actual: DataFrame, n_bins: int = 10, eps: floa
                     F.col("n_a").cast("long").alias("n_holdout")))
 
 
+def psi_levels(expected: DataFrame, actual: DataFrame, cols: list[str], eps: float = 1e-4) -> DataFrame:
+    """PSI of categories over their levels (nulls are the level Missing), all
+    columns at once: feature and psi."""
+
+    def shares(df: DataFrame, out: str) -> DataFrame:
+        arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit("Missing")).alias("level")) for c in cols])
+        n = materialize(df.select(F.explode(arr).alias("_x")).groupBy("_x.feature", "_x.level").agg(F.count(F.lit(1)).alias("_n")))  # one row a level
+        total = n.groupBy("feature").agg(F.sum("_n").alias("_t"))
+        return n.join(F.broadcast(total), "feature").select("feature", "level", (F.col("_n") / F.col("_t")).alias(out))
+
+    both = shares(expected, "pe").join(shares(actual, "pa"), ["feature", "level"], "full_outer")
+    pe, pa = (F.coalesce(F.col(c), F.lit(eps)) for c in ("pe", "pa"))
+    return both.groupBy("feature").agg(rnd(F.sum((pa - pe) * F.log(pa / pe))).alias("psi"))
+
+
 def to_long(df: DataFrame, cols: list[str]) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
     return df.select(F.explode(arr).alias("_x")).select("_x.feature", "_x.value")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.columns import rnd
-from auditlens.functions.ordered import materialize
+from auditlens.functions.ordered import default_buckets, materialize
 from auditlens.operators.leakage import proxy_annotate
 from auditlens.operators.scorehist import ranking_metrics, score_hist
 from auditlens.operators.splits import hash_unit
@@ -172,31 +172,32 @@ def counterfactual_flips(cf: DataFrame, keys: list[str], proxy: DataFrame) -> Da
         F.col("cases_flipped").cast("long").alias("cases_flipped"), F.coalesce("risk_level", F.lit("Low")).alias("proxy_risk_level"))
 
 
-def permutation_importance(scored: DataFrame, model: LinearScore, keys: list[str], y: str = "y", seed: int = 7) -> DataFrame:
-    """AUC drop when one feature's values are permuted across rows.
+def next_in_hash_order(rows: DataFrame, cols: list[str], keys: list[str], seed: int, n_buckets: int) -> DataFrame:
+    """``rows`` with ``_next``: a struct of ``cols`` of the row that follows in
+    the order of a seeded hash (then keys), the first row following the last.
+
+    The hash is uniform, so equal ranges of it are even buckets; each is
+    ordered in a window of its own, and its last row takes the first row of the
+    next bucket from a table of one row a bucket."""
+    u = hash_unit(keys, seed)
+    held = materialize(rows.withColumns({"_u": u, "_b": F.floor(u * n_buckets)}))
+    order = [F.col(c) for c in ("_u", *keys)]
+    firsts = held.groupBy("_b").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
+    along = Window.orderBy("_b")  # one row a bucket
+    after = firsts.select("_b", F.coalesce(F.lead("_first").over(along), F.first("_first").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_after"))
+    following = F.lead(F.struct(*cols)).over(Window.partitionBy("_b").orderBy(*order))
+    return held.withColumn("_following", following).join(F.broadcast(after), "_b").withColumn("_next", F.coalesce("_following", "_after")).drop("_u", "_b", "_following", "_after")
 
-    The permutation pairs the row of rank r under key order with the row of
-    rank r under a seeded hash order; both ranks are distributed running
-    counts, and the pairing is an equi-join on the rank."""
-    from auditlens.functions.ordered import running_totals
+
+def permutation_importance(scored: DataFrame, model: LinearScore, keys: list[str], y: str = "y", seed: int = 7) -> DataFrame:
+    """AUC drop when one feature's values are permuted across rows: every
+    row takes the value of the next row in a seeded hash order (one shuffle)."""
     feats = list(model.coefs)
-    base = scored.select(*keys, y, *feats).withColumn("_u", hash_unit(keys, seed))
-    # rank by hash (ties broken by key order inside the tie)
-    cnt = base.groupBy("_u").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_totals(cnt, "_u", ["_c"]).select("_u", (F.col("cum__c") - F.col("_c")).alias("_b"))
-    w = Window.partitionBy("_u").orderBy(*keys)
-    by_hash = base.join(cum, "_u").withColumn("_r", F.col("_b") + F.row_number().over(w))
-    # rank by a second hash gives the row that receives the value
-    base2 = base.withColumn("_u2", hash_unit(keys, seed + 1))
-    cnt2 = base2.groupBy("_u2").agg(F.count(F.lit(1)).alias("_c"))
-    cum2 = running_totals(cnt2, "_u2", ["_c"]).select("_u2", (F.col("cum__c") - F.col("_c")).alias("_b"))
-    w2 = Window.partitionBy("_u2").orderBy(*keys)
-    by_hash2 = base2.join(cum2, "_u2").withColumn("_r", F.col("_b") + F.row_number().over(w2))
-    donors = by_hash.select("_r", *[F.col(f).alias(f"_perm_{f}") for f in feats])
-    paired = by_hash2.join(donors, "_r")
-    arr = F.array(*[F.struct(F.lit(f).alias("feature"), model.score({f: F.col(f"_perm_{f}")}).alias("y_prob")) for f in feats])
+    paired = next_in_hash_order(scored.select(*keys, y, *feats), feats, keys, seed, default_buckets(scored))
+    arr = F.array(F.struct(F.lit("").alias("feature"), model.score().alias("y_prob")),
+                  *[F.struct(F.lit(f).alias("feature"), model.score({f: F.col(f"_next.{f}")}).alias("y_prob")) for f in feats])
     x = paired.select(y, F.explode(arr).alias("_s")).select(y, "_s.feature", "_s.y_prob")
-    auc = ranking_metrics(score_hist(x, ["feature"], y), ["feature"]).select("feature", "auc")
-    b = ranking_metrics(score_hist(base.withColumn("y_prob", model.score()), (), y)).select(F.col("auc").alias("base"))
-    return auc.crossJoin(F.broadcast(b)).select("feature", rnd("base").alias("baseline_auc"), rnd("auc").alias("permuted_auc"),
-                                                rnd(F.col("base") - F.col("auc")).alias("importance"))
+    auc = materialize(ranking_metrics(score_hist(x, ["feature"], y), ["feature"]).select("feature", "auc"))  # one row a feature
+    b = auc.where("feature = ''").select(F.col("auc").alias("base"))
+    return auc.where("feature <> ''").crossJoin(F.broadcast(b)).select("feature", rnd("base").alias("baseline_auc"), rnd("auc").alias("permuted_auc"),
+                                                                       rnd(F.col("base") - F.col("auc")).alias("importance"))

@@ -196,3 +196,31 @@ def categorical_shift(old_counts: DataFrame, new_counts: DataFrame, key: str, ep
                     rnd("s_old").alias("share_old"), rnd("s_new").alias("share_new"),
                     rnd(F.col("s_new") - F.col("s_old")).alias("share_diff"),
                     rnd((pn - po) * F.log(pn / po), 6).alias("psi_term"))
+
+
+def pretrain_gate(old: DataFrame, new: DataFrame, base: DataFrame, current: DataFrame, key: str, width: int, numbers: list[str], levels: list[str],
+                  attributes: dict, references: dict, psi_limit: float = 0.10, air_limit: float = 0.80) -> DataFrame:
+    """Check, value, limit, passed and detail before a retraining.
+
+    Two labelled snapshots are compared by content hashes of key ranges, so
+    that only hashes move and the keys from the first to the last change are
+    named; proxy features must not have drifted between two periods; the least
+    impact ratio of the new labels must hold.  A value that cannot be computed
+    does not pass."""
+    from auditlens.operators import calibration as CA
+    from auditlens.operators import fairness as FA
+    from auditlens.sources.raw import changed_ranges, range_fingerprints
+
+    differ = changed_ranges(range_fingerprints(old, key, width), range_fingerprints(new, key, width))
+    named = F.concat(F.min("first_key").cast("string"), F.lit(" to "), (F.max("first_key") + width - 1).cast("string"))
+    rows = [differ.agg(F.count(F.lit(1)).cast("double").alias("value"), named.alias("detail")).select(
+        F.lit("snapshot_ranges_changed").alias("check"), "value", F.lit(0.0).alias("limit"), (F.col("value") <= 0).alias("passed"), "detail")]
+    psi = CA.psi_long(CA.to_long(base, numbers), CA.to_long(current, numbers)).select("feature", "psi")
+    psi = psi.unionByName(CA.psi_levels(base, current, levels)) if levels else psi
+    rows.append(psi.select(F.concat(F.lit("proxy_psi_"), "feature").alias("check"), F.col("psi").alias("value"), F.lit(psi_limit).alias("limit"),
+                           F.coalesce(F.col("psi") <= psi_limit, F.lit(False)).alias("passed"), F.lit(None).cast("string").alias("detail")))
+    table = FA.fairness_table(new.withColumn("y_prob", F.col("y").cast("double")), attributes, references, 0.5)
+    air = table.where(~F.col("is_reference")).agg(F.min("air").alias("value"))
+    rows.append(air.select(F.lit("min_air_new_labels").alias("check"), "value", F.lit(air_limit).alias("limit"), F.coalesce(F.col("value") >= air_limit, F.lit(False)).alias("passed"),
+                           F.lit(None).cast("string").alias("detail")))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -10,7 +10,8 @@ from auditlens.operators.features import clean_numeric, label_encode
 from auditlens.operators.leakage import PROXY_RISK, proxy_risk_table
 from auditlens.operators.splits import KEY_COLS
 from auditlens.plans.common import SQL_SCORED, scored
-from auditlens.plans.q_calibration import MODEL, model_sql
+from auditlens.plans.q_calibration import MODEL, auc_sql, model_sql
+from auditlens.plans.q_features import SQL_HSPLIT_U
 from auditlens.plans.registry import query
 from auditlens.plans.sqlgen import dbl, values
 
@@ -138,6 +139,15 @@ def q_counterfactual_flips(spark, sf_dir):
     return EX.counterfactual_flips(cf, KEY_COLS, proxy_risk_table(spark))
 
 
-@query("permutation_importance", None)
+_SHIFT = f"SELECT y, {', '.join(f'{f}, coalesce(lead({f}) OVER o, first_value({f}) OVER o) AS next_{f}' for f in FEATS)} FROM (SELECT *, {SQL_HSPLIT_U.replace('42|', '7|')} AS u FROM ({SQL_SCORED}) s0) s WINDOW o AS (ORDER BY u, {KS})"
+
+
+@query("permutation_importance", f"""
+WITH p AS ({_SHIFT}),
+x AS (SELECT '' AS feature, y, {model_sql()} AS y_prob FROM p
+      UNION ALL SELECT '{FEATS[0]}', y, {model_sql(x1=f'next_{FEATS[0]}')} FROM p
+      UNION ALL SELECT '{FEATS[1]}', y, {model_sql(x2=f'next_{FEATS[1]}')} FROM p),
+a AS ({auc_sql('x', ['feature'])}), b AS (SELECT auc_raw AS base FROM a WHERE feature = '')
+SELECT feature, round(base, 4) AS baseline_auc, round(auc_raw, 4) AS permuted_auc, round(base - auc_raw, 4) AS importance FROM a, b WHERE feature <> ''""")
 def q_permutation_importance(spark, sf_dir):
     return EX.permutation_importance(scored(spark, sf_dir), MODEL, KEY_COLS)

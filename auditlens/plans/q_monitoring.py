@@ -18,7 +18,7 @@ from auditlens.operators.splits import KEY_COLS
 from auditlens.plans.common import ATTRS, REFS, SQL_APPS, SQL_SCORED, applications, scored
 from auditlens.plans.q_calibration import _long, psi_sql
 from auditlens.plans.q_calibration import auc_sql
-from auditlens.plans.q_features import sql_dti, sql_num
+from auditlens.plans.q_features import VIEW, sql_dti, sql_num, sql_text
 from auditlens.plans.registry import query
 from auditlens.sources import views as V
 from auditlens.plans.sqlgen import bin_sql, dbl, fairness_sql, values
@@ -40,8 +40,12 @@ def _num(df):
     return clean_numeric(encode_dti(df), ["income"])
 
 
-def periods(spark, sf_dir):
+def periods(spark, sf_dir, cols: list[str] | None = None):
+    """Base and current period; with ``cols`` these columns are read once into
+    a written table, for queries of several passes."""
     s = _num(scored(spark, sf_dir))
+    if cols:
+        s = materialize(s.select(*dict.fromkeys([*cols, "event_time", "loan_amount"])))
     base = s.where(F.col("event_time") < cut_lit())
     cur = s.where(F.col("event_time") >= cut_lit()).withColumn("loan_amount", F.col("loan_amount") * F.lit(1.2))
     return base, cur
@@ -53,7 +57,7 @@ SQL_CUR = f"SELECT * REPLACE (loan_amount * {dbl(1.2)} AS loan_amount) FROM ({SQ
 
 
 def current_metrics_df(spark, sf_dir):
-    base, cur = periods(spark, sf_dir)
+    base, cur = periods(spark, sf_dir, ["y", "y_prob", "income", *ATTRS.values()])
     fair = FA.fairness_table(cur, ATTRS, REFS, 0.5)
     names = spark.createDataFrame([(m, a, g) for m, (a, g) in AIR_METRICS.items()], "metric STRING, attribute STRING, group STRING")
     rows = fair.join(F.broadcast(names), ["attribute", "group"]).select("metric", F.col("air").alias("value"))  # one pass, five rows
@@ -408,22 +412,24 @@ SQL_SNAP_B = f"""SELECT * REPLACE (CASE WHEN l_linenumber = 1 AND action_taken =
   CASE WHEN l_linenumber = 2 THEN 'X' ELSE loan_purpose END AS loan_purpose)
 FROM ({SQL_APPS}) a WHERE l_linenumber <> 7"""
 _KS = ", ".join(KEY_COLS)
-ROW_COLS = ["state_code", "loan_type", "loan_purpose", "applicant_age", "action_taken"]
+#: All columns of a row but its keys and label.
+ROW_COLS = [c for c in VIEW if c not in (*KEY_COLS, "y")]
 
 
 def _lab(src: str) -> str:
-    return f"SELECT {_KS}, derived_race, state_code, loan_type, loan_purpose, applicant_age, action_taken, CASE WHEN action_taken IN (1, 2) THEN 1 WHEN action_taken = 3 THEN 0 END AS y FROM ({src}) x WHERE action_taken IN (1, 2, 3)"
+    return f"SELECT * REPLACE (CAST(action_taken AS DOUBLE) AS action_taken), CASE WHEN action_taken IN (1, 2) THEN 1 WHEN action_taken = 3 THEN 0 END AS y FROM ({src}) x WHERE action_taken IN (1, 2, 3)"
 
 
 @query("label_diff", f"""
 WITH o AS ({_lab(SQL_APPS)}), n AS ({_lab(SQL_SNAP_B)}),
 j AS (SELECT coalesce(o.derived_race, n.derived_race) AS g, o.y AS yo, n.y AS yn,
-  (o.state_code, o.loan_type, o.loan_purpose, o.applicant_age, o.action_taken) IS DISTINCT FROM (n.state_code, n.loan_type, n.loan_purpose, n.applicant_age, n.action_taken) AS other
+  ({', '.join(f'o.{c}' for c in ROW_COLS)}) IS DISTINCT FROM ({', '.join(f'n.{c}' for c in ROW_COLS)}) AS other
   FROM o FULL OUTER JOIN n
       ON {' AND '.join(f'o.{k} = n.{k}' for k in KEY_COLS)})
 SELECT CAST(g AS VARCHAR) AS "group", CASE WHEN yo IS NULL THEN 'added' WHEN yn IS NULL THEN 'removed'
   WHEN yo IS DISTINCT FROM yn THEN 'flipped' WHEN other THEN 'row_changed' ELSE 'unchanged' END AS change, CAST(count(*) AS BIGINT) AS n FROM j GROUP BY 1, 2""")
 def q_label_diff(spark, sf_dir):
+    """L19 over whole rows: every column but keys and label decides."""
     a = applications(spark, sf_dir)
     return MO.label_diff(apply_label(a), apply_label(snapshot_b(a)), KEY_COLS, "y", "derived_race", ROW_COLS)
 
@@ -441,22 +447,37 @@ def q_label_shift(spark, sf_dir):
     return MO.categorical_shift(label_distribution(a), label_distribution(snapshot_b(a)), "action_taken")
 
 
-@query("pretrain_gate", None)
+#: Keys of a fingerprinted range, and the proxy features of Medium or High risk that the view has.
+RANGE_KEYS = 4096
+GATE_NUMBERS, GATE_LEVELS = ["income"], ["state_code", "county_code"]
+
+
+def _ranges_sql(name: str) -> str:
+    texts = [sql_text(c, "double" if c == "action_taken" else k) for c, k in VIEW.items()]
+    row = " || ".join(f"coalesce(length({t}) || ':' || {t} || ';', '-;')" for t in texts)
+    return (f"SELECT l_orderkey // {RANGE_KEYS} * {RANGE_KEYS} AS k, count(*) AS n, sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS HUGEINT)) AS h FROM {name} GROUP BY 1")
+
+
+def _levels_psi_sql(c: str) -> str:
+    side = lambda src: f"SELECT coalesce(CAST({c} AS VARCHAR), 'Missing') AS lv, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS p FROM ({src}) s GROUP BY 1"
+    return (f"SELECT 'proxy_psi_{c}' AS \"check\", round(sum((coalesce(a.p, 0.0001::DOUBLE) - coalesce(e.p, 0.0001::DOUBLE)) * ln(coalesce(a.p, 0.0001::DOUBLE) / coalesce(e.p, 0.0001::DOUBLE))), 4) AS value, "
+            f"{dbl(0.10)} AS \"limit\", NULL AS detail FROM ({side(SQL_BASE)}) e FULL OUTER JOIN ({side(SQL_CUR)}) a ON e.lv = a.lv")
+
+
+@query("pretrain_gate", f"""
+WITH o AS ({_lab(SQL_APPS)}), n AS ({_lab(SQL_SNAP_B)}), ro AS ({_ranges_sql('o')}), rn AS ({_ranges_sql('n')}),
+d AS (SELECT coalesce(ro.k, rn.k) AS k FROM ro FULL OUTER JOIN rn ON ro.k = rn.k WHERE ro.h IS DISTINCT FROM rn.h OR ro.n IS DISTINCT FROM rn.n),
+air AS ({fairness_sql(f"SELECT *, CAST(y AS DOUBLE) AS y1 FROM ({_lab(SQL_SNAP_B)}) z", {"Race": "derived_race"}, {"Race": "AFRICA"}, [0.5], p="y1")}),
+c AS (SELECT 'snapshot_ranges_changed' AS "check", CAST(count(*) AS DOUBLE) AS value, 0.0::DOUBLE AS "limit",
+             CASE WHEN count(*) > 0 THEN CAST(min(k) AS VARCHAR) || ' to ' || CAST(max(k) + {RANGE_KEYS - 1} AS VARCHAR) END AS detail FROM d
+  UNION ALL SELECT 'proxy_psi_' || feature, psi, {dbl(0.10)}, NULL FROM ({psi_sql(_long(SQL_BASE, GATE_NUMBERS), _long(SQL_CUR, GATE_NUMBERS))}) p
+  UNION ALL {' UNION ALL '.join(_levels_psi_sql(c) for c in GATE_LEVELS)}
+  UNION ALL SELECT 'min_air_new_labels', min(air), {dbl(0.80)}, NULL FROM air WHERE NOT is_reference)
+SELECT "check", value, "limit", coalesce(CASE WHEN "check" = 'min_air_new_labels' THEN value >= "limit" ELSE value <= "limit" END, false) AS passed, detail FROM c""")
 def q_pretrain_gate(spark, sf_dir):
+    """Whole-row fingerprints of both label snapshots by key range, the
+    drift of every Medium or High proxy feature and AIR under the new labels."""
     a = applications(spark, sf_dir)
-    la = apply_label(a).select(*KEY_COLS, "y")
-    lb = apply_label(snapshot_b(a)).select(*KEY_COLS, "y")
-    changed = la.exceptAll(lb).unionByName(lb.exceptAll(la)).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    b, c = periods(spark, sf_dir)
-    psi = CA.psi_long(CA.to_long(b, ["income"]), CA.to_long(c, ["income"])).select(F.col("psi").alias("value"))
-    new_labels = FA.fairness_table(apply_label(snapshot_b(a)).withColumn("y_prob", F.col("y").cast("double")),
-                                   {"Race": "derived_race"}, {"Race": "AFRICA"}, 0.5)
-    air = new_labels.where(~F.col("is_reference")).agg(F.min("air").alias("value"))
-    rows = [("label_snapshot_unchanged", changed, F.col("value") == 0),
-            ("proxy_psi_income", psi, F.col("value") <= 0.10),
-            ("min_air_new_labels", air, F.col("value") >= 0.80)]
-    out = None
-    for name, d, cond in rows:
-        r = d.select(F.lit(name).alias("check"), "value", F.coalesce(cond, F.lit(False)).alias("passed"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    old, new = (apply_label(x).select(*VIEW) for x in (a, snapshot_b(a)))
+    b, c = periods(spark, sf_dir, [*GATE_NUMBERS, *GATE_LEVELS])
+    return MO.pretrain_gate(old, new, b, c, "l_orderkey", RANGE_KEYS, GATE_NUMBERS, GATE_LEVELS, {"Race": "derived_race"}, {"Race": "AFRICA"})

@@ -55,15 +55,34 @@ def canonical_text(df: DataFrame, col: str):
     return c.cast("string")
 
 
-def content_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive content hash over all columns: sum of a 60-bit
-    md5 prefix of each row's text, in which every value is written with its
-    length and nulls are apart (exact DECIMAL sum; partial sums combine
-    map-side)."""
+def row_hash(df: DataFrame):
+    """60-bit md5 prefix of a row's text over all columns, in which every value
+    is written with its length and nulls are apart."""
     parts = [F.when(t.isNull(), F.lit("-;")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t, F.lit(";")))
              for t in (canonical_text(df, c) for c in df.columns)]
-    h = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("decimal(38,0)").alias("content_hash"))
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def content_fingerprint(df: DataFrame) -> DataFrame:
+    """Order-insensitive content hash: the exact sum of all row hashes
+    (partial sums combine map-side)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash(df)).cast("decimal(38,0)").alias("content_hash"))
+
+
+def range_fingerprints(df: DataFrame, key: str, width: int) -> DataFrame:
+    """Content hash per range of ``width`` keys (null keys are a range of
+    their own): first_key, n_rows, content_hash."""
+    first = (F.floor(F.col(key) / width) * width).cast("long")
+    return df.groupBy(first.alias("first_key")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash(df)).cast("decimal(38,0)").alias("content_hash"))
+
+
+def changed_ranges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The ranges whose rows differ between two results of
+    ``range_fingerprints``: first_key, rows_old and rows_new."""
+    o = old.select(F.col("first_key").alias("_k"), F.col("n_rows").alias("rows_old"), F.col("content_hash").alias("_h"))
+    j = o.join(new, F.col("_k").eqNullSafe(F.col("first_key")), "full_outer")
+    differ = ~(F.col("_h").eqNullSafe(F.col("content_hash")) & F.col("rows_old").eqNullSafe(F.col("n_rows")))
+    return j.where(differ).select(F.coalesce("first_key", "_k").alias("first_key"), F.coalesce("rows_old", F.lit(0)).alias("rows_old"), F.coalesce("n_rows", F.lit(0)).alias("rows_new"))
 
 
 #: Bytes of a file that one hash covers, and hashes under one parent.
