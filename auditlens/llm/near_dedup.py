@@ -15,11 +15,13 @@ coordinates are candidates.  First each bucket's lead (first node in even
 bands, last in odd ones) is compared with the bucket's members, which links
 most groups.  Where a bucket still holds several components, the members
 outside its largest one are held against all its members by signature, in
-blocks of bounded size.  Each first gives its ``FIRST`` likeliest partners of
-other components, and after these are linked, all that are left whose estimate
-is within 2.5 standard deviations of the threshold; a pair is given by the
-first bucket it shares only.  So far pairs never become rows and no bucket is
-gathered in one task.  Candidates are checked exactly on their
+blocks of bounded size, and what passes by the ``LOW`` smallest hashes of their
+shingles, which for texts of fewer shingles is the exact check.  Each first
+gives its ``FIRST`` likeliest partners of other components, and after these are
+linked, all that are left whose estimates are within 2.5 standard deviations of
+the threshold; a pair is given by the first bucket it shares only.  So pairs
+that fail never become rows but for long texts near the threshold, and no
+bucket is gathered in one task.  Candidates are checked exactly on their
 shingle multisets (weighted Jaccard of ``THRESHOLD`` or more); classes are the
 connected components of the links that hold.
 
@@ -53,6 +55,9 @@ ESTIMATE = THRESHOLD - 2.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / (BANDS * RO
 #: Members of a bucket that one task compares: CHUNK against BLOCK.
 CHUNK, BLOCK = 4096, 512
 FIRST = 8
+#: Smallest shingle hashes of a text that go into a bucket's comparison; a text with fewer is compared exactly there.
+LOW = 512
+LOW_ESTIMATE = THRESHOLD - 2.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / LOW)
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -170,7 +175,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                     signature = dart_signature(shingle_cells(words, _HASHES), bands * rows)
                     nodes.append(xxh3_128_digest(" ".join(words)))
                     keys.append(band_keys(signature, bands, rows))
-                    sketches.append((signature >> np.uint64(56)).astype(np.uint8).tobytes())
+                    sketches.append((signature >> np.uint64(32) & np.uint64(0xFF)).astype(np.uint8).tobytes())  # bits that decide neither rank nor coordinate
                 else:
                     nodes.append(None)
                     keys.append(None)
@@ -229,65 +234,90 @@ def similar(pairs: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
     return wide.mapInArrow(run, "a binary, b binary")
 
 
+def may_hold(x, y, threshold: float = THRESHOLD) -> bool:
+    """Whether two texts may be similar, by their ``LOW`` smallest cells: exact
+    where both are whole, else an estimate over the range both cover."""
+    import numpy as np
+
+    limit = threshold - 1e-9
+    if len(x) == LOW or len(y) == LOW:
+        top = min(v[-1] for v in (x, y) if len(v) == LOW)
+        x, y = x[: np.searchsorted(x, top, "right")], y[: np.searchsorted(y, top, "right")]
+        limit = LOW_ESTIMATE
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= limit * (len(x) + len(y) - common)
+
+
 def likely_partners(compared: DataFrame, k: int | None) -> DataFrame:
     """(node, other): for each member to be placed (``side`` 0) its ``k``
     likeliest (None: all likely) members of other components, by sketch.
     ``compared`` has a bounded group of members for each (bucket, chunk,
     block)."""
 
-    def run(group):
+    def run(group: pa.Table) -> pa.Table:
         import numpy as np
-        import pandas as pd
-
-        sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        bands = np.stack(group["bands"].to_numpy())
-        side, node, label = group["side"].to_numpy(), group["node"].to_numpy(), group["label"].to_numpy()
-        main, bucket = group["main"].iat[0], group["bucket"].iat[0]
-        members = np.flatnonzero(side == 1)
-        held, keys, ids, names = sketches[members], bands[members], node[members], label[members]
-        out: list[tuple] = []
-        for i in np.flatnonzero(side == 0):
-            near = np.count_nonzero(held == sketches[i], axis=1) / sketches.shape[1]
-            # two members to be placed are compared from the smaller one
-            at = np.flatnonzero((near >= ESTIMATE) & (names != label[i]) & (ids != group["lead"].iat[i]) & ((names == main) | (ids > node[i])))
-            if len(at):
-                shared = keys[at] == bands[i]
-                at = at[shared.argmax(axis=1) == np.flatnonzero(bands[i] == bucket)[0]]
-            if len(at) and group["seen"].iat[i] is not None:
-                at = at[~np.isin(ids[at], group["seen"].iat[i])]
-            if k is not None and len(at) > k:
-                at = at[np.argpartition(-near[at], k)[:k]]
-            out += [(node[i], ids[j]) for j in at]
-        return pd.DataFrame(out, columns=["node", "other"])
-
-    return compared.groupBy("bucket", "chunk", "block").applyInPandas(run, "node binary, other binary")
+
+        rows = len(group)
+        col = {c: group.column(c).combine_chunks() for c in ("sketch", "bands", "side", "node", "label", "lead", "main", "bucket", "seen", "low")}
+        side = col["side"].to_numpy(zero_copy_only=False)
+        members, placed = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        out: list[tuple[bytes, bytes]] = []
+        if len(members) and len(placed):
+            sketches = np.frombuffer(b"".join(col["sketch"].to_pylist()), np.uint8).reshape(rows, -1)
+            bands = col["bands"].flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+            node, label, lead = (np.array(col[c].to_pylist(), object) for c in ("node", "label", "lead"))
+            low = [np.frombuffer(x, "<u4") for x in col["low"].to_pylist()]
+            main, bucket = col["main"][0].as_py(), col["bucket"][0].as_py()
+            held, keys, ids, names = sketches[members], bands[members], node[members], label[members]
+            for i in placed:
+                near = np.count_nonzero(held == sketches[i], axis=1) / sketches.shape[1]
+                at = np.flatnonzero(near >= ESTIMATE)
+                # two members to be placed are compared from the smaller one
+                at = at[(names[at] != label[i]) & (ids[at] != lead[i]) & ((names[at] == main) | (ids[at] > node[i]))]
+                if len(at):
+                    shared = keys[at] == bands[i]
+                    at = at[shared.argmax(axis=1) == np.flatnonzero(bands[i] == bucket)[0]]
+                if len(at) and col["seen"][int(i)].is_valid:
+                    seen = set(col["seen"][int(i)].as_py())
+                    at = np.array([j for j in at if ids[j] not in seen], np.int64)
+                at = np.array([j for j in at if may_hold(low[i], low[members[j]])], np.int64)
+                if k is not None and len(at) > k:
+                    at = at[np.argpartition(-near[at], k)[:k]]
+                out += [(node[i], ids[j]) for j in at]
+        return pa.table({"node": pa.array([x for x, _ in out], pa.binary()), "other": pa.array([x for _, x in out], pa.binary())})
+
+    return compared.groupBy("bucket", "chunk", "block").applyInArrow(run, "node binary, other binary")
 
 
 def open_buckets(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """The members with their components, and the buckets that hold several:
-    the largest component and the numbers of chunks and blocks."""
+    """The members with their components, and the buckets of three or more
+    members (two have been compared already, one being the lead) that hold
+    several: the largest component and the numbers of chunks and blocks."""
     if labels is None:
         labelled = members.withColumn("label", F.col("node"))
     else:
         labelled = members.join(labels.select("node", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = written(labelled, "labelled")
     per = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    buckets = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("m"), F.max(F.struct("n", "label")).alias("top")).where("c > 1")
+    buckets = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("m"), F.max(F.struct("n", "label")).alias("top")).where("c > 1 and m > 2")
     dealt = written(buckets.select("bucket", F.col("top.label").alias("main"), F.ceil(F.col("m") / CHUNK).alias("chunks"),
                                    F.ceil((F.col("m") - F.col("top.n")) / BLOCK).alias("blocks")), "open-buckets")
     return labelled, dealt
 
 
-def to_compare(labelled: DataFrame, dealt: DataFrame, nodes: DataFrame, seen: DataFrame | None) -> DataFrame:
+def to_compare(labelled: DataFrame, dealt: DataFrame, nodes: DataFrame, cells: DataFrame, seen: DataFrame | None) -> DataFrame:
     """The members of open buckets, dealt into chunks and blocks: side 0 are
     those outside the bucket's largest component."""
-    sketched = labelled.join(dealt.hint("merge"), "bucket").join(nodes.select("node", "sketch", "bands").hint("merge"), "node")
+    low = cells.select("node", F.substring("cells", 1, 4 * LOW).alias("low"))
+    sketched = labelled.join(dealt.hint("merge"), "bucket").join(nodes.select("node", "sketch", "bands").hint("merge"), "node").join(low.hint("merge"), "node")
     h = F.xxhash64("node")
-    right = sketched.select("bucket", "node", "label", "lead", "main", "sketch", "bands", F.pmod(h, "chunks").alias("chunk"),
+    right = sketched.select("bucket", "node", "label", "lead", "main", "sketch", "bands", "low", F.pmod(h, "chunks").alias("chunk"),
                             F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("side"), F.lit(None).cast("array<binary>").alias("seen"))
     left = sketched.where("label <> main")
     left = left.join(seen.hint("merge"), "node", "left") if seen is not None else left.withColumn("seen", F.lit(None).cast("array<binary>"))
-    left = left.select("bucket", "node", "label", "lead", "main", "sketch", "bands", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"),
+    left = left.select("bucket", "node", "label", "lead", "main", "sketch", "bands", "low", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"),
                        F.pmod(h, "blocks").alias("block"), F.lit(0).alias("side"), "seen")
     return left.unionByName(right)
 
@@ -313,7 +343,7 @@ def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
             labels = components(_union(links))
         labelled, dealt = open_buckets(members, labels)
         seen = None if likely is None else likely.groupBy("node").agg(F.collect_set("other").alias("seen"))  # FIRST a bucket at most
-        now = written(likely_partners(to_compare(labelled, dealt, nodes, seen), k), "likely")
+        now = written(likely_partners(to_compare(labelled, dealt, nodes, cells, seen), k), "likely")
         tried = written(_ordered(now).distinct(), "pairs")
         links.append(written(similar(tried, cells, threshold), "links"))
         discard(labelled, dealt, tried, likely)

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from auditlens.llm.graph import components
-from auditlens.llm.near_dedup import WordHashes, dart_signature, keep_one, near_classes, shingle_cells
+from auditlens.llm.near_dedup import LOW, WordHashes, dart_signature, keep_one, may_hold, near_classes, shingle_cells
 
 
 def shingles(text):
@@ -114,3 +114,21 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(40)] + [(bytes([100]), bytes([101]))], "a binary, b binary")
     got = {bytes(r.node)[0]: bytes(r.label)[0] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_sketches_of_unrelated_long_texts_do_not_agree():
+    """The sketch byte comes from bits that neither rank nor coordinate fix."""
+    rng = np.random.default_rng(2)
+    for n in (300, 20_000, 100_000):
+        a, b = ((dart_signature(np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)), 256) >> np.uint64(32)) & np.uint64(0xFF) for _ in range(2))
+        assert np.count_nonzero(a == b) <= 8
+
+
+def test_may_hold_is_exact_for_short_texts_and_near_for_long_ones():
+    rng = np.random.default_rng(4)
+    for n, shared in ((20, 18), (200, 177), (200, 179), (511, 456), (5000, 4650), (5000, 3700)):
+        pool = np.unique(rng.integers(0, 2**32, 3 * n, dtype=np.uint64)).astype("<u4")
+        rng.shuffle(pool)
+        a, b = np.sort(pool[:n]), np.sort(np.r_[pool[:shared], pool[n : 2 * n - shared]])
+        want = shared >= 0.8 * (2 * n - shared) - 1e-9
+        assert may_hold(a[:LOW], b[:LOW]) == want, (n, shared)
