@@ -2,11 +2,12 @@
 repeated strings and packing, each stage on what the one before kept.
 
 Every stage but the last returns documents with all their columns.  Rows whose
-language cannot be told (no text, no letter, or equal sizes for two languages)
-go; of equal texts the smallest doc_id stays; of each near-duplicate class one
-document stays; repeated strings of 400 bytes are cut from texts; the rest is
-packed into sequences of 2048 tokens (one row a piece).  Empty tables pass
-through every stage as empty tables.
+language cannot be told (no text, no letter, or two languages whose sizes
+differ by less than 0.5 %) go; of equal texts the smallest doc_id stays; of
+each near-duplicate class one document stays; repeated strings of
+``REPEAT_BYTES`` are cut from texts; the rest is packed into sequences of 2048
+tokens (one row a piece).  Empty tables pass through every stage as empty
+tables.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from auditlens.llm.packing import pack_documents
 from auditlens.llm.suffix_dedup import remove_repeats
 
 
+#: Shorter than a passage of fifty words is in nearly all cases.
+REPEAT_BYTES = 250
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5."""
     return keep_identified(docs)
@@ -38,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3."""
-    return remove_repeats(docs)
+    return remove_repeats(docs, REPEAT_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
