@@ -47,6 +47,12 @@ WORD = re.compile(r"\w+")
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (the pattern also takes signs such as
+    fractions and Roman numerals, which are not)."""
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def held_out(col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % 4 == 2
 
@@ -99,7 +105,7 @@ class Classifier:
             for _, content in dictionaries]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not LETTER.search(text):
+        if not text or not self.langs or not has_letter(text):
             return UNKNOWN, 0.0
         words = WORD.findall(text.lower())
         sizes = [0] * len(self.squeeze)

@@ -65,3 +65,9 @@ def test_long_texts_of_one_language_are_accepted(spark):
         for whole in (text, text * (10_000_000 // len(text))):
             found, margin = classify(whole)
             assert found == lang and margin >= 4 * MIN_MARGIN, (lang, len(whole), margin)
+
+
+def test_signs_are_no_letters():
+    from auditlens.llm.language import has_letter
+
+    assert not any(map(has_letter, ["½ ½", "Ⅷ ⅔", "12 ٣", "_ ²", ""])) and all(map(has_letter, ["½a", "ª", "字", "ʰ", "É"]))
