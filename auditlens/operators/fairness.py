@@ -155,6 +155,19 @@ def intersectional_table(scored: DataFrame, col_a: str, col_b: str, ref_a: str,
         F.when(supp, F.lit(f"n < {min_n} suppressed")).otherwise(F.lit("")).alias("note"))
 
 
+def lowest_cell(cells: DataFrame) -> DataFrame:
+    """The reported cell of least AIR (one row; nulls without one)."""
+    low = F.min(F.struct(F.col("air_vs_reference").alias("air"), F.concat_ws(" × ", "group_a", "group_b").alias("cell")))
+    return cells.where("air_vs_reference is not null").agg(low.alias("_low")).select(F.col("_low.cell").alias("lowest_cell"), F.col("_low.air").alias("lowest_cell_air"))
+
+
+def wide(rows: DataFrame, index: str, by: str, values: list[str], levels: list[str]) -> DataFrame:
+    """One row an index value, one column a value and level
+    (``<value>_<level>``); missing combinations are null."""
+    cells = [F.max(F.when(F.col(by) == level, F.col(v))).alias(f"{v}_{level}") for v in values for level in levels]
+    return rows.groupBy(index).agg(*cells)
+
+
 def error_rate_gaps(fair: DataFrame, keys=(), limit_pct: float = 10.0) -> DataFrame:
     """FPR / FNR gap of each group vs its reference group, absolute and
     in percent of the reference rate; flag when either exceeds ``limit_pct``."""

@@ -47,12 +47,14 @@ def q_top_features(spark, sf_dir):
     return EX.top_features(a, FEATS, proxy_risk_table(spark), 20)
 
 
-CORR_FEATS = ["loan_amount", "property_value", "combined_loan_to_value_ratio", "income", "y_prob"]
+#: The last one follows race by construction, so that there is a pair to flag.
+CORR_FEATS = ["loan_amount", "property_value", "combined_loan_to_value_ratio", "income", "y_prob", "area_index"]
+AREA = "length(derived_race) + l_linenumber"
 PROT = {"Race": "derived_race", "Sex": "derived_sex", "Age": "applicant_age"}
 
 
 def _encoded(spark, sf_dir):
-    s = clean_numeric(scored(spark, sf_dir), ["income"])
+    s = clean_numeric(scored(spark, sf_dir), ["income"]).withColumn("area_index", F.expr(AREA).cast("double"))
     for name, c in PROT.items():
         s = label_encode(s, c, f"{name}_code")
     return s
@@ -69,7 +71,7 @@ def _corr_sql(limit: float | None = None) -> str:
              THEN corr(CAST({f} AS DOUBLE), CAST("{n}_code" AS DOUBLE)) END, 4) AS "corr" FROM e""")
     from auditlens.plans.q_features import sql_num
     body = f"""
-WITH s AS (SELECT * REPLACE ({sql_num('income')} AS income) FROM ({SQL_SCORED}) s0),
+WITH s AS (SELECT * REPLACE ({sql_num('income')} AS income), CAST({AREA} AS DOUBLE) AS area_index FROM ({SQL_SCORED}) s0),
 e AS (SELECT *, {codes} FROM s)
 {' UNION ALL '.join(parts)}"""
     if limit is None:

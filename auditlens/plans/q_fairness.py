@@ -14,6 +14,8 @@ def q_fairness_table(spark, sf_dir):
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from auditlens.functions.ordered import materialize  # noqa: E402
+from auditlens.operators.features import few_levels  # noqa: E402
 from auditlens.operators.metrics import evaluate  # noqa: E402
 from auditlens.plans.common import tables  # noqa: E402
 from auditlens.plans.sqlgen import dbl, norm_cdf_sql, values  # noqa: E402
@@ -73,8 +75,7 @@ SELECT group_a AS race, max(CASE WHEN group_b = 'A' THEN air_vs_reference END) A
 def q_intersectional_pivot(spark, sf_dir):
     s = scored(spark, sf_dir)
     t = FA.intersectional_table(s, "derived_race", "derived_sex", "AFRICA", "N", 0.5)
-    levels = sorted(r[0] for r in t.select("group_b").distinct().collect())  # pivot width, bounded
-    return t.groupBy(F.col("group_a").alias("race")).pivot("group_b", levels).agg(F.first("air_vs_reference"))
+    return t.groupBy(F.col("group_a").alias("race")).pivot("group_b", few_levels(t, "group_b")).agg(F.first("air_vs_reference"))
 
 
 @query("fairness_significance", f"""
@@ -188,22 +189,38 @@ def q_disparate_impact(spark, sf_dir):
     return FA.group_performance(s, ["derived_race", "tier"])
 
 
+_TIERS = ["Low", "Medium", "High"]
+
+
+@query("tier_error_pivot", f"""
+WITH t AS ({_perf_sql(f"SELECT *, {_TIER_SQL} AS tier FROM ({SQL_SCORED}) s0", ['derived_race', 'tier'])})
+SELECT derived_race, {', '.join(f"max(CASE WHEN tier = '{t}' THEN {v} END) AS {v}_{t}" for v in ('fpr', 'fnr') for t in _TIERS)} FROM t GROUP BY 1""")
+def q_tier_error_pivot(spark, sf_dir):
+    """FPR and FNR of every race by risk tier."""
+    s = scored(spark, sf_dir).withColumn("tier", FA.risk_tier())
+    return FA.wide(FA.group_performance(s, ["derived_race", "tier"]), "derived_race", "tier", ["fpr", "fnr"], _TIERS)
+
+
 @query("intersectional_errors", f"SELECT * FROM ({_perf_sql(SQL_SCORED, ['derived_race', 'derived_sex'])}) x")
 def q_intersectional_errors(spark, sf_dir):
     return FA.group_performance(scored(spark, sf_dir), ["derived_race", "derived_sex"])
 
 
 @query("fairness_summary", f"""
-WITH f AS ({_FT})
+WITH f AS ({_FT}), c AS ({_inter_sql(SQL_SCORED, "derived_race", "derived_sex", "AFRICA", "N", 0.5, 30)}),
+l AS (SELECT arg_min(group_a || ' × ' || group_b, (air_vs_reference, group_a || ' × ' || group_b)) AS cell, min(air_vs_reference) AS air FROM c WHERE air_vs_reference IS NOT NULL)
 SELECT attribute, threshold, CAST(count(*) AS BIGINT) AS n_groups,
        round(max(CAST(pred_pos AS DOUBLE) / n) - min(CAST(pred_pos AS DOUBLE) / n), 4) AS rate_gap,
-       arg_min("group", (air, "group")) AS lowest_air_group, min(air) AS min_air,
+       arg_min("group", (f.air, "group")) AS lowest_air_group, min(f.air) AS min_air,
        arg_max("group", (fnr, "group")) AS worst_fnr_group, max(fnr) AS max_fnr,
-       CAST(sum(CASE WHEN air >= 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS n_pass,
-       CAST(sum(CASE WHEN air < 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS n_fail
-FROM f GROUP BY attribute, threshold""")
+       CAST(sum(CASE WHEN f.air >= 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS n_pass,
+       CAST(sum(CASE WHEN f.air < 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS n_fail, max(l.cell) AS lowest_cell, max(l.air) AS lowest_cell_air
+FROM f, l GROUP BY attribute, threshold""")
 def q_fairness_summary(spark, sf_dir):
-    return FA.fairness_summary(FA.fairness_table(scored(spark, sf_dir), ATTRS, REFS, 0.5, detail=True))
+    """I18 with the lowest race x sex cell."""
+    s = materialize(scored(spark, sf_dir).select("y", "y_prob", *ATTRS.values()))
+    cells = FA.intersectional_table(s, "derived_race", "derived_sex", "AFRICA", "N", 0.5)
+    return FA.fairness_summary(FA.fairness_table(s, ATTRS, REFS, 0.5, detail=True)).crossJoin(F.broadcast(FA.lowest_cell(cells)))  # one row
 
 
 SWEEP = [0.4, 0.35, 0.3, 0.25, 0.2]

@@ -45,6 +45,14 @@ def q_encode_dti(spark, sf_dir):
     return FE.encode_dti(applications(spark, sf_dir)).select(*KEYS, "debt_to_income_ratio")
 
 
+@query("clean_datetime", f"""
+SELECT {KS}, CAST(TRY_CAST(CASE WHEN l_linenumber = 3 THEN 'unknown' ELSE CAST(event_time AS VARCHAR) END AS TIMESTAMP) AS VARCHAR) AS event_time FROM ({SQL_APPS}) a""")
+def q_clean_datetime(spark, sf_dir):
+    """Times landed as text, some of them no times."""
+    a = applications(spark, sf_dir).select(*KEYS, F.when(F.col("l_linenumber") == 3, "unknown").otherwise(F.col("event_time").cast("string")).alias("event_time"))
+    return FE.clean_datetime(a, ["event_time", "absent"]).withColumn("event_time", F.col("event_time").cast("string"))
+
+
 CAPS = ["loan_amount", "income", "property_value", "combined_loan_to_value_ratio"]
 NUMS = ["income", "debt_to_income_ratio", "combined_loan_to_value_ratio", "loan_amount", "property_value"]
 
@@ -110,8 +118,7 @@ SELECT 'loan_type_' || keep.loan_type AS feature, CAST(count(s.loan_type) AS BIG
 FROM keep LEFT JOIN s ON s.loan_type = keep.loan_type GROUP BY 1""")
 def q_one_hot(spark, sf_dir):
     s = scored(spark, sf_dir)
-    levels = [r[0] for r in s.select("loan_type").where("loan_type IS NOT NULL").distinct().collect()]
-    oh = FE.one_hot(s.select("loan_type"), "loan_type", levels)
+    oh = FE.one_hot(s.select("loan_type"), "loan_type", FE.few_levels(s, "loan_type"))
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("long").alias("v")) for c in oh.columns])
     return oh.select(F.explode(arr).alias("x")).groupBy("x.feature").agg(F.sum("x.v").alias("total"))
 
@@ -243,6 +250,16 @@ def q_column_summary(spark, sf_dir):
     return PR.column_summary(materialize(scored(spark, sf_dir).select(*VIEW)))
 
 
+@query("feature_types", f"""
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, '{'numeric' if c in VIEW_NUMBERS else 'categorical'}' AS kind, CAST(count({c}) AS BIGINT) AS n FROM ({SQL_SCORED}) s" for c in VIEW)}""")
+def q_feature_types(spark, sf_dir):
+    """Every column's side by its type, with its number of values."""
+    s = scored(spark, sf_dir).select(*VIEW)
+    numeric, categorical = FE.infer_feature_types(s)
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit("numeric" if c in numeric else "categorical").alias("kind"), F.col(c).isNotNull().cast("long").alias("v")) for c in numeric + categorical])
+    return s.select(F.explode(arr).alias("x")).groupBy("x.feature", "x.kind").agg(F.sum("x.v").alias("n"))
+
+
 @query("data_dictionary", f"""
 WITH s AS ({SQL_SCORED})
 {' UNION ALL '.join(f"SELECT '{c}' AS feature, '{k}' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS n_missing, "

@@ -89,14 +89,14 @@ def q_decide(spark, sf_dir):
 
 @query("confusion", _sub(["threshold", "tp", "fp", "fn", "tn"]))
 def q_confusion(spark, sf_dir):
-    return M.evaluate(scored(spark, sf_dir), T).select("threshold", "tp", "fp", "fn", "tn")
+    return M.confusion_counts(scored(spark, sf_dir), T).drop("n")
 
 
 @query("classification_metrics", _sub(["threshold", "accuracy", "precision", "recall", "f1",
                                        "positive_rate_predicted", "positive_rate_actual"]))
 def q_classification(spark, sf_dir):
-    return M.evaluate(scored(spark, sf_dir), T).select(
-        "threshold", "accuracy", "precision", "recall", "f1", "positive_rate_predicted", "positive_rate_actual")
+    c = M.confusion_counts(scored(spark, sf_dir), T)
+    return c.select("threshold", *[F.round(e, 4).alias(name) for name, e in M.classification_cols().items()])
 
 
 def _rank(spark, sf_dir, col):
