@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.ordered import count_at_or_below, count_below, range_edges
-from auditlens.llm.common import documents, partitions, row_keyed, text_or_empty, written
+from auditlens.llm.common import discard, documents, partitions, row_keyed, text_or_empty, written
 
 #: (slices, share of the lexicon in each as a power of 1/2); together they are all of it
 SUBSETS = ((7, 3), (6, 6), (8, 8))
@@ -97,10 +97,9 @@ def place(deal: Column, bounds: list[int]) -> Column:
     return count_at_or_below(deal, bounds[:-1])
 
 
-def classes(terms: Column) -> Column:
-    """One key for each order: texts with few different terms share one at
-    least, others seldom do."""
-    hashes = F.transform(terms, lambda t: F.xxhash64(t))
+def classes(hashes: Column) -> Column:
+    """One key for each order of the term hashes: texts with few different
+    terms share one at least, others seldom do."""
 
     def least_in(mask: int) -> Column:
         return F.slice(F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask)))), 1, CLASS_TERMS)
@@ -108,23 +107,36 @@ def classes(terms: Column) -> Column:
     return F.array(*[F.xxhash64(x, F.lit(i)) for i, x in enumerate(map(least_in, CLASS_ORDERS))])
 
 
+def with_terms(keyed: DataFrame) -> DataFrame:
+    """The rows with ``_t``, their distinct terms, and the hashes ``_h`` of
+    these; columns of their own, so that each is made once a pass."""
+    return keyed.withColumn("_t", distinct_terms(F.col("text"))).withColumn("_h", F.transform("_t", lambda t: F.xxhash64(t)))
+
+
 def weighted(keyed: DataFrame) -> tuple[DataFrame, int]:
-    """The rows with their weight ``_w``, and the sum of the weights."""
+    """The rows with their terms ``_t`` and weight ``_w``, and the sum of the
+    weights.  The class keys are written, so that sizes and weights are counted
+    without the texts."""
     n = keyed.count()
-    keys = classes(distinct_terms(F.col("text")))
-    large = keyed.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(
+    keys = written(with_terms(keyed).select(classes(F.col("_h")).alias("keys")), "imatch-classes")
+    large = keys.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(
         (F.col("n") > CLASS_ROWS) & (F.col("n") > F.lit(CLASS_SHARE) * F.lit(n))).collect()  # at most one over the share for each order
     if not large:
-        return keyed.withColumn("_w", F.lit(ONE)), n * ONE
+        discard(keys)
+        return keyed.withColumn("_t", distinct_terms(F.col("text"))).withColumn("_w", F.lit(ONE)), n * ONE
     sizes = F.create_map(*[F.lit(x) for r in large for x in (r["key"], r["n"])])
-    size = F.array_max(F.transform(keys, lambda k: F.coalesce(F.element_at(sizes, k), F.lit(1).cast("long"))))
-    out = keyed.withColumn("_w", F.floor(F.lit(ONE) / size))
-    return out, out.agg(F.sum("_w").alias("w")).first()["w"]
+
+    def weight(keys_of: Column) -> Column:
+        return F.floor(F.lit(ONE) / F.array_max(F.transform(keys_of, lambda k: F.coalesce(F.element_at(sizes, k), F.lit(1).cast("long")))))
+
+    total = keys.agg(F.sum(weight(F.col("keys"))).alias("w")).first()["w"]
+    discard(keys)
+    return with_terms(keyed).withColumn("_w", weight(classes(F.col("_h")))), total
 
 
-def vocabulary(keyed: DataFrame) -> DataFrame:
+def vocabulary(rows: DataFrame) -> DataFrame:
     """Each term with its number of rows, their weight and one row that has it."""
-    terms = keyed.select("_row", "doc_id", "_w", F.explode(distinct_terms(F.col("text"))).alias("term"))
+    terms = rows.select("_row", "doc_id", "_w", F.explode("_t").alias("term"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.min("_row").alias("_row"), F.min("doc_id").alias("doc_id"))
 
 
