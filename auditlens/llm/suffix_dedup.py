@@ -1,4 +1,5 @@
-"""Removal of long repeated byte strings by distributed prefix doubling.
+"""Removal of long repeated byte strings, by names of growing prefixes at
+content anchors (no prefix doubling: no rank is made from a pair of ranks).
 
 Every start of a ``threshold``-byte string has one anchor: the place of the
 smallest hashed 8-gram among its first threshold/2 + 1 bytes, so equal strings
@@ -6,20 +7,19 @@ have their anchors at equal distances and only anchors, one for about a
 quarter of the threshold, are sorted instead of all positions.  Consecutive
 starts with the same anchor form a run.
 
-Spark then doubles prefixes over the anchors.  A rank is a name: equal strings
-get equal names.  Round by round (position, rank pair) rows are sorted by the
-pair (rank of the prefix so far, rank of the next block at the grown offset)
-and positions with a unique pair leave, as nothing that starts there repeats:
+One Python pass names the strings at each anchor: equal strings get equal
+hashes.  Round by round Spark counts longer names, and positions whose name is
+unique leave, as nothing that starts there repeats:
 
-1. rank of threshold/4 bytes from the anchor;
-2. with the rank at offset threshold/4: threshold/2 bytes;
+1. name of threshold/4 bytes from the anchor;
+2. with the name at offset threshold/4: threshold/2 bytes;
 3. past the threshold: the hull of the run, all bytes that its strings cover.
    Hulls that repeat are removed whole.  What remains are runs at the ends of
    repeated passages; one witness of each repeated hull goes on with them;
 4. the same for cells of 32 starts (prefix threshold - 31, then their hull);
 5. single starts: names of exactly ``threshold`` bytes.
 
-All counts are partial aggregates and hot ranks are split in the sort-merge
+All counts are partial aggregates and hot names are split in the sort-merge
 joins; texts move twice (once for what rounds 1 to 3 left open, once for the
 result).  Names have 64 bits in rounds 1 to 3, where all three must agree, and
 128 bits after that.
