@@ -10,7 +10,11 @@ piece first.
 
 Documents are read once (one pass for ids); only five numbers a piece are
 dealt to the packing tasks, whose number grows with the pieces.  Their state is
-``n_open`` bins, whatever the partition holds.
+``n_open`` bins, whatever the partition holds.  Equal pieces are counted before
+and dealt in lots of at most ``LOT``, so rows repeated often do not meet in one
+task; each task packs in the order of a hash.  The packing therefore follows
+from the rows alone, not from the order they arrive in, and a task that runs
+again after a lost executor gives the same bins.
 
 Null and empty texts are one piece holding the end id alone; repeated rows are
 packed each on its own; an empty table gives no rows; other columns are left
@@ -29,6 +33,8 @@ from auditlens.llm.common import documents, written
 from auditlens.llm.words import library_ids
 
 SEQUENCE = 2048
+#: Most copies of a piece that are dealt together.
+LOT = 1024
 
 
 class BestFit:
@@ -113,10 +119,14 @@ def document_pieces(docs: DataFrame, tokenizer_file: str, length: int = SEQUENCE
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = SEQUENCE, n_open: int = 1024, pieces_a_task: int = 100_000) -> DataFrame:
-    """``pieces`` (with a column length) plus sequence_id and offset."""
+    """``pieces`` (with a column length, read twice) plus sequence_id and offset."""
     n = pieces.count()
     tasks = max(1, -(-n // pieces_a_task))
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
+    own = [F.col(f"`{c}`") for c in pieces.columns]
+    lots = (pieces.groupBy(*own).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_lot", F.explode(F.expr(f"sequence(0L, _copies - 1, {LOT}L)"))).withColumn("_deal", F.xxhash64(*own, "_lot")))
+    dealt = (lots.repartition(tasks, "_deal").sortWithinPartitions("_deal", *own)
+             .withColumn("_copy", F.explode(F.expr(f"sequence(1L, least(_copies - _lot, {LOT}L))"))).select(*own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
