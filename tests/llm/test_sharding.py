@@ -3,7 +3,9 @@
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
+from auditlens.llm import sharding
 from auditlens.llm.sharding import assign_shards, capacities, ring_arcs, walk
 
 
@@ -41,6 +43,54 @@ def test_same_result_for_any_partitioning(spark):
     assert one == many
 
 
+def test_equals_keys_walking_one_by_one(spark):
+    """Every key walks clockwise by itself from the arc of its hash."""
+    ids = [*range(0, 900, 3), *[7] * 120, *[None] * 60]
+    got = assign_shards(spark, spark.createDataFrame([(i,) for i in ids], "doc_id LONG"), "doc_id", ["doc_id"], 8, vnodes=16, cell_rows=10**6).collect()
+    arcs, room = ring_arcs(8, 16), capacities(len(ids), 8, 1.0)
+    at = defaultdict(list)
+    for i in ids:
+        h = xxh64_intdigest("" if i is None else str(i), seed=42)
+        home = next((a for a, (pos, _) in enumerate(arcs) if pos >= h >> 50), 0)
+        at[home].append((h - (1 << 64) if h >> 63 else h, i))
+    shards = defaultdict(list)
+    waiting = {a: [sorted(keys, key=lambda k: k[0])] for a, keys in at.items()}
+    while waiting:
+        onward = defaultdict(list)
+        for a in sorted(waiting):
+            for keys in waiting[a]:
+                shard = arcs[a][1]
+                n = min(len(keys), room[shard] - len(shards[shard]))
+                shards[shard] += [i for _, i in keys[:n]]
+                if keys[n:]:
+                    onward[(a + 1) % len(arcs)].append(keys[n:])
+        waiting = onward
+    assert {(r.shard, r.slot): r.doc_id for r in got} == {(s, slot): i for s, keys in shards.items() for slot, i in enumerate(keys)}
+
+
+def test_equal_rows_spread_over_shards_in_lots(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LOT", 7)
+    rows = spark.createDataFrame([(1, "a")] * 100 + [(1, "b")] * 50 + [(None, None)] * 30 + [(i, "") for i in range(20)], "doc_id LONG, text STRING")
+    got = assign_shards(spark, rows, "doc_id", ["doc_id"], 4, vnodes=8, cell_rows=16).collect()
+    check(got, 200, 4)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in rows.collect())
+
+
+def test_rows_of_one_key_spread_over_cells(spark):
+    rows = spark.range(4000).selectExpr("1L AS doc_id", "id AS size")
+    got = assign_shards(spark, rows, "doc_id", ["doc_id"], 4, vnodes=8, cell_rows=16)
+    check(got.collect(), 4000, 4)
+    one = {tuple(r) for r in got.collect()}
+    assert one == {tuple(r) for r in assign_shards(spark, rows.repartition(9), "doc_id", ["doc_id"], 4, vnodes=8, cell_rows=16).collect()}
+
+
+def test_clashing_columns_and_empty_texts(spark):
+    rows = spark.createDataFrame([(1, None, 9, "x", 0), (2, "", 8, None, 1), (3, "t", 7, "z", 2)], "doc_id LONG, text STRING, shard INT, _h STRING, _arc LONG")
+    got = assign_shards(spark, rows.withColumn("slot", F.lit(5)), "doc_id", ["doc_id"], 2)
+    assert got.columns == ["doc_id", "text", "_h", "_arc", "shard", "slot"]
+    check(got.collect(), 3, 2)
+
+
 def test_walk_fills_clockwise_and_moves_little():
     arcs = [(0, 0), (10, 1), (20, 2)]
     assert walk(arcs, {0: 5, 1: 1}, [2, 2, 2]) == [(0, 0, 2, 0, 0), (1, 0, 1, 1, 0), (0, 2, 3, 1, 1), (0, 3, 5, 2, 0)]

@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 
 from auditlens.llm.bpe import codec, digest_documents, encode_documents
 from auditlens.llm.common import fresh_path
-from auditlens.llm.packing import BestFit, pack, pack_documents
-from auditlens.llm.training_order import feistel, materialise, read_records
+from auditlens.llm.packing import BestFit, pack, pack_documents, pack_pieces
+from auditlens.llm.training_order import feistel, materialise, read_records, split_bits
 from auditlens.llm.words import library_ids
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -92,11 +92,103 @@ def test_best_fit_closes_the_fullest():
     assert sorted(sorted(x for _, x in b) for b in out) == [[1, 4], [2, 3], [5]] or sum(len(b) for b in out) == 5
 
 
+def naive_best_fit(sizes, capacity, n_open):
+    """Bins as lists, found by looking at every open bin."""
+    open_bins, done = [], []  # (free, last use, items)
+    for at, size in enumerate(sizes):
+        fitting = [b for b in open_bins if b[0] >= size]
+        if fitting:
+            b = min(fitting, key=lambda b: (b[0], -b[1]))
+            open_bins.remove(b)
+        else:
+            if len(open_bins) >= n_open:
+                full = min(open_bins, key=lambda b: (b[0], -b[1]))
+                open_bins.remove(full)
+                done.append(full[2])
+            b = [capacity, at, []]
+        b = [b[0] - size, at, [*b[2], at]]
+        if b[0]:
+            open_bins.append(b)
+        else:
+            done.append(b[2])
+    return done, [b[2] for b in open_bins]
+
+
+def test_best_fit_equals_a_scan_of_all_bins():
+    rng = random.Random(6)
+    for n_open in (1, 3, 20):
+        sizes = [rng.choice([1, 2, 3, 5, 8, 13, 20]) for _ in range(600)]
+        bins, closed = BestFit(20, n_open), []
+        for at, size in enumerate(sizes):
+            closed += bins.put(size, at)
+        done, rest = naive_best_fit(sizes, 20, n_open)
+        assert closed == done and sorted(bins.rest()) == sorted(rest)
+
+
+def test_packing_follows_from_the_rows_alone(spark):
+    rows = [(i % 40 if i % 3 else 7, 0, 0, 3 + (i % 40 if i % 3 else 7), 5) for i in range(600)] + [(None, 0, 0, 9, 1)] * 300
+    schema = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
+
+    def packed(order):
+        out = pack_pieces(spark.createDataFrame(order, schema).repartition(3), 64, 4, 100).collect()
+        return sorted(out, key=repr)
+
+    one, other = packed(rows), packed(rows[::-1][400:] + rows[::-1][:400])
+    assert one == other
+    assert sorted(((r.doc_id, r.length) for r in one), key=repr) == sorted(((r[0], r[3]) for r in rows), key=repr)
+
+
+def test_copies_of_a_piece_are_dealt_to_many_tasks(spark):
+    pieces = spark.range(9000).selectExpr("if(id < 6000, 1L, id) AS doc_id", "0 AS piece", "0L AS start", "7L AS length", "3L AS ids_crc32")
+    per = [n for _, n in pack_pieces(pieces, 2048, 16, 900).groupBy(F.shiftright("sequence_id", 40)).count().collect()]
+    assert sum(per) == 9000 and max(per) < 4 * 1024 and len(per) > 5
+
+
+def plain_feistel(number, domain, key):
+    """One number at a time, in Python's own integers."""
+    half = max(1, (max(domain - 1, 1).bit_length() + 1) // 2)
+    mask, word = (1 << half) - 1, (1 << 64) - 1
+    while True:
+        left, right = number >> half, number & mask
+        for i in range(6):
+            x = (right + key * 0x9E3779B97F4A7C15 + i * 0xD1B54A32D192ED03) & word
+            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & word
+            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & word
+            left, right = right, left ^ ((x ^ x >> 31) & mask)
+        number = left << half | right
+        if number < domain:
+            return number
+
+
 @pytest.mark.parametrize("domain", [1, 2, 7, 1000, 4097])
 def test_feistel_is_a_permutation(domain):
-    out = feistel(np.arange(domain, dtype=np.uint64), domain, 20)
-    assert sorted(out.tolist()) == list(range(domain))
+    out, below = feistel(np.arange(domain, dtype=np.uint64), domain, 20)
+    assert sorted(out.tolist()) == list(range(domain)) and not below.any()
     assert domain < 100 or np.abs(np.corrcoef(np.arange(domain), out)[0, 1]) < 0.15
+    assert out.tolist() == [plain_feistel(n, domain, 20) for n in range(domain)]
+
+
+@pytest.mark.parametrize("domain", [(1 << 62) - 5, 1 << 62, (1 << 64) + 1, 5001 << 61, (1 << 91) + 12345])
+def test_feistel_of_wide_numbers(domain):
+    rng = random.Random(7)
+    numbers = [0, domain - 1, *(rng.randrange(domain) for _ in range(300))]
+    out, below = feistel(numbers, domain, 20)
+    extra = split_bits(domain)
+    places = [int(p) << extra | int(b) for p, b in zip(out, below, strict=True)]
+    assert places == [plain_feistel(n, domain, 20) for n in numbers]
+    assert out.max() < 1 << 62 and len(set(places)) == len(set(numbers))
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3, 9], [1, 1 << 50, (1 << 50) + 1, 1 << 61], [-(1 << 63), -5, 0, (1 << 63) - 1]])
+def test_slots_equal_a_plain_sort_of_places(spark, table, reference, ids):
+    texts = ["one two three", "ab cd " * 50_000, None, "x " * 90]
+    got = materialise(table(list(zip(ids, texts, strict=True))), FILE, fresh_path(spark, "order-test"), stride=64, shard_mb=0.05).orderBy("slot").collect()
+    encode, _ = reference
+    most = -(-(4 * max(len(t or "") for t in texts) + 1) // 64) + 1
+    domain = (max(ids) - min(ids) + 1) * most
+    keys = [(i, p) for i, t in zip(ids, texts, strict=True) for p in range(-(-(len(encode(t)) + 1) // 64))]
+    assert [(r.doc_id, r.piece) for r in got] == sorted(keys, key=lambda k: plain_feistel((k[0] - min(ids)) * most + k[1], domain, 20))
+    assert [r.slot for r in got] == list(range(len(keys)))
 
 
 def test_training_order_round_trip(spark, table, reference, words):
