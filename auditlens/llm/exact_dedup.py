@@ -3,15 +3,19 @@
 The index is a Parquet table bucketed and sorted by digest.  A batch of new
 documents is reduced to one row per digest (partial aggregation first, so a
 group of copies of any size is one row per task), anti-joined with the index
-by sort-merge and the remainder appended.  Reading the index never shuffles
-it; only digests and ids move, never texts.
+by sort-merge and the remainder appended.  Both the anti-join and the join that
+decides on a batch read the index in its buckets, so it is never shuffled: only
+the batch's digests move, one row per digest and task, never texts.  Where
+copies outnumber the rest, what was looked up is written and joined back, and
+Spark splits hot digests.
 
 Rules: texts are equal when identical after replacing each run of ASCII white
 space by one space (null counts as empty).  Within a batch the smallest doc_id
 of equal texts stays (null ids lose; if all ids are null, one null row stays);
 a text that the index already holds is never kept again.  Rows repeated with
-the same doc_id and text keep one copy.  An empty batch appends nothing.
-Columns other than the id and the text pass through untouched.
+the same doc_id and text keep one copy, any one of them where their other
+columns differ.  An empty batch appends nothing.  Columns other than the id and
+the text pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -62,6 +66,10 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.table)
         discard(first)
 
+    def close(self) -> None:
+        """Take the table out of the catalogue; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def decide(self, digests: DataFrame) -> DataFrame:
         """One row per row of ``digests`` (doc_id, digest): doc_id, digest,
         keep_id, group_size over ``digests`` and kept."""
@@ -69,7 +77,7 @@ class DigestIndex:
         rows = written(copies, "exact-rows")
         sizes = rows.groupBy("digest").agg(F.sum("n_rows").alias("group_size"))
         # written, so that the join below has a shuffle on both sides and a hot digest can be split
-        groups = written(sizes.join(self.entries(), "digest"), "exact-groups")
+        groups = written(sizes.repartition(self.n_buckets, "digest").join(self.bucketed().hint("merge"), "digest"), "exact-groups")
         return (rows.join(groups, "digest")
                 .select("doc_id", "digest", "keep_id", "group_size", F.explode(F.expr("sequence(1L, n_rows)")).alias("copy"))
                 .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))
@@ -96,18 +104,30 @@ def ingest(spark: SparkSession, digests: DataFrame, n_batches: int = 2) -> Diges
 def dedup_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Decision for every document: doc_id, digest, keep_id, group_size, kept."""
     digests = written(docs.select("doc_id", text_digest().alias("digest")), "exact-digests")
-    return ingest(spark, digests).decide(digests)
+    index = ingest(spark, digests)
+    decided = index.decide(digests)
+    index.close()
+    return decided
 
 
 def keep_first(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    key = "_digest"
-    keyed = docs.withColumn(key, text_digest())
-    kept = dedup_rows(spark, docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("digest").alias("_kept_digest"))
-    joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_keep"]) & (keyed[key] == kept["_kept_digest"]))
-    from pyspark.sql import Window
-    once = joined.withColumn("_copy", F.row_number().over(Window.partitionBy("_keep", "_kept_digest").orderBy(F.lit(1))))
-    return once.where("_copy = 1").select(*docs.columns)
+    """The documents that stay, with all their columns.  Texts meet the rows
+    that stay once; rows repeated with id and text are reduced by partial
+    aggregates, so they are not gathered whole."""
+    inner = {c: f"_k{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.select(F.col("doc_id").alias("_id"), text_digest().alias("_digest"), *[F.col(f"`{c}`").alias(x) for c, x in inner.items()])
+    decided = written(dedup_rows(spark, docs).groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("_n")).where("kept"), "exact-kept")
+    kept = decided.select(F.col("doc_id").alias("_keep"), F.col("digest").alias("_kept_digest"), "_n")
+
+    def meeting(kept: DataFrame) -> DataFrame:
+        return keyed.join(kept, keyed["_id"].eqNullSafe(kept["_keep"]) & (keyed["_digest"] == kept["_kept_digest"]))
+
+    out = [F.col(x).alias(c) for c, x in inner.items()]
+    once = meeting(kept.where("_n = 1")).select(*out)
+    if not kept.where("_n > 1").limit(1).count():
+        return once
+    one_each = meeting(kept.where("_n > 1")).groupBy("_id", "_digest").agg(F.first(F.struct(*inner.values())).alias("_row"))
+    return once.unionByName(one_each.select("_row.*").select(*out))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,42 @@ def test_index_persists_over_batches(spark, table):
     assert "Exchange" not in plan
 
 
+def test_deciding_does_not_shuffle_the_index(spark, table, monkeypatch):
+    from auditlens.llm import exact_dedup
+
+    plans = {}
+    plain = exact_dedup.written
+
+    def noted(df, name="llm"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    index = DigestIndex(spark, fresh_path(spark, "index-test"), 4)
+    batch = table([(1, "a"), (2, "b"), (3, "a")]).select("doc_id", text_digest().alias("digest"))
+    index.append(batch)
+    monkeypatch.setattr(exact_dedup, "written", noted)
+    assert index.decide(batch).count() == 3
+    lines = plans["exact-groups"].splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" +-:"))
+    above, at = [], depth(lines[scan])
+    for line in reversed(lines[join:scan]):  # the operators from the scan up to the join
+        if depth(line) < at:
+            above.append(line)
+            at = depth(line)
+    assert not any("Exchange" in line for line in above)
+    index.close()
+    assert not spark.catalog.tableExists(index.table)
+
+
+def test_a_row_repeated_often_stays_once(spark, table):
+    docs = table([(1, "same text")] * 500 + [(None, "n")] * 200 + [(2, "same  text"), (3, "other"), (4, None)], extra=["_digest", "_k0", "kept", "_n"])
+    got = keep_first(spark, docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(1, "same text"), (None, "n"), (3, "other"), (4, None)], key=repr)
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None)]])
 def test_empty(spark, table, rows):
     got = dedup_rows(spark, table(rows)).collect()
