@@ -132,14 +132,46 @@ class ChunkIds:
             yield b"".join(map(get, chunks))
 
 
-_ENCODERS: dict[tuple, ChunkIds] = {}
+class LibraryIds(dict):
+    """Ids of chunks by the tokenizers library's model, as little-endian
+    uint32 bytes, found when a chunk is first asked for.  Emptied between texts
+    when full."""
+
+    def __init__(self, splitter: Splitter, max_chunks: int = 600_000, max_pieces: int = 400_000):
+        super().__init__()
+        self.splitter, self.tokenize = splitter, splitter.tokenizer.model.tokenize
+        self.piece_ids: dict[str, bytes] = {}
+        self.max_chunks, self.max_pieces = max_chunks, max_pieces
+
+    def __missing__(self, chunk: str) -> bytes:
+        known, out = self.piece_ids, []
+        for p in self.splitter.pieces(chunk):
+            if p.__class__ is int:
+                out.append(p.to_bytes(4, "little"))
+                continue
+            ids = known.get(p)
+            if ids is None:
+                ids = known[p] = b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(p)])
+            out.append(ids)
+        ids = self[chunk] = b"".join(out)
+        return ids
+
+    def texts(self, texts: list[str | None]):
+        """The ids of each text (null: none) as bytes."""
+        split, get = self.splitter.chunks, self.__getitem__
+        for t in texts:
+            if len(self) > self.max_chunks:
+                self.clear()
+            if len(self.piece_ids) > self.max_pieces:
+                self.piece_ids.clear()
+            yield b"".join(map(get, split(t))) if t else b""
+
+
+_ENCODERS: dict[str, LibraryIds] = {}
 
 
-def library_ids(tokenizer_file: str) -> ChunkIds:
-    """Ids by the tokenizers library's model; one encoder a Python worker."""
-    key = ("library", tokenizer_file)
-    if key not in _ENCODERS:
-        splitter = Splitter(tokenizer_file)
-        model = splitter.tokenizer.model
-        _ENCODERS[key] = ChunkIds(splitter, lambda pieces: [[t.id for t in model.tokenize(p)] for p in pieces])
-    return _ENCODERS[key]
+def library_ids(tokenizer_file: str) -> LibraryIds:
+    """One encoder a Python worker."""
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = LibraryIds(Splitter(tokenizer_file))
+    return _ENCODERS[tokenizer_file]
