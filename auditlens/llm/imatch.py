@@ -22,8 +22,10 @@ sum up to the mean number of terms of a text) and are put into the plan; those
 in a single document go back to that document, and to the one before it, with
 the rows of the window that finds the next document.  The half-and-half text
 has at most two terms that neither source has, cut at its seams; only those
-are joined with the counted terms.  The windows are over id ranges: each range
-also receives the first document of the following one, so none spans the table.
+are joined with the counted terms.  The windows are over ranges of (id, row):
+an id that fills more than a range (null ids among them) is cut by its rows'
+numbers.  Each range also receives the first document of the following one, so
+none spans the table.
 
 Null texts are empty; texts without terms share one fingerprint; repeated ids
 are ordered by row; the last document's next is the first, a single one's next
@@ -39,7 +41,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.ordered import count_at_or_below, count_below, range_edges
+from auditlens.functions.ordered import count_at_or_below
 from auditlens.llm.common import discard, documents, partitions, row_keyed, text_or_empty, written
 
 #: (slices, share of the lexicon in each as a power of 1/2); together they are all of it
@@ -140,12 +142,45 @@ def vocabulary(rows: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.min("_row").alias("_row"), F.min("doc_id").alias("doc_id"))
 
 
+def range_cuts(keyed: DataFrame, n_ranges: int) -> list[tuple[float, float]]:
+    """Interior ends (id, row), ascending, of about equal ranges of the rows by
+    (id, row); at most twice ``n_ranges``.  Null ids count as the lowest."""
+    value = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
+    ids = keyed.select(value.alias("v"), F.col("_row").cast("double").alias("r"))
+    ends = ids.agg(F.percentile_approx("v", [i / n_ranges for i in range(1, n_ranges)], 10000).alias("e")).first()["e"] or []
+    times = {v: ends.count(v) for v in set(ends)}
+    heavy = [v for v, n in times.items() if n > 1]  # ids that fill a range or more
+    cuts = [(v, float("inf")) for v in times]
+    if heavy:
+        shares = [i / (max(times.values()) + 1) for i in range(1, max(times.values()) + 1)]
+        rows = ids.where(F.col("v").isin(heavy)).groupBy("v").agg(F.percentile_approx("r", shares, 10000).alias("r")).collect()  # one row a heavy id
+        for found in rows:
+            wanted = times[found["v"]]
+            cuts += [(found["v"], found["r"][len(shares) * i // (wanted + 1)]) for i in range(1, wanted + 1)]
+    return sorted(set(cuts))
+
+
+def cuts_below(value: Column, row: Column, cuts: list[tuple[float, float]]) -> Column:
+    """Number of ``cuts`` strictly below (value, row), as a balanced tree of
+    comparisons."""
+
+    def build(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        v, r = cuts[mid]
+        return F.when((value > F.lit(v)) | ((value == F.lit(v)) & (row > F.lit(r))), build(mid + 1, hi)).otherwise(build(lo, mid))
+
+    return build(0, len(cuts))
+
+
 def placed_with_rare(keyed: DataFrame, rare: DataFrame):
     """_range, _ghost, _row, doc_id, text and rare (the row's terms of no other
     row) in ascending id order within ranges, and the window over them; the
     first row of the following range comes last in each, as a ghost."""
-    edges = range_edges(keyed, "doc_id", 4 * partitions(keyed.sparkSession))
-    ranged = lambda df: df.withColumn("_range", count_below(F.col("doc_id").cast("double"), edges))
+    cuts = range_cuts(keyed, 4 * partitions(keyed.sparkSession))
+    value, row_no = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))), F.col("_row").cast("double")
+    ranged = lambda df: df.withColumn("_range", cuts_below(value, row_no, cuts))
     order = F.struct("doc_id", "_row")
     firsts = sorted((r["_range"], r["first"]["_row"]) for r in  # one row a range
                     ranged(keyed.select("doc_id", "_row")).groupBy("_range").agg(F.min(order).alias("first")).collect())

@@ -110,3 +110,38 @@ def test_a_large_group_of_near_copies_does_not_leave_the_band(spark, table, word
     rows += [(1000 + i, " ".join(rng.choices(words, k=40))) for i in range(200)]
     got = M.fingerprints(table(rows)).where("doc_id < 99").select(M.likeness(F.col("fp"), F.col("next_fp")).alias("near")).collect()
     assert sum(r.near for r in got) / len(got) > 0.7
+
+
+def test_heavy_ids_are_cut_into_ranges(spark):
+    """A third of the rows without id and a third with one id: no range holds
+    much more than its share, and ranges follow (id, row)."""
+    from auditlens.llm.imatch import cuts_below, range_cuts
+
+    keyed = spark.range(9000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 77, id)) AS doc_id", "id * 1000003 AS _row")
+    cuts = range_cuts(keyed, 32)
+    assert len(cuts) <= 64
+    value = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
+    rows = keyed.withColumn("_range", cuts_below(value, F.col("_row").cast("double"), cuts)).collect()
+    order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r._row))
+    at = [r._range for r in order]
+    assert at == sorted(at)
+    sizes = [at.count(x) for x in set(at)]
+    assert max(sizes) <= 2 * 9000 / 32
+
+
+def test_neighbours_with_null_and_repeated_ids(spark, table):
+    rows = [(None, f"null {i} alpha beta") for i in range(60)] + [(5, f"five {i} gamma delta") for i in range(60)] + [(i, f"own {i} text") for i in range(10, 70)]
+    got = M.fingerprints(table(rows)).collect()
+    assert len(got) == len(rows)
+    edited = set()
+    for a, b in [(x, y) for x in rows for y in rows]:
+        half = len(a[1]) // 2
+        edited.add((a[0], hashlib.sha256((a[1][: len(a[1]) - half] + b[1][:half]).encode()).hexdigest()))
+    assert all((r.doc_id, r.edited_sha256) in edited for r in got)
+    by_id = {i: t for i, t in rows[120:]}
+    for r in got:
+        if r.doc_id is not None and r.doc_id >= 10:
+            t, n = by_id[r.doc_id], len(by_id[r.doc_id]) // 2
+            following = by_id.get(r.doc_id + 1)
+            if following:
+                assert r.edited_sha256 == hashlib.sha256((t[: len(t) - n] + following[:n]).encode()).hexdigest()
