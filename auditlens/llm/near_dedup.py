@@ -13,7 +13,9 @@ stays empty, the rank limit is doubled.
 Texts with equal word sequences are one node.  Nodes that share a band of
 coordinates are candidates.  First each bucket's lead (first node in even
 bands, last in odd ones) is compared with the bucket's members, which links
-most groups.  Where a bucket still holds several components, the members
+most groups: each member with the leads of its two largest buckets, one smaller
+and one larger than it, then with its other leads that are in no component
+with it yet.  Where a bucket still holds several components, the members
 outside its largest one are held against all its members by signature, in
 blocks of bounded size, and what passes by the ``LOW`` smallest hashes of their
 shingles, which for texts of fewer shingles is the exact check.  Each first
@@ -322,25 +324,56 @@ def to_compare(labelled: DataFrame, dealt: DataFrame, nodes: DataFrame, cells: D
     return left.unionByName(right)
 
 
+def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The (a, b) of ``pairs`` that no chain of links joins yet."""
+    if labels is None:
+        return pairs
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")).hint("merge")
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("_a is null or _b is null or _a <> _b").select("a", "b")
+
+
+def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Components after more links: only distinct pairs of components are
+    edges, however many links two components have."""
+    if not links.limit(1).count():
+        return labels
+    if labels is None:
+        return components(links)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")).hint("merge")
+    named = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    edges = written(named.where("a <> b").distinct(), "component-links")
+    up = components(edges)
+    top = up.select(F.col("node").alias("_of"), F.col("label").alias("_top"))
+    moved = labels.join(top.hint("merge"), labels["label"] == top["_of"], "left").select("node", F.coalesce("_top", "label").alias("label"))
+    new = up.select("node", "label").join(labels.select("node").hint("merge"), "node", "left_anti")
+    out = written(moved.unionByName(new), "labels")
+    discard(labels, edges, up)
+    return out
+
+
 def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
     """(node, label) of every node that has a link, or None without links."""
     nodes = written(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("at"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
     rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("n > 1")
-    leads = written(shared.select("bucket", "lo", "hi"), "leads")
-    members = written(rows.join(leads.hint("merge"), "bucket")
-                      .select("bucket", "node", F.when(F.col("band") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("lead")), "members")
+    leads = written(shared.select("bucket", "n", "lo", "hi"), "leads")
+    sized = rows.join(leads.hint("merge"), "bucket")
+    members = written(sized.select("bucket", "node", F.when(F.col("band") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("lead"), "n"), "members")
     need = members.select("node").distinct().join(nodes.select("node", "at").hint("merge"), "node")
     cells = written(node_cells(need, docs).dropDuplicates(["node"]), "cells")
-    pairs = _ordered(members.where("node <> lead").select("node", F.col("lead").alias("other"))).distinct()
-    first = written(pairs, "pairs")
+    led = members.where("node <> lead")
+    ends = led.groupBy("node").agg(*[f(F.struct("n", F.col("lead").alias("other"))).alias(c) for c, f in (("x", lambda v: F.max(F.when(F.col("lead") < F.col("node"), v))), ("y", lambda v: F.max(F.when(F.col("lead") > F.col("node"), v))))])
+    first = written(_ordered(ends.select("node", F.explode(F.array("x.other", "y.other")).alias("other")).where("other is not null")).distinct(), "pairs")
     links = [written(similar(first, cells, threshold), "links")]
     discard(first)
     labels, likely = None, None
+    if links[0].limit(1).count():
+        labels = components(links[0])
+    rest = written(apart(_ordered(led.select("node", F.col("lead").alias("other"))).distinct(), labels), "pairs")
+    links.append(written(similar(rest, cells, threshold), "links"))
+    discard(rest)
     for k in (FIRST, None):
-        if links[-1].limit(1).count():
-            discard(labels)
-            labels = components(_union(links))
+        labels = joined(labels, links[-1])
         labelled, dealt = open_buckets(members, labels)
         seen = None if likely is None else likely.groupBy("node").agg(F.collect_set("other").alias("seen"))  # FIRST a bucket at most
         now = written(likely_partners(to_compare(labelled, dealt, nodes, cells, seen), k), "likely")
@@ -348,20 +381,11 @@ def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
         links.append(written(similar(tried, cells, threshold), "links"))
         discard(labelled, dealt, tried, likely)
         likely = now
-    if links[-1].limit(1).count():
-        discard(labels)
-        labels = components(_union(links))
+    labels = joined(labels, links[-1])
     discard(nodes, leads, members, cells, likely, *links)
     return labels
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
