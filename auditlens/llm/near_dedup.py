@@ -332,25 +332,6 @@ def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("_a is null or _b is null or _a <> _b").select("a", "b")
 
 
-def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
-    """Components after more links: only distinct pairs of components are
-    edges, however many links two components have."""
-    if not links.limit(1).count():
-        return labels
-    if labels is None:
-        return components(links)
-    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")).hint("merge")
-    named = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
-    edges = written(named.where("a <> b").distinct(), "component-links")
-    up = components(edges)
-    top = up.select(F.col("node").alias("_of"), F.col("label").alias("_top"))
-    moved = labels.join(top.hint("merge"), labels["label"] == top["_of"], "left").select("node", F.coalesce("_top", "label").alias("label"))
-    new = up.select("node", "label").join(labels.select("node").hint("merge"), "node", "left_anti")
-    out = written(moved.unionByName(new), "labels")
-    discard(labels, edges, up)
-    return out
-
-
 def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
     """(node, label) of every node that has a link, or None without links."""
     nodes = written(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("at"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
@@ -373,7 +354,9 @@ def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
     links.append(written(similar(rest, cells, threshold), "links"))
     discard(rest)
     for k in (FIRST, None):
-        labels = joined(labels, links[-1])
+        if links[-1].limit(1).count():
+            discard(labels)
+            labels = components(_union(links))
         labelled, dealt = open_buckets(members, labels)
         seen = None if likely is None else likely.groupBy("node").agg(F.collect_set("other").alias("seen"))  # FIRST a bucket at most
         now = written(likely_partners(to_compare(labelled, dealt, nodes, cells, seen), k), "likely")
@@ -381,11 +364,20 @@ def near_links(sig: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
         links.append(written(similar(tried, cells, threshold), "links"))
         discard(labelled, dealt, tried, likely)
         likely = now
-    labels = joined(labels, links[-1])
+    if links[-1].limit(1).count():
+        discard(labels)
+        labels = components(_union(links))
     discard(nodes, leads, members, cells, likely, *links)
     return labels
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
