@@ -36,6 +36,7 @@ are not read.
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -148,7 +149,7 @@ def range_cuts(keyed: DataFrame, n_ranges: int) -> list[tuple[float, float]]:
     value = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
     ids = keyed.select(value.alias("v"), F.col("_row").cast("double").alias("r"))
     ends = ids.agg(F.percentile_approx("v", [i / n_ranges for i in range(1, n_ranges)], 10000).alias("e")).first()["e"] or []
-    times = {v: ends.count(v) for v in set(ends)}
+    times = Counter(ends)
     heavy = [v for v, n in times.items() if n > 1]  # ids that fill a range or more
     cuts = [(v, float("inf")) for v in times]
     if heavy:
@@ -161,17 +162,19 @@ def range_cuts(keyed: DataFrame, n_ranges: int) -> list[tuple[float, float]]:
 
 
 def cuts_below(value: Column, row: Column, cuts: list[tuple[float, float]]) -> Column:
-    """Number of ``cuts`` strictly below (value, row), as a balanced tree of
-    comparisons."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        v, r = cuts[mid]
-        return F.when((value > F.lit(v)) | ((value == F.lit(v)) & (row > F.lit(r))), build(mid + 1, hi)).otherwise(build(lo, mid))
-
-    return build(0, len(cuts))
+    """Number of ``cuts`` strictly below (value, row): a binary search in two
+    constant arrays, so that the plan does not grow with the number of cuts
+    (the driver holds several copies of it)."""
+    if not cuts:
+        return F.lit(0)
+    values, rows = (F.split(F.lit(",".join(repr(float(c[i])) for c in cuts)), ",").cast("array<double>") for i in (0, 1))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+
+    def further(found: Column, step: Column) -> Column:
+        v, r = (F.get(x, found + step - 1) for x in (values, rows))  # null beyond the last cut
+        return F.when((value > v) | ((value == v) & (row > r)), found + step).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def placed_with_rare(keyed: DataFrame, rare: DataFrame):

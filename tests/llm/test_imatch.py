@@ -145,3 +145,21 @@ def test_neighbours_with_null_and_repeated_ids(spark, table):
             following = by_id.get(r.doc_id + 1)
             if following:
                 assert r.edited_sha256 == hashlib.sha256((t[: len(t) - n] + following[:n]).encode()).hexdigest()
+
+
+def test_the_plan_does_not_grow_with_the_number_of_ranges(spark):
+    """The driver holds several copies of the plan: a condition for each cut filled its heap."""
+    from bisect import bisect_left
+
+    from auditlens.llm.imatch import cuts_below
+
+    cuts = sorted({(float("-inf"), 3.0), *[(float(v), float("inf")) for v in range(0, 9000, 3)], *[(600.0, float(r)) for r in range(5, 400, 7)]})
+    keys = [(None, 3), (None, 4), (-1, 0), (0, 9), (1, 0), (600, 5), (600, 6), (600, 398), (601, 0), (8997, 1), (8998, 1), (10**15, 2)]
+    df = spark.createDataFrame(keys, "v LONG, r LONG")
+    value = F.coalesce(F.col("v").cast("double"), F.lit(float("-inf")))
+    for some in (cuts, cuts[:1], cuts[:2], cuts[:1000], []):
+        out = df.withColumn("_n", cuts_below(value, F.col("r").cast("double"), some))
+        for x in out.collect():
+            assert x["_n"] == bisect_left(some, (float("-inf") if x["v"] is None else float(x["v"]), float(x["r"]))), x
+    plan = df.withColumn("_n", cuts_below(value, F.col("r").cast("double"), cuts))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") <= 2
