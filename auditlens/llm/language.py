@@ -41,6 +41,8 @@ FILLER = bytes(64)
 LEVEL = 6
 MIN_MARGIN = 0.005
 BLOCK_WORDS = 4096
+#: Rows that a worker judges and hands back at a time.
+SLICE_ROWS = 512
 UNKNOWN = "und"
 
 WORD = re.compile(r"\w+")
@@ -124,17 +126,21 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, bytes]], keep: list[s
     """``keep`` columns of ``docs`` plus lang_pred and score; only the text is
     judged."""
 
+    kept = list(dict.fromkeys(["text", *keep]))  # the text travels once
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(dictionaries)
-        for batch in batches:
-            found = [classify(t) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f"_k{i}") for i in range(len(keep))), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                [*(f"_k{i}" for i in range(len(keep))), "_lang_pred", "_score"])
-
-    narrow = docs.select(F.col("text").alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
-    kinds = ", ".join(f"_k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = narrow.mapInArrow(run, f"{kinds}, _lang_pred string, _score double")
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                found = [classify(t) for t in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(kept.index(c)) for c in keep), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                    [*(f"_k{i}" for i in range(len(keep))), "_lang_pred", "_score"])
+
+    narrow = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)])
+    kinds = "".join(f"_k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
+    out = narrow.mapInArrow(run, f"{kinds}_lang_pred string, _score double")
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 
@@ -150,8 +156,10 @@ def accepted() -> Column:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is told with a sufficient margin, with all
     their columns (a language of UNKNOWN or a narrow margin is a rejection)."""
-    judged = predict(docs.withColumn("_all", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), fit(docs), ["_all"])
-    return judged.where(accepted()).select(*[F.col("_all").getField(c).alias(c) for c in docs.columns])
+    names = docs.columns
+    places = [f"_{i}" for i in range(len(names))]  # a column may have the name of a result
+    judged = predict(docs, fit(docs), names).toDF(*places, "lang_pred", "score")
+    return judged.where(accepted()).select(*places).toDF(*names)
 
 
 def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:

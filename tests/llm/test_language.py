@@ -71,3 +71,33 @@ def test_signs_are_no_letters():
     from auditlens.llm.language import has_letter
 
     assert not any(map(has_letter, ["½ ½", "Ⅷ ⅔", "12 ٣", "_ ²", ""])) and all(map(has_letter, ["½a", "ª", "字", "ʰ", "É"]))
+
+
+def test_texts_travel_once_and_in_slices(spark, monkeypatch):
+    """A second copy of the text, or a whole batch handed back at once, takes the executors' memory."""
+    from auditlens.llm import language as L
+
+    docs = spark.createDataFrame([(i, None if i % 7 == 0 else f"the word {i} of the house and the garden", "en" if i % 2 else "de", i * 0.5, f"x{i}") for i in range(1300)],
+                                 "doc_id LONG, text STRING, lang STRING, score DOUBLE, `a.b` STRING")
+    sent = []
+    frame = type(docs)
+    real = frame.mapInArrow
+
+    def seen(self, run, schema, *rest):
+        sent.append(self)
+
+        def sized(batches):
+            for out in run(batches):
+                assert out.num_rows <= L.SLICE_ROWS
+                yield out
+
+        return real(self, sized, schema, *rest)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    monkeypatch.setattr(L, "accepted", lambda: F.col("lang_pred") != UNKNOWN)
+    out = keep_identified(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.where("text is not null").collect()))
+    assert [len(df.columns) for df in sent] == [len(docs.columns)] and "struct" not in sent[0].schema.simpleString()[6:]
+    assert predict(docs, [], ["doc_id"]).count() == 1300
+    assert predict(docs, [], []).columns == ["lang_pred", "score"]
