@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from auditlens.functions.columns import rnd
 from auditlens.functions.ordered import default_buckets, materialize
 from auditlens.operators.leakage import proxy_annotate
-from auditlens.operators.scorehist import ranking_metrics, score_hist
+from auditlens.operators.scorehist import auc_of_scores
 from auditlens.operators.splits import hash_unit
 
 
@@ -42,26 +42,28 @@ def perturbation(scored: DataFrame, model: LinearScore, features: list[str], key
     delta against the baseline and each group's approval rate and AIR at
     ``threshold``.
 
-    Narrow rows with one uniform number per scenario are written once (a
-    128-bit digest of the row key gives four of 32 bits).  The score histogram
-    is keyed by scenario alone, the group counts are a map-side aggregate of
-    scenarios x groups rows."""
+    Narrow rows with the score of every scenario are written once (a 128-bit
+    digest of the row key gives four uniform numbers of 32 bits).  AUCs come
+    from one pass over lots of scores, the group counts of all scenarios from
+    a map-side aggregate of one row a group."""
     feats = [f for f in features if f in scored.columns]
     scen = [(f, float(lv)) for f in feats for lv in levels]
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     blocks = [F.md5(F.concat(text, F.lit("" if b == 0 else f"|{b}"))).alias(f"_d{b}") for b in range(-(-len(scen) // 4))]
-    base = materialize(scored.select(*model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("group"), *blocks))
     unit = [F.conv(F.substring(F.col(f"_d{i // 4}"), 1 + 8 * (i % 4), 8), 16, 10).cast("double") / F.lit(float(2 ** 32)) for i in range(len(scen))]
-    # scenario "none"/0 is the unperturbed baseline, scored in the same pass
-    rows = F.array(F.struct(F.lit("none").alias("feature"), F.lit(0.0).alias("level"), F.lit(1.0).alias("_noise")),
-                   *[F.struct(F.lit(f).alias("feature"), F.lit(lv).alias("level"),
-                              (F.lit(1.0) - F.lit(lv) + F.lit(2.0) * F.lit(lv) * u).alias("_noise")) for (f, lv), u in zip(scen, unit, strict=True)])
-    x = base.select(*model.coefs.keys(), "y", "group", F.explode(rows).alias("_s")).select("*", "_s.*").drop("_s")
-    cols = {f: F.when(F.col("feature") == f, F.col(f) * F.col("_noise")).otherwise(F.col(f)) for f in model.coefs}
-    pert = x.withColumn("y_prob", model.score(cols)).select("feature", "level", "group", "y", "y_prob")
-    auc = materialize(ranking_metrics(score_hist(pert, ["feature", "level"]), ["feature", "level"]).select("feature", "level", "auc"))  # one row a scenario
-    pred = (F.col("y_prob") >= F.lit(float(threshold))).cast("long")
-    rates = materialize(pert.groupBy("feature", "level", "group").agg((F.sum(pred) / F.count(F.lit(1))).alias("_r")))  # scenarios x groups rows
+    noise = [F.lit(1.0) - F.lit(lv) + F.lit(2.0) * F.lit(lv) * u for (_, lv), u in zip(scen, unit, strict=True)]
+    # scenario 0 is the unperturbed baseline, scored in the same pass
+    scores = [model.score()] + [model.score({f: F.col(f) * v}) for (f, _), v in zip(scen, noise, strict=True)]
+    names = [f"_p{i}" for i in range(len(scores))]
+    x = scored.select(*model.coefs.keys(), F.col(y).alias("y"), F.col(group_col).cast("string").alias("group"), *blocks)
+    base = materialize(x.select("y", "group", *[s.alias(n) for s, n in zip(scores, names, strict=True)]))
+    which = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(lv).alias("level"), F.lit(n).alias("score")) for (f, lv), n in zip([("none", 0.0), *scen], names, strict=True)])
+    of = base.sparkSession.range(1).select(F.explode(which).alias("_s")).select("_s.*")  # one row a scenario
+    auc = materialize(auc_of_scores(base, names).join(of, "score").select("feature", "level", "auc"))  # one row a scenario
+    approved = [F.sum((F.col(n) >= F.lit(float(threshold))).cast("long")).alias(n) for n in names]
+    groups = base.groupBy("group").agg(F.count(F.lit(1)).alias("_n"), *approved)
+    per = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(lv).alias("level"), (F.col(n) / F.col("_n")).alias("_r")) for (f, lv), n in zip([("none", 0.0), *scen], names, strict=True)])
+    rates = materialize(groups.select("group", F.explode(per).alias("_s")).select("group", "_s.*"))  # scenarios x groups rows
     ref = rates.where(F.col("group") == reference).select("feature", "level", F.col("_r").alias("_ref"))
     auc_b = auc.where(F.col("feature") == "none").select(F.col("auc").alias("base"))
     j = (rates.where(F.col("feature") != "none").join(ref, ["feature", "level"], "left").join(auc, ["feature", "level"]).crossJoin(F.broadcast(auc_b)))
@@ -182,7 +184,9 @@ def next_in_hash_order(rows: DataFrame, cols: list[str], keys: list[str], seed:
     u = hash_unit(keys, seed)
     held = materialize(rows.withColumns({"_u": u, "_b": F.floor(u * n_buckets)}))
     order = [F.col(c) for c in ("_u", *keys)]
-    firsts = held.groupBy("_b").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
+    # a bucket's least hash by a map-side aggregate, then the first of the few rows that have it
+    least = held.groupBy("_b").agg(F.min("_u").alias("_u"))
+    firsts = held.join(F.broadcast(least), ["_b", "_u"]).groupBy("_b").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
     along = Window.orderBy("_b")  # one row a bucket
     after = firsts.select("_b", F.coalesce(F.lead("_first").over(along), F.first("_first").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_after"))
     following = F.lead(F.struct(*cols)).over(Window.partitionBy("_b").orderBy(*order))
@@ -194,10 +198,12 @@ def permutation_importance(scored: DataFrame, model: LinearScore, keys: list[str
     row takes the value of the next row in a seeded hash order (one shuffle)."""
     feats = list(model.coefs)
     paired = next_in_hash_order(scored.select(*keys, y, *feats), feats, keys, seed, default_buckets(scored))
-    arr = F.array(F.struct(F.lit("").alias("feature"), model.score().alias("y_prob")),
-                  *[F.struct(F.lit(f).alias("feature"), model.score({f: F.col(f"_next.{f}")}).alias("y_prob")) for f in feats])
-    x = paired.select(y, F.explode(arr).alias("_s")).select(y, "_s.feature", "_s.y_prob")
-    auc = materialize(ranking_metrics(score_hist(x, ["feature"], y), ["feature"]).select("feature", "auc"))  # one row a feature
+    names = ["_p", *[f"_p_{f}" for f in feats]]
+    scores = [model.score(), *[model.score({f: F.col(f"_next.{f}")}) for f in feats]]
+    # the order is made once, scores of all rows are written
+    x = materialize(paired.select(F.col(y).alias("y"), *[s.alias(n) for s, n in zip(scores, names, strict=True)]))
+    feature = F.substring("score", 4, 1000)  # '' is the baseline
+    auc = materialize(auc_of_scores(x, names).select(feature.alias("feature"), "auc"))  # one row a feature
     b = auc.where("feature = ''").select(F.col("auc").alias("base"))
     return auc.where("feature <> ''").crossJoin(F.broadcast(b)).select("feature", rnd("base").alias("baseline_auc"), rnd("auc").alias("permuted_auc"),
                                                                        rnd(F.col("base") - F.col("auc")).alias("importance"))
