@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import documents
+from auditlens.llm.common import SLICE_ROWS, documents
 
 SAMPLE_DOCS = 256
 SAMPLE_WORDS = 128
@@ -41,8 +41,6 @@ FILLER = bytes(64)
 LEVEL = 6
 MIN_MARGIN = 0.005
 BLOCK_WORDS = 4096
-#: Rows that a worker judges and hands back at a time.
-SLICE_ROWS = 512
 UNKNOWN = "und"
 
 WORD = re.compile(r"\w+")

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import discard, documents, row_keyed, written
+from auditlens.llm.common import discard, documents, row_keyed, slices, written
 from auditlens.llm.graph import components
 
 WORDS = 5
@@ -59,6 +59,8 @@ CHUNK, BLOCK = 4096, 512
 FIRST = 8
 #: Smallest shingle hashes of a text that go into a bucket's comparison; a text with fewer is compared exactly there.
 LOW = 512
+#: Words whose hashes a worker remembers.
+MAX_WORDS = 100_000
 LOW_ESTIMATE = THRESHOLD - 2.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / LOW)
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -77,12 +79,13 @@ def mix(x):
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered up to a bound."""
+    """word -> 64-bit hash, at most ``MAX_WORDS`` remembered: the worker keeps
+    them while it runs other stages."""
 
     def __missing__(self, word: str) -> int:
         from xxhash import xxh3_64_intdigest
 
-        if len(self) > 500_000:
+        if len(self) >= MAX_WORDS:
             self.clear()
         h = self[word] = xxh3_64_intdigest(word)
         return h
@@ -169,7 +172,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
         import numpy as np
         from xxhash import xxh3_128_digest
 
-        for batch in batches:
+        for batch in slices(batches):
             nodes, keys, sketches = [], [], []
             for text in batch.column(1).to_pylist():
                 words = (text or "").lower().split()
@@ -197,7 +200,7 @@ def node_cells(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         import numpy as np
         from xxhash import xxh3_128_digest
 
-        for batch in batches:
+        for batch in slices(batches):
             nodes, cells = [], []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = (text or "").lower().split()
@@ -217,7 +220,7 @@ def similar(pairs: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for batch in batches:
+        for batch in slices(batches):
             hold = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import documents, written
+from auditlens.llm.common import documents, slices, written
 from auditlens.llm.words import library_ids
 
 SEQUENCE = 2048
@@ -95,14 +95,15 @@ def pack(sizes: Iterator[tuple[int, object]], capacity: int, n_open: int) -> Ite
     yield from again.rest()
 
 
-def document_pieces(docs: DataFrame, tokenizer_file: str, length: int = SEQUENCE, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
+def document_pieces(docs: DataFrame, tokenizer_file: str, length: int = SEQUENCE, end_id: int = 0, **bounds: int) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece of every document.
+    ``bounds`` are those of the caches that each worker keeps (``library_ids``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zlib import crc32
 
-        encoder, end, width = library_ids(tokenizer_file), end_id.to_bytes(4, "little"), 4 * length
-        for batch in batches:
+        encoder, end, width = library_ids(tokenizer_file, **bounds), end_id.to_bytes(4, "little"), 4 * length
+        for batch in slices(batches):
             rows: list[list] = [[], [], [], [], []]
             for at, ids in enumerate(encoder.texts(batch.column(1).to_pylist())):
                 ids += end
@@ -165,8 +166,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = SEQUENCE, n_open: int = 1024,
     return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_file: str, length: int = SEQUENCE, end_id: int = 0) -> DataFrame:
-    pieces = written(document_pieces(docs, tokenizer_file, length, end_id), "pieces")
+def pack_documents(docs: DataFrame, tokenizer_file: str, length: int = SEQUENCE, end_id: int = 0, **bounds: int) -> DataFrame:
+    pieces = written(document_pieces(docs, tokenizer_file, length, end_id, **bounds), "pieces")
     return pack_pieces(pieces, length)
 
 

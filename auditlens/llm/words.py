@@ -170,8 +170,10 @@ class LibraryIds(dict):
 _ENCODERS: dict[str, LibraryIds] = {}
 
 
-def library_ids(tokenizer_file: str) -> LibraryIds:
-    """One encoder a Python worker."""
+def library_ids(tokenizer_file: str, max_chunks: int = 600_000, max_pieces: int = 400_000) -> LibraryIds:
+    """One encoder a Python worker, with the bounds asked for last."""
     if tokenizer_file not in _ENCODERS:
         _ENCODERS[tokenizer_file] = LibraryIds(Splitter(tokenizer_file))
-    return _ENCODERS[tokenizer_file]
+    encoder = _ENCODERS[tokenizer_file]
+    encoder.max_chunks, encoder.max_pieces = max_chunks, max_pieces
+    return encoder

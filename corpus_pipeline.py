@@ -24,6 +24,8 @@ from auditlens.llm.suffix_dedup import remove_repeats
 
 #: Shorter than a passage of fifty words is in nearly all cases.
 REPEAT_BYTES = 250
+#: The workers keep the tokenizer's caches beside those of the other stages: smaller ones than for packing alone.
+CACHES = {"max_chunks": 150_000, "max_pieces": 100_000}
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), **CACHES)
 
 
 STAGES = [

@@ -90,6 +90,14 @@ def test_estimate_follows_weighted_jaccard(words):
     assert np.mean(errors) < 0.04 and max(errors) < 0.12
 
 
+def test_remembered_hashes_stay_few():
+    """A worker keeps them through all stages."""
+    hashes = WordHashes()
+    first = hashes["w0"]
+    assert max(hashes[f"w{i}"] and len(hashes) for i in range(250_000)) <= 100_000
+    assert hashes["w0"] == first
+
+
 def test_repeated_rows_and_nulls(spark, table):
     text = "a b c d e f g h"
     got = near_classes(table([(1, text), (1, text), (None, text), (None, None), (2, text)])).collect()

@@ -67,6 +67,33 @@ def test_texts_of_the_stage(spark, table, words):
     assert got[3].text is None and got[4].text == "lone" and got[4].n_chars == 4
 
 
+def test_texts_travel_once_and_in_slices(spark, table, words, monkeypatch):
+    """A second copy of the texts, or a whole batch handed back at once, takes the executors' memory."""
+    from auditlens.llm.common import SLICE_ROWS
+
+    base = " ".join(words[:60])
+    docs = table([(i, None if i % 7 == 0 else f"{i} {base} {i}") for i in range(SLICE_ROWS + 90)])
+    frame, sizes = type(docs), []
+    real = frame.mapInArrow
+
+    def seen(self, run, schema, *rest):
+        sizes.append(self.columns)
+
+        def sized(batches):
+            for out in run(batches):
+                assert out.num_rows <= 40 * SLICE_ROWS
+                if "_sha256" in out.schema.names:
+                    assert out.num_rows <= SLICE_ROWS
+                yield out
+
+        return real(self, sized, schema, *rest)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    got = {r.doc_id: r.text for r in remove_repeats(docs, 64).collect()}
+    assert len(sizes[-1]) == 1 + len(docs.columns)  # the spans and each column
+    assert len(got) == SLICE_ROWS + 90 and got[7] is None and all(len(t) < len(base) for t in got.values() if t)
+
+
 def test_empty(spark, table):
     assert cut(table([]), ["doc_id"]).collect() == []
 

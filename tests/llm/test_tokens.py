@@ -41,6 +41,23 @@ def test_ids_equal_the_library(reference, words):
         assert decoder(ids).decode() == decode(ids)
 
 
+def test_small_caches_give_the_same_ids(reference, words):
+    """The pipeline's stages share their workers, so its caches are smaller; another caller's bounds come back."""
+    from corpus_pipeline import CACHES
+
+    encode, _ = reference
+    wide = library_ids(FILE)
+    assert CACHES["max_chunks"] < wide.max_chunks and CACHES["max_pieces"] < wide.max_pieces
+    wide.clear()
+    wide.piece_ids.clear()
+    small = library_ids(FILE, max_chunks=20, max_pieces=10)
+    texts = [" ".join(words[i : i + 15]) for i in range(60)]
+    for t, ids in zip(texts, small.texts(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encode(t)
+        assert len(small) <= 35 and len(small.piece_ids) <= 40
+    assert library_ids(FILE).max_chunks == 600_000
+
+
 def test_digest_query(spark, table, reference):
     encode, decode = reference
     docs = table([(i, t) for i, t in enumerate(TEXTS)], extra=["n_tokens", "ids_sha256"])
