@@ -58,3 +58,11 @@ def test_checkpoints_of_margins_are_deleted(spark, monkeypatch):
     model = ML.fit_boosted(ML.gbt_pipeline(ML.preprocessing_stages(["income"], ["kind"]), max_iter=7), rows(spark))
     assert model.stages[-1].getNumTrees == 7 and set(glob.glob(top + "/rdd-*")) == before
 
+
+def test_landed_text_is_compressed_and_short(spark, tmp_path, monkeypatch):
+    from auditlens.sources import raw as R
+    monkeypatch.setattr(R, "FILE_ROWS", 30)
+    path = str(tmp_path / "t")
+    R.write_raw_pipe(spark.range(100).selectExpr("id", "'NA' AS x").coalesce(1), path, "gzip")
+    files = [f for f in os.listdir(path) if f.endswith(".csv.gz")]
+    assert len(files) == 4 and R.read_raw_pipe(spark, path, ["id", "x"]).agg(F.countDistinct("id"), F.count("x")).first()[:] == (100, 0)
